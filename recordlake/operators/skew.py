@@ -38,14 +38,13 @@ def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> list
     counts = df.select(*on).sample(KEY_SAMPLE, 7).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     top = counts.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).collect()
     floor = max(2, share * sum(r["_n"] for r in top))
-    return [tuple(r[c] for c in on) for r in top if r["_n"] >= floor and all(r[c] is not None for c in on)]
+    return [tuple(r[c] for c in on) for r in top if r["_n"] >= floor]
 
 
 def _is_hot(on: Sequence[str], keys: list[tuple]) -> Column:
-    if len(on) == 1:
-        return F.coalesce(F.col(on[0]).isin([k[0] for k in keys]), F.lit(False))
-    tests = [reduce(Column.__and__, [F.col(c) == F.lit(v) for c, v in zip(on, key)]) for key in keys]
-    return F.coalesce(reduce(Column.__or__, tests), F.lit(False))
+    """Null keys count too: unmatched rows of an outer join also pile up on one task."""
+    tests = [reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(on, key)]) for key in keys]
+    return reduce(Column.__or__, tests)
 
 
 def join_to_one(
@@ -79,8 +78,3 @@ def join_to_one(
 def _hashable(df: DataFrame) -> list[str]:
     """Columns xxhash64 accepts: no maps or variants at any depth."""
     return [f.name for f in df.schema.fields if not any(w in f.dataType.simpleString() for w in ("map<", "variant"))]
-
-
-def join_many(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """A plain equi-join whose output is itself the answer; AQE splits skewed partitions."""
-    return left.join(right, list(on), how)
