@@ -80,7 +80,7 @@ def json_ready(value: Column, data_type: str) -> Column:
     """One typed column in the form it takes inside JSON text.
 
     float widens to double, bytes become a list of ints, timestamps and dates RFC 3339 text, links
-    rid text; a decimal becomes a number when integral in type, else text with its exact value.
+    rid text; a scale-0 decimal is a number, any other its ``<unscaled>e-<scale>`` text.
     """
     from recordlake.functions.links import link_text
 
@@ -93,10 +93,17 @@ def json_ready(value: Column, data_type: str) -> Column:
     if data_type == "struct<bucket:int,pos:bigint>":
         return link_text(value)
     if data_type.startswith("decimal"):
-        return value.cast("bigint") if data_type.endswith(",0)") else value.cast("string")
+        scale = int(data_type[:-1].split(",")[1])
+        return value if scale == 0 else decimal_text(value, F.lit(scale))
     return value
 
 
+def decimal_text(value: Column, scale: Column) -> Column:
+    """A decimal as ``<unscaled>e-<scale>`` text, exact at any width."""
+    digits = F.replace(value.cast("string"), F.lit("."), F.lit("")).cast("decimal(38,0)")
+    return F.concat(digits.cast("string"), F.lit("e-"), scale.cast("string"))
+
+
 def bytes_to_ints(value: Column) -> Column:
     """Binary to an array of ints 0-255."""
     text = F.hex(value)
