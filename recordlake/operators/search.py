@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordlake.operators.ordering import dense_index
+
 # BM25 parameters, reciprocal-rank constant.
 BM25_K1, BM25_B, RRF_K = 1.2, 0.75, 60
 # Query vectors handled per pass over the vectors.
@@ -45,7 +47,13 @@ def full_text(docs: DataFrame, query: Sequence[str], k: int, id_col: str = "doc_
         idf = F.ln(F.lit(1.0) + (F.col("_s.n") - seen + 0.5) / (seen + 0.5))
         parts.append(idf * tf * (BM25_K1 + 1) / (tf + BM25_K1 * (1 - BM25_B + BM25_B * F.col("_len") / mean)))
     score = F.round(reduce(Column.__add__, parts), 6).alias("score")
-    return scored.select(id_col, score).orderBy(F.desc("score"), id_col).limit(k)
+    return _top(scored.select(id_col, score), k, id_col)
+
+
+def _top(scored: DataFrame, k: int, id_col: str) -> DataFrame:
+    """Best k rows with their rank; the window sees those k rows only."""
+    best = scored.orderBy(F.desc("score"), id_col).limit(k)
+    return best.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), F.col(id_col))))
 
 
 def sparse_neighbors(
@@ -60,10 +68,7 @@ def sparse_neighbors(
     pairs = F.filter(F.arrays_zip(F.col(tokens_col).alias("t"), F.col(weights_col).alias("w")), lambda p: p["t"].isin(list(query)))
     product = F.aggregate(pairs, F.lit(0.0), lambda acc, p: acc + p["w"].cast("double") * F.element_at(lookup, p["t"]))
     hit = F.arrays_overlap(F.col(tokens_col), F.array(*[F.lit(t) for t in query]))
-    return (
-        vectors.where(hit).select(id_col, F.round(product, 6).alias("score"))
-        .orderBy(F.desc("score"), id_col).limit(k)
-    )
+    return _top(vectors.where(hit).select(id_col, F.round(product, 6).alias("score")), k, id_col)
 
 
 def _block_scorer(ids: list, matrix: np.ndarray, k: int, id_col: str, vec_col: str):
@@ -90,17 +95,14 @@ def _block_scorer(ids: list, matrix: np.ndarray, k: int, id_col: str, vec_col: s
 
 def dense_neighbors(
     vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
-    query_id: str = "query_id", approx: bool = False, bucket_length: float = 0.5, hash_tables: int = 4,
+    query_id: str = "query_id",
 ) -> DataFrame:
-    """The ``k`` nearest vectors by cosine for each query: query_id, id, score, rank.
+    """The ``k`` nearest vectors by cosine for each query: query_id, id, score, rank. Exact.
 
-    Exact form: queries are taken in blocks of QUERY_BLOCK rows, each block being one pass that
-    ships the block to the tasks and keeps k rows per task, query and Arrow batch; any number of
-    queries is answered, in more passes. Approximate form: locality-sensitive hashing proposes the
-    candidates, which are then scored exactly.
+    Queries are taken in blocks of QUERY_BLOCK rows, each block being one pass that ships the block
+    to the tasks and keeps k rows per task, query and Arrow batch; any number of queries is
+    answered, in more passes.
     """
-    if approx:
-        return _approx_neighbors(vectors, queries, k, id_col, vec_col, query_id, bucket_length, hash_tables)
     id_type = vectors.schema[id_col].dataType.simpleString()
     qid_type = queries.schema[query_id].dataType.simpleString()
     schema = f"query_id {qid_type}, {id_col} {id_type}, score double"
@@ -129,40 +131,15 @@ def _rank(scored: DataFrame, k: int, id_col: str) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _approx_neighbors(vectors, queries, k, id_col, vec_col, query_id, bucket_length, hash_tables) -> DataFrame:
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    def unit(df: DataFrame, key: str, name: str) -> DataFrame:
-        v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
-        norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
-        scaled = F.transform(v, lambda x: x / F.greatest(norm, F.lit(1e-300)))
-        return df.select(F.col(key).alias(name), array_to_vector(scaled).alias("features"))
-
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="features", outputCol="hashes", bucketLength=bucket_length, numHashTables=hash_tables, seed=11
-    )
-    left, right = unit(queries, query_id, "query_id"), unit(vectors, id_col, id_col)
-    model = lsh.fit(right)
-    # On unit vectors cosine = 1 - distance^2 / 2.
-    pairs = model.approxSimilarityJoin(left, right, 2.0, distCol="d").select(
-        F.col("datasetA.query_id").alias("query_id"), F.col(f"datasetB.{id_col}").alias(id_col),
-        F.round(1 - F.col("d") * F.col("d") / 2, 6).alias("score"),
-    )
-    return _rank(pairs, k, id_col)
-
-
 def fuse(lists: Sequence[DataFrame], k: int = RRF_K, id_col: str = "doc_id", limit: int | None = None) -> DataFrame:
     """Reciprocal rank fusion of top-k lists: sum of 1/(k + rank), best first, ties by id.
 
-    A list carrying ``rank`` is used as ranked; otherwise its score order gives the rank, which
-    expects an already limited list.
+    A list carrying ``rank`` is used as ranked; otherwise its score order gives the rank.
     """
     ranked = []
     for frame in lists:
         if "rank" not in frame.columns:
-            order = Window.orderBy(F.desc("score"), F.col(id_col))
-            frame = frame.withColumn("rank", F.row_number().over(order))
+            frame = dense_index(frame, [F.desc("score"), F.col(id_col)], name="rank", start=1)
         ranked.append(frame.select(id_col, (F.lit(1.0) / (F.lit(float(k)) + F.col("rank"))).alias("part")))
     both = reduce(DataFrame.unionByName, ranked)
     out = both.groupBy(id_col).agg(F.round(F.sum("part"), 9).alias("score")).orderBy(F.desc("score"), id_col)

@@ -1,0 +1,7 @@
+"""Registered queries, one module per operator family."""
+
+
+def groups():
+    from recordlake.registry import filters, reads
+
+    return [m.G for m in (reads, filters)]
