@@ -2,6 +2,6 @@
 
 
 def groups():
-    from recordlake.registry import filters, reads
+    from recordlake.registry import filters, reads, writes
 
-    return [m.G for m in (reads, filters)]
+    return [m.G for m in (reads, filters, writes)]

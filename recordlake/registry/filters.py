@@ -91,12 +91,12 @@ _collection("f16_set_contains_all", lambda w: w.contains_all("words", WANTED), "
 _collection("f16_set_contains_any", lambda w: w.contains_any("words", WANTED), "list_has_any(list_distinct(words), ['the', 'of', 'and'])", distinct=True)
 
 
-@G.add("f12_contains_nested", "SELECT conv_id FROM conversations GROUP BY conv_id HAVING count(*) FILTER (WHERE role = 'assistant' AND turn = 1) > 0")
+@G.add("f12_contains_nested", "SELECT doc_id FROM documents WHERE (lang = 'en' AND source = 'src7') OR (source = 'en' AND lang = 'src7')")
 def f12_nested(spark, folder):
-    """A list on the right is one nested element: [role, turn] inside a list of lists."""
-    turns = table(spark, folder, "conversations").groupBy("conv_id").agg(
-        F.collect_set(F.array("role", F.col("turn").cast("string"))).alias("pairs"))
-    return Where().contains("pairs", ["assistant", "1"]).apply(turns).select("conv_id")
+    """A list on the right is one nested element: [lang, source] inside a list of lists."""
+    pairs = F.array(F.array("lang", "source"), F.array("source", "lang"))
+    docs = table(spark, folder, "documents").select("doc_id", pairs.alias("pairs"))
+    return Where().contains("pairs", ["en", "src7"]).apply(docs).select("doc_id")
 
 
 @G.add("f22_intrinsics", "SELECT '#9:' || l_orderkey AS \"@out\", '#8:' || l_partkey AS \"@in\", l_quantity FROM lineitem WHERE l_partkey = 7 OR l_partkey > 1990")

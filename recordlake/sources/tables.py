@@ -25,13 +25,15 @@ def scan_type(types: TypeSet, name: str, where: Where | Column | None = None) ->
     return where.apply(out) if isinstance(where, Where) else out.where(where)
 
 
-def write_buckets(df: DataFrame, path: str, keys: Sequence[str], buckets: int, mode: str = "overwrite") -> None:
-    """Write a table partitioned by ``_bucket``, the key hash modulo the bucket count.
+def write_buckets(
+    df: DataFrame, path: str, keys: Sequence[str], buckets: int, mode: str = "overwrite", bucket_of: Column | None = None
+) -> None:
+    """Write a table partitioned by ``_bucket``: ``bucket_of``, or the key hash modulo ``buckets``.
 
-    Rows of a bucket are spread over as many tasks as their volume needs (range partitioning on
-    bucket and key), so a large bucket gives several files instead of one long task.
+    Range partitioning on (bucket, key) gives a large bucket several files instead of one long task.
     """
-    placed = df.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    bucket = bucket_of if bucket_of is not None else F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    placed = df.withColumn("_bucket", bucket.cast("int"))
     placed.repartitionByRange("_bucket", *keys).write.mode(mode).partitionBy("_bucket").parquet(path)
 
 
