@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from recordlake.functions.links import parse_link
-from recordlake.functions.values import decimal_text, ints_to_bytes, kind_of, rfc3339
+from recordlake.functions.values import decimal_text, ints_to_bytes, kind_from, let, rfc3339
 from recordlake.model import Custom, DecimalOf, FieldSpec, ListOf, MapOf, Newtype, RecordSpec, Scalar, SetOf
 
 ERROR_TYPE = "struct<path:string,code:string,expected:string,actual:string,message:string>"
@@ -30,29 +30,14 @@ INT_TARGETS = {
 RFC3339 = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}:\d{2}(\.\d+)?([Zz]|[+-]\d{2}:\d{2})$"
 
 
-def no_error() -> Column:
-    return F.lit(None).cast(ERROR_TYPE)
-
-
-def error(path, code: str, expected=None, actual=None, message=None) -> Column:
+def error(path: Column, code: str, expected=None, actual=None, message=None) -> Column:
     def text(x):
         return x if isinstance(x, Column) else F.lit(x).cast("string")
 
     return F.struct(
-        text(path).alias("path"), F.lit(code).alias("code"), text(expected).alias("expected"),
+        path.alias("path"), F.lit(code).alias("code"), text(expected).alias("expected"),
         text(actual).alias("actual"), text(message).alias("message"),
-    ).cast(ERROR_TYPE)
-
-
-def mismatch(expected: str, kind: Column) -> Column:
-    return error("", "type_mismatch", expected, kind)
-
-
-def prefixed(segment: Column | str, err: Column) -> Column:
-    """Put a path segment in front of an error's path."""
-    head = segment if isinstance(segment, Column) else F.lit(segment)
-    path = F.when(err["path"] == "", head).otherwise(F.concat(head, F.lit("."), err["path"]))
-    return F.when(err.isNotNull(), err.withField("path", path))
+    )
 
 
 def spark_type(target) -> str:
@@ -78,149 +63,156 @@ def spark_type(target) -> str:
     return INT_TARGETS[target.name][2] if target.name in INT_TARGETS else named[target.name]
 
 
-def decode_value(v: Column, target, json_source: bool = True) -> tuple[Column, Column]:
-    """(value, error) of a present VARIANT read as ``target``. A JSON null is kind ``null``."""
-    kind = kind_of(v, json_source)
+# A target is read in two steps so that nothing is written out twice: ``work`` takes the value (or
+# the decoded parts of a container), ``finish`` turns it into the value and its error. Table-level
+# jobs put the steps in successive projections; inside lists and maps ``let`` binds them.
+
+
+def work(v: Column, kind: Column, shape: Column, target, json_source: bool) -> Column:
     if isinstance(target, Newtype):
-        return decode_value(v, target.inner, json_source)
+        return work(v, kind, shape, target.inner, json_source)
     if isinstance(target, Custom):
-        out = target.convert(v).cast(target.spark_type)
-        return out, F.when(out.isNull(), error("", "conversion", message="custom conversion failed"))
+        return target.convert(v).cast(target.spark_type)
     if isinstance(target, DecimalOf):
-        return _decimal(v, kind, target.scale, json_source)
+        # Decimals and int64 (not int32). In JSON every real literal is an exact decimal.
+        accepted = shape.startswith("DECIMAL") | (kind == "int64")
+        exact = F.when(accepted, _get(v, "decimal(38,18)"))
+        value = F.when(accepted, _get(v, f"decimal(38,{target.scale})"))
+        return F.when(value.cast("decimal(38,18)") == exact, value)
     if isinstance(target, (ListOf, SetOf)):
-        return _list(v, kind, target, json_source)
+        items = F.when(kind == "list", _get(v, "array<variant>"))
+        label = "set" if isinstance(target, SetOf) else "list"
+        return F.transform(items, lambda x, i: read_value(
+            x, target.item, F.concat(F.lit(f"{label}["), i.cast("string"), F.lit("]")), json_source))
     if isinstance(target, MapOf):
-        return _map(v, kind, target, json_source)
+        entries = F.map_entries(F.when(kind == "map", v.try_cast("map<string,variant>")))
+        return F.transform(entries, lambda e: F.struct(
+            e["key"].alias("key"),
+            read_value(e["value"], target.item, F.concat(F.lit("map["), e["key"], F.lit("]")), json_source).alias("read")))
     if isinstance(target, RecordSpec):
         props = F.when(kind == "map", v.try_cast("map<string,variant>"))
-        value, err = decode_fields(props, target, json_source)
-        return F.when(err.isNull() & (kind == "map"), value), F.when(kind != "map", mismatch("record", kind)).otherwise(err)
-    return _scalar(v, kind, target.name)
+        fields = [f for f in target.fields if not f.skip_read]
+        return let(props, lambda p: F.when(p.isNotNull(), F.struct(
+            *[read_field(p, f, target.wire(f), json_source).alias(f.name) for f in fields])))
+    return _scalar_work(v, kind, shape, target.name)
+
+
+def finish(w: Column, kind: Column, target, path: Column) -> tuple[Column, Column]:
+    """(value, error) from the work column; ``path`` names where the value sits."""
+
+    def below(inner: Column) -> Column:
+        return inner.withField("path", F.concat_ws(".", path, F.when(inner["path"] != "", inner["path"])))
+
+    if isinstance(target, Newtype):
+        return finish(w, kind, target.inner, path)
+    if isinstance(target, Custom):
+        return w, F.when(w.isNull(), error(path, "conversion", message="custom conversion failed"))
+    if isinstance(target, DecimalOf):
+        lossy = error(path, "conversion", message="decimal value not representable")
+        readable = kind.isin("decimal", "double", "int64")
+        return w, F.when(w.isNull(), F.when(readable, lossy).otherwise(error(path, "type_mismatch", "decimal", kind)))
+    if isinstance(target, (ListOf, SetOf)):
+        bad = F.get(F.filter(w, lambda d: d["error"].isNotNull()), F.lit(0))["error"]
+        value = F.transform(w, lambda d: d["value"])
+        value = F.array_distinct(value) if isinstance(target, SetOf) else value
+        return value, F.when(w.isNull(), error(path, "type_mismatch", "list", kind)).otherwise(let(bad, below))
+    if isinstance(target, MapOf):
+        bad = F.get(F.filter(w, lambda d: d["read"]["error"].isNotNull()), F.lit(0))["read"]["error"]
+        value = F.map_from_entries(F.transform(w, lambda d: F.struct(d["key"].alias("key"), d["read"]["value"].alias("value"))))
+        return value, F.when(w.isNull(), error(path, "type_mismatch", "map", kind)).otherwise(let(bad, below))
+    if isinstance(target, RecordSpec):
+        names = [f.name for f in target.fields if not f.skip_read]
+        value = F.when(w.isNotNull(), F.struct(*[w[n]["value"].alias(n) for n in names]))
+        bad = F.coalesce(*[w[n]["error"] for n in names])
+        return value, F.when(w.isNull(), error(path, "type_mismatch", "record", kind)).otherwise(let(bad, below))
+    return w, _scalar_error(w, kind, target.name, path)
+
+
+def read_value(v: Column, target, path: Column, json_source: bool) -> Column:
+    """STRUCT<value, error> of a present VARIANT, as one expression."""
+
+    def with_kind(x, shape, kind):
+        def done(w):
+            value, err = finish(w, kind, target, path)
+            return F.struct(value.alias("value"), err.cast(ERROR_TYPE).alias("error"))
+
+        return let(work(x, kind, shape, target, json_source), done)
+
+    return let(v, lambda x: let(F.schema_of_variant(x), lambda s: let(kind_from(s, x, json_source), lambda k: with_kind(x, s, k))))
+
+
+def read_field(props: Column, field: FieldSpec, wire: str, json_source: bool) -> Column:
+    """STRUCT<value, error> of one field of a property map, with its absent/null/default rules."""
+    path = F.lit(wire)
+
+    def one(v):
+        return let(read_value(v, field.type, path, json_source), lambda r: F.struct(
+            *[c.alias(n) for c, n in zip(field_rules(field, r["value"], r["error"], v.isNull(), F.is_variant_null(v), path), ("value", "error"))]))
+
+    return let(F.try_element_at(props, path), one)
+
+
+def field_rules(field: FieldSpec, value: Column, err: Column, absent: Column, is_null: Column, path: Column) -> tuple[Column, Column]:
+    """Apply required, optional and default to a read value."""
+    dtype = spark_type(field.type)
+    value = value.cast(dtype) if not isinstance(field.type, RecordSpec) and dtype != "variant" else value
+    err = err.cast(ERROR_TYPE)
+    if field.optional:
+        given = ~absent & ~F.coalesce(is_null, F.lit(False))
+        return F.when(given, value), F.when(given, err)
+    if field.default is not None:
+        default = field.default if isinstance(field.default, Column) else F.lit(field.default)
+        return F.when(absent, default.cast(dtype)).otherwise(value), F.when(~absent, err)
+    return F.when(~absent, value), F.when(absent, error(path, "missing_field").cast(ERROR_TYPE)).otherwise(err)
 
 
 def _get(v: Column, type_name: str) -> Column:
     return F.try_variant_get(v, "$", type_name)
 
 
-def _scalar(v: Column, kind: Column, name: str) -> tuple[Column, Column]:
+def _scalar_work(v: Column, kind: Column, shape: Column, name: str) -> Column:
     if name == "dynamic":
-        return v, no_error()
-    if name == "string":
-        scale = F.regexp_extract(F.schema_of_variant(v), r",(\d+)\)$", 1).try_cast("int")
-        value = (
-            F.when(kind == "string", _get(v, "string"))
-            .when(kind == "timestamp", rfc3339(_get(v, "timestamp")))
-            .when((kind == "decimal") & (scale > 0), decimal_text(_get(v, "string"), scale))
-        )
-        return value, F.when(value.isNull(), mismatch("string", kind))
-    if name == "char":
+        return v
+    if name in ("string", "char"):
         text = F.when(kind == "string", _get(v, "string"))
-        value = F.when(F.char_length(text) == 1, text)
-        return value, F.when(value.isNull(), mismatch("single-char string", kind))
+        if name == "char":
+            return F.when(F.char_length(text) == 1, text)
+        scale = F.regexp_extract(shape, r",(\d+)\)$", 1).try_cast("int")
+        as_text = F.when((kind == "decimal") & (scale > 0), decimal_text(_get(v, "string"), scale))
+        return F.coalesce(text, F.when(kind == "timestamp", rfc3339(_get(v, "timestamp"))), as_text)
     if name == "bool":
-        value = F.when(kind == "bool", _get(v, "boolean"))
-        return value, F.when(value.isNull(), mismatch("bool", kind))
+        return F.when(kind == "bool", _get(v, "boolean"))
     if name in INT_TARGETS:
         low, high, type_name = INT_TARGETS[name]
-        scale0 = (kind == "decimal") & F.schema_of_variant(v).endswith(",0)")
+        scale0 = (kind == "decimal") & shape.endswith(",0)")
         number = F.when(kind.isin("int32", "int64") | scale0, _get(v, "bigint"))
-        value = F.when(number.between(low, high), number).try_cast(type_name)
-        return value, F.when(value.isNull(), mismatch(name, kind))
+        return F.when(number.between(low, high), number).try_cast(type_name)
     if name in ("f32", "f64"):
-        value = F.when(kind.isin("float", "double", "int32", "int64"), _get(v, "double"))
-        value = value.cast("float") if name == "f32" else value
-        return value, F.when(value.isNull(), mismatch(name, kind))
+        number = F.when(kind.isin("float", "double", "int32", "int64"), _get(v, "double"))
+        return number.cast("float") if name == "f32" else number
     if name == "datetime":
         text = F.when(kind == "string", _get(v, "string"))
-        parsed = F.when(text.rlike(RFC3339), F.try_to_timestamp(F.upper(text)))
-        value = F.when(kind == "timestamp", _get(v, "timestamp")).otherwise(parsed)
-        bad_text = error("", "conversion", message=F.concat(F.lit("invalid timestamp string "), text))
-        return value, F.when(~kind.isin("string", "timestamp"), mismatch("timestamp", kind)).when(value.isNull(), bad_text)
+        return F.coalesce(F.when(kind == "timestamp", _get(v, "timestamp")),
+                          F.when(text.rlike(RFC3339), F.try_to_timestamp(F.upper(text))))
     if name == "date":
-        value = F.when(kind == "timestamp", F.to_date(_get(v, "timestamp")))
-        return value, F.when(value.isNull(), mismatch("date", kind))
+        return F.when(kind == "timestamp", F.to_date(_get(v, "timestamp")))
     if name == "bytes":
         items = F.when(kind == "list", _get(v, "array<variant>"))
-        numbers = F.transform(items, lambda x: F.when(kind_of(x).isin("int32", "int64"), F.try_variant_get(x, "$", "bigint")))
-        from_list = ints_to_bytes(F.transform(numbers, lambda n: F.coalesce(n, F.lit(-1))))
-        value = F.when(kind == "bytes", _get(v, "binary")).otherwise(from_list)
-        bad_item = error("", "type_mismatch", "u8", "list item")
-        return value, F.when(~kind.isin("bytes", "list"), mismatch("bytes", kind)).when(value.isNull(), bad_item)
+        whole = F.transform(items, lambda x: F.when(F.schema_of_variant(x) == "BIGINT", _get(x, "bigint")))
+        return F.coalesce(F.when(kind == "bytes", _get(v, "binary")),
+                          ints_to_bytes(F.transform(whole, lambda n: F.coalesce(n, F.lit(-1)))))
     if name == "link":
-        text = F.when(kind == "string", _get(v, "string"))
-        value = parse_link(text)
-        bad_text = error("", "conversion", message=F.concat(F.lit("invalid rid "), text))
-        return value, F.when(kind != "string", mismatch("link", kind)).when(value.isNull(), bad_text)
+        return parse_link(F.when(kind == "string", _get(v, "string")))
     raise ValueError(f"unknown target {name!r}")
 
 
-def _decimal(v: Column, kind: Column, scale: int, json_source: bool) -> tuple[Column, Column]:
-    """Decimals and int64 (not int32). In JSON every real literal is an exact decimal."""
-    accepted = F.schema_of_variant(v).startswith("DECIMAL") | (kind == "int64")
-    exact = F.when(accepted, _get(v, "decimal(38,18)"))
-    value = F.when(accepted, _get(v, f"decimal(38,{scale})"))
-    lossy = value.isNull() | (value.cast("decimal(38,18)") != exact)
-    too_wide = error("", "conversion", message="decimal value not representable")
-    return F.when(~lossy, value), F.when(~accepted, mismatch("decimal", kind)).when(lossy, too_wide)
-
-
-def _list(v: Column, kind: Column, target, json_source: bool) -> tuple[Column, Column]:
-    label = "set" if isinstance(target, SetOf) else "list"
-    items = F.when(kind == "list", _get(v, "array<variant>"))
-
-    def one(x, i):
-        value, err = decode_value(x, target.item, json_source)
-        at = F.concat(F.lit(f"{label}["), i.cast("string"), F.lit("]"))
-        return F.struct(value.alias("value"), prefixed(at, err).alias("error"))
-
-    decoded = F.transform(items, one)
-    value = F.transform(decoded, lambda d: d["value"])
-    if isinstance(target, SetOf):
-        value = F.array_distinct(value)
-    first_bad = F.get(F.filter(decoded, lambda d: d["error"].isNotNull()), F.lit(0))["error"]
-    return F.when(first_bad.isNull(), value), F.when(kind != "list", mismatch("list", kind)).otherwise(first_bad)
-
-
-def _map(v: Column, kind: Column, target: MapOf, json_source: bool) -> tuple[Column, Column]:
-    entries = F.map_entries(F.when(kind == "map", v.try_cast("map<string,variant>")))
-
-    def one(e):
-        value, err = decode_value(e["value"], target.item, json_source)
-        at = F.concat(F.lit("map["), e["key"], F.lit("]"))
-        return F.struct(e["key"].alias("key"), value.alias("value"), prefixed(at, err).alias("error"))
-
-    decoded = F.transform(entries, one)
-    value = F.map_from_entries(F.transform(decoded, lambda d: F.struct(d["key"].alias("key"), d["value"].alias("value"))))
-    first_bad = F.get(F.filter(decoded, lambda d: d["error"].isNotNull()), F.lit(0))["error"]
-    return F.when(first_bad.isNull(), value), F.when(kind != "map", mismatch("map", kind)).otherwise(first_bad)
-
-
-def decode_field(props: Column, field: FieldSpec, wire: str, json_source: bool, fallback: Column | None = None) -> tuple[Column, Column]:
-    """One field from a property map, with its absent/null/default rules and its name in the path."""
-    v = F.try_element_at(props, F.lit(wire))
-    if fallback is not None:
-        v = F.coalesce(v, fallback.cast("variant"))
-    absent = v.isNull()
-    value, err = decode_value(v, field.type, json_source)
-    kind_null = F.coalesce(F.is_variant_null(v), F.lit(False))
-    if field.optional:
-        skip = absent | kind_null
-        return F.when(~skip, value), F.when(~skip, prefixed(wire, err))
-    if field.default is not None:
-        default = field.default if isinstance(field.default, Column) else F.lit(field.default)
-        value = F.when(absent, default.cast(spark_type(field.type))).otherwise(value)
-        return value, F.when(~absent, prefixed(wire, err))
-    return F.when(~absent, value), F.when(absent, error(wire, "missing_field")).otherwise(prefixed(wire, err))
-
-
-def decode_fields(props: Column, spec: RecordSpec, json_source: bool = True) -> tuple[Column, Column]:
-    """All fields of a nested record as one struct, and the first error."""
-    values, errors = [], []
-    for field in spec.fields:
-        if field.skip_read:
-            continue
-        value, err = decode_field(props, field, spec.wire(field), json_source)
-        values.append(value.alias(field.name))
-        errors.append(err)
-    return F.struct(*values), F.coalesce(*errors)
+def _scalar_error(w: Column, kind: Column, name: str, path: Column) -> Column:
+    if name == "dynamic":
+        return F.lit(None).cast(ERROR_TYPE)
+    expected = {"char": "single-char string", "datetime": "timestamp"}.get(name, name)
+    wrong = error(path, "type_mismatch", expected, kind)
+    if name in ("datetime", "link"):
+        wrong = F.when(kind == "string", error(path, "conversion", message=f"invalid {expected} text")).otherwise(wrong)
+    if name == "bytes":
+        wrong = F.when(kind == "list", error(path, "type_mismatch", "u8", "list item")).otherwise(wrong)
+    return F.when(w.isNull(), wrong)

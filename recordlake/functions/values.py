@@ -9,30 +9,39 @@ from pyspark.sql import functions as F
 UNIT_MS = {"DAY": 86_400_000, "HOUR": 3_600_000, "MINUTE": 60_000, "SECOND": 1_000}
 
 
-def kind_of(value: Column, json_source: bool = True) -> Column:
-    """The kind name of a VARIANT: null, bool, int32, int64, float, double, string, ...
+def let(value: Column, body) -> Column:
+    """Bind a value once inside an expression, so that ``body`` may use it many times."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    JSON has one number type, so for JSON input a real, or an integer past 64 bits, is a double.
-    """
-    shape = F.schema_of_variant(value)
+
+def kind_from(shape: Column, value: Column, json_source: bool = True) -> Column:
+    """The kind name of a VARIANT whose ``schema_of_variant`` text is ``shape``."""
     wide = F.try_variant_get(value, "$", "bigint")
     integer = F.when(wide.between(-(2**31), 2**31 - 1), F.lit("int32")).otherwise(F.lit("int64"))
     return (
-        F.when(value.isNull(), F.lit("absent"))
-        .when(shape == "VOID", F.lit("null"))
+        F.when(shape.isNull(), F.lit("absent"))
         .when(shape == "BIGINT", integer)
         .when(shape == "STRING", F.lit("string"))
+        .when(shape == "VOID", F.lit("null"))
         .when(shape == "BOOLEAN", F.lit("bool"))
         .when(shape == "DOUBLE", F.lit("double"))
         .when(shape.startswith("DECIMAL"), F.lit("double" if json_source else "decimal"))
-        .when(shape == "FLOAT", F.lit("float"))
         .when(shape.startswith("ARRAY"), F.lit("list"))
         .when(shape.startswith("OBJECT"), F.lit("map"))
+        .when(shape == "FLOAT", F.lit("float"))
         .when(shape == "BINARY", F.lit("bytes"))
         .otherwise(F.lit("timestamp"))
     )
 
 
+def kind_of(value: Column, json_source: bool = True) -> Column:
+    """The kind name of a VARIANT: null, bool, int32, int64, float, double, string, ...
+
+    JSON has one number type, so for JSON input a real, or an integer past 64 bits, is a double.
+    """
+    return let(value, lambda v: let(F.schema_of_variant(v), lambda s: kind_from(s, v, json_source)))
+
+
 def rfc3339(ts: Column) -> Column:
     """A timestamp (session zone UTC) as RFC 3339 text: ``2024-01-01T00:00:00+00:00``, fraction only if non-zero."""
     base = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")

@@ -5,40 +5,67 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.functions.decoding import decode_field
-from recordlake.functions.values import json_ready
-from recordlake.model import RecordSpec
+from recordlake.functions.decoding import field_rules, finish, work
+from recordlake.functions.values import json_ready, kind_from
+from recordlake.model import FieldSpec, RecordSpec
+
+
+def _planned(spec: RecordSpec) -> list[tuple[FieldSpec, str, tuple[str, ...] | None]]:
+    """(field, wire name, names hidden from it) for every field read, flattened targets unfolded."""
+    taken = tuple(spec.wire(f) for f in spec.fields if not f.skip_read and not f.flatten)
+    out = []
+    for field in spec.fields:
+        if field.skip_read:
+            continue
+        if field.flatten and isinstance(field.type, RecordSpec):
+            out += [(f, field.type.wire(f), taken) for f in field.type.fields if not f.skip_read]
+        elif not field.flatten:
+            out.append((field, spec.wire(field), None))
+    return out
 
 
 def decode_columns(records: DataFrame, spec: RecordSpec, json_source: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """``rid``, ``type``, the decoded fields and ``errors``: the first error of each bad field.
 
     Takes ``rid``, ``type`` and a ``properties`` map. Fields named ``@rid``/``@type`` read the
-    property when present, else the record's own. One narrow stage, no Python.
+    property when present, else the record's own. Successive projections take the value, its kind,
+    the typed value and the error, so each is computed once; all of them run in one narrow stage.
     """
     own = {"@rid": F.col("rid"), "@type": F.col("type")}
-    props = F.col("properties")
+    planned = _planned(spec)
+    rest = [f for f in spec.fields if f.flatten and not isinstance(f.type, RecordSpec)]
+    taken = [wire for _, wire, _ in planned]
+
+    def raw(wire: str, hidden) -> Column:
+        if hidden and wire in hidden:
+            return F.lit(None).cast("variant")
+        value = F.try_element_at(F.col("properties"), F.lit(wire))
+        return F.coalesce(value, own[wire].cast("variant")) if wire in own else value
+
+    names = {f.name for f, _, _ in planned} | {f.name for f in rest}
+    meta = [c for c in ("rid", "type", *keep) if c not in names]
+    lead = [F.col(c).alias(f"_m_{c}") for c in meta] + [
+        F.map_filter("properties", lambda k, v: ~k.isin(taken)).alias(f"_r_{f.name}") for f in rest]
+    number = range(len(planned))
+    out = records.select(*lead, *[raw(w, h).alias(f"_v{i}") for i, (_, w, h) in enumerate(planned)])
+    out = out.select("*", *[F.schema_of_variant(f"_v{i}").alias(f"_s{i}") for i in number])
+    out = out.select("*", *[kind_from(F.col(f"_s{i}"), F.col(f"_v{i}"), json_source).alias(f"_k{i}") for i in number])
+    out = out.select("*", *[
+        work(F.col(f"_v{i}"), F.col(f"_k{i}"), F.col(f"_s{i}"), f.type, json_source).alias(f"_w{i}")
+        for i, (f, _, _) in enumerate(planned)])
+    # A filter on the errors must not be pushed below this point, where it would repeat all of the
+    # work above inside its condition; a generated row stops it.
+    out = out.select(F.explode(F.array(F.struct("*"))).alias("_row")).select("_row.*")
     fields, errors = [], []
-    taken = [spec.wire(f) for f in spec.fields if not f.skip_read and not f.flatten]
-    for field in spec.fields:
-        if field.skip_read:
-            continue
-        if field.flatten:
-            rest = F.map_filter(props, lambda k, v: ~k.isin(taken))
-            if isinstance(field.type, RecordSpec):
-                for inner in field.type.fields:
-                    value, err = decode_field(rest, inner, field.type.wire(inner), json_source)
-                    fields.append(value.alias(inner.name))
-                    errors.append(err)
-            else:
-                fields.append(rest.alias(field.name))
-            continue
-        wire = spec.wire(field)
-        value, err = decode_field(props, field, wire, json_source, own.get(wire))
+    for i, (field, wire, _) in enumerate(planned):
+        kind, path = F.col(f"_k{i}"), F.lit(wire)
+        value, err = finish(F.col(f"_w{i}"), kind, field.type, path)
+        value, err = field_rules(field, value, err, kind == "absent", kind == "null", path)
         fields.append(value.alias(field.name))
         errors.append(err)
-    meta = [c for c in ("rid", "type", *keep) if c not in {f.name for f in spec.fields}]
-    return records.select(*meta, *fields, F.array_compact(F.array(*errors)).alias("errors"))
+    return out.select(
+        *[F.col(f"_m_{c}").alias(c) for c in meta], *fields, *[F.col(f"_r_{f.name}").alias(f.name) for f in rest],
+        F.array_compact(F.array(*errors)).alias("errors"))
 
 
 def decode(records: DataFrame, spec: RecordSpec, mode: str = "quarantine", json_source: bool = True, keep: tuple[str, ...] = ()):

@@ -2,6 +2,6 @@
 
 
 def groups():
-    from recordlake.registry import filters, reads, writes
+    from recordlake.registry import filters, reads, shapes, writes
 
-    return [m.G for m in (reads, filters, writes)]
+    return [m.G for m in (reads, filters, shapes, writes)]

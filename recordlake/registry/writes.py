@@ -164,7 +164,7 @@ def u18(spark, folder):
     created = load.assign_rids(table(spark, folder, "orders").select("o_orderkey"), ["o_orderkey"], 8)
     parts = F.split(F.substring_index("rid", "#", -1), ":")
     per_bucket = created.groupBy(parts[0].alias("b")).agg(
-        F.count(F.lit(1)).alias("n"), F.approx_count_distinct("rid").alias("_d"), F.max(parts[1].cast("bigint")).alias("top"))
+        F.count(F.lit(1)).alias("n"), F.max(parts[1].cast("bigint")).alias("top"))
     distinct = created.select("rid").distinct().agg(F.count(F.lit(1)).alias("rids")).scalar()
     return per_bucket.agg(F.sum("n").alias("n"), F.sum(F.col("top") + 1 - F.col("n")).alias("gaps")).withColumn("rids", distinct).select("n", "rids", "gaps")
 

@@ -53,14 +53,14 @@ def read_records(
 
     Text that is not a JSON object gives null properties; the row stays.
     """
-    value = F.try_parse_json(F.col(json_column))
-    is_object = F.schema_of_variant(value).startswith("OBJECT")
     kind = F.lit(type_name) if isinstance(type_name, str) else type_name
-    return df.select(
+    parsed = df.select(
         (rid if rid is not None else F.lit(None).cast("string")).alias("rid"),
         (kind if kind is not None else F.lit(None).cast("string")).alias("type"),
-        F.when(is_object, value.cast("map<string,variant>")).alias("properties"),
+        F.try_parse_json(F.col(json_column)).alias("_value"),
     )
+    is_object = F.schema_of_variant("_value").startswith("OBJECT")
+    return parsed.select("rid", "type", F.when(is_object, F.col("_value").cast("map<string,variant>")).alias("properties"))
 
 
 def query_bound(
