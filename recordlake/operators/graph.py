@@ -84,7 +84,8 @@ def _resolve(edges: DataFrame, id_map: DataFrame, stored: DataFrame | None, ref:
 def bidirectional(edges: DataFrame) -> DataFrame:
     """Both-way adjacency: every edge and its reverse, with a ``direction``."""
     forward = edges.withColumn("direction", F.lit("out"))
-    reverse = edges.withColumnsRenamed({"out": "in", "in": "out"}).withColumn("direction", F.lit("in"))
+    swapped = {"out": "in", "in": "out"}
+    reverse = edges.select(*[F.col(c).alias(swapped.get(c, c)) for c in edges.columns], F.lit("in").alias("direction"))
     return forward.unionByName(reverse)
 
 

@@ -153,7 +153,7 @@ def kv_replay(commands: DataFrame, state: DataFrame | None = None) -> DataFrame:
     log = commands if "batch_id" in commands.columns else commands.withColumn("batch_id", F.lit(None).cast("string"))
     bad = (
         ~F.col("command").isin(*COMMANDS) | F.col("key").isNull() | F.col("key").rlike(r"^$|\s")
-        | ((F.col("command") == "SET") & F.col("value").isNull()) | (F.col("ttl") < 0)
+        | ((F.col("command") == "SET") & F.col("value").isNull()) | F.coalesce(F.col("ttl") < 0, F.lit(False))
     )
     log = log.select("key", "seq", "batch_id", "command", F.col("value").cast("string").alias("value"), F.col("ttl").cast("bigint").alias("ttl"),
                      F.unix_timestamp(F.col("ts").cast("timestamp")).alias("now"), F.coalesce(bad, F.lit(True)).alias("_bad"))

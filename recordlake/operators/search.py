@@ -23,6 +23,10 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
+def _occurrences(items: Column, word: str) -> Column:
+    return F.size(F.filter(items, lambda t: t == F.lit(word)))
+
+
 def full_text(docs: DataFrame, query: Sequence[str], k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The ``k`` best documents for the keywords by BM25, best first, ties by id.
 
@@ -32,7 +36,7 @@ def full_text(docs: DataFrame, query: Sequence[str], k: int, id_col: str = "doc_
     words = sorted({w.lower() for w in query})
     counted = docs.select(id_col, tokens(F.col(text_col)).alias("_t")).select(
         id_col, F.size("_t").alias("_len"),
-        *[F.size(F.filter("_t", lambda t, w=w: t == w)).alias(f"_tf{i}") for i, w in enumerate(words)],
+        *[_occurrences(F.col("_t"), w).alias(f"_tf{i}") for i, w in enumerate(words)],
     )
     totals = counted.agg(
         F.count(F.lit(1)).alias("n"), F.sum("_len").alias("len"),

@@ -41,7 +41,7 @@ def rebuild(
     The old version stays readable throughout; a copy that fails verification is never published. A
     finished copy of the same ``label`` is not repeated. Returns the verification row.
     """
-    done = f"{root}/_done-{label}"
+    done = f"{root}/DONE-{label}"
     version = snapshots.current_version(spark, root)
     if version is None:
         raise ValueError(f"no published version under {root}")

@@ -2,6 +2,6 @@
 
 
 def groups():
-    from recordlake.registry import filters, reads, shapes, writes
+    from recordlake.registry import checks, filters, graphs, reads, series, shapes, writes
 
-    return [m.G for m in (reads, filters, shapes, writes)]
+    return [m.G for m in (reads, filters, shapes, writes, checks, graphs, series)]

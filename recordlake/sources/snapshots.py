@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-POINTER = "_current"
+POINTER = "CURRENT"
 
 
 def _fs(spark: SparkSession, path: str):
