@@ -82,8 +82,14 @@ def work(v: Column, kind: Column, shape: Column, target, json_source: bool) -> C
     if isinstance(target, (ListOf, SetOf)):
         items = F.when(kind == "list", _get(v, "array<variant>"))
         label = "set" if isinstance(target, SetOf) else "list"
-        return F.transform(items, lambda x, i: read_value(
+        one_by_one = F.transform(items, lambda x, i: read_value(
             x, target.item, F.concat(F.lit(f"{label}["), i.cast("string"), F.lit("]")), json_source))
+        whole = _uniform_list(v, shape, target.item)
+        if whole is None:
+            return one_by_one
+        no_error = F.lit(None).cast(ERROR_TYPE)
+        good = F.transform(whole, lambda x: F.struct(x.alias("value"), no_error.alias("error")))
+        return F.coalesce(good, one_by_one)
     if isinstance(target, MapOf):
         entries = F.map_entries(F.when(kind == "map", v.try_cast("map<string,variant>")))
         return F.transform(entries, lambda e: F.struct(
@@ -97,6 +103,22 @@ def work(v: Column, kind: Column, shape: Column, target, json_source: bool) -> C
     return _scalar_work(v, kind, shape, target.name)
 
 
+def _uniform_list(v: Column, shape: Column, item) -> Column | None:
+    """The whole list in one read when all its items have the kind asked for, else null."""
+    name = item.name if isinstance(item, Scalar) else None
+    if name == "string":
+        return F.when(shape == "ARRAY<STRING>", _get(v, "array<string>"))
+    if name in INT_TARGETS:
+        low, high, type_name = INT_TARGETS[name]
+        numbers = F.when(shape == "ARRAY<BIGINT>", _get(v, "array<bigint>"))
+        inside = (F.array_min(numbers) >= low) & (F.array_max(numbers) <= high)
+        return F.when(inside, numbers).try_cast(f"array<{type_name}>")
+    if name in ("f32", "f64"):
+        numbers = F.when(shape.isin("ARRAY<BIGINT>", "ARRAY<DOUBLE>"), _get(v, "array<double>"))
+        return numbers.cast("array<float>") if name == "f32" else numbers
+    return None
+
+
 def finish(w: Column, kind: Column, target, path: Column) -> tuple[Column, Column]:
     """(value, error) from the work column; ``path`` names where the value sits."""
 

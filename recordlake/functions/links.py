@@ -6,14 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The rid text format.
-RID_PATTERN = r"^#\+?([0-9]+):\+?([0-9]+)$"
+RID_PATTERN = r"^#\+?[0-9]+:\+?[0-9]+$"
 
 
 def parse_link(text: Column) -> Column:
     """``#b:p`` text to STRUCT<bucket INT, pos BIGINT>; anything else, or out of range, is null."""
-    bucket = F.regexp_extract(text, RID_PATTERN, 1).try_cast("int")
-    pos = F.regexp_extract(text, RID_PATTERN, 2).try_cast("bigint")
-    return F.when(bucket.isNotNull() & pos.isNotNull(), F.struct(bucket.alias("bucket"), pos.alias("pos")))
+    bucket = F.substring_index(F.ltrim(text, F.lit("#")), ":", 1).try_cast("int")
+    pos = F.substring_index(text, ":", -1).try_cast("bigint")
+    link = F.struct(bucket.alias("bucket"), pos.alias("pos"))
+    return F.when(text.rlike(RID_PATTERN) & bucket.isNotNull() & pos.isNotNull(), link)
 
 
 def link_text(link: Column) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,10 +18,12 @@ from recordlake.functions.links import RID_PATTERN
 from recordlake.operators.load import assign_rids, bulk_load
 from recordlake.operators.skew import join_to_one
 from recordlake.operators.update import WriteResult
-from recordlake.session import durable
+from recordlake.session import stored
 
 # Most endpoint records the bounded side of create_edges may hold.
 MAX_ENDPOINTS = 10_000
+# Largest frontier, in counted vertices, that is sent to every task.
+MAX_BROADCAST_FRONTIER = 100_000
 
 
 @dataclass
@@ -55,7 +58,7 @@ def graph_load(
         "_fresh", F.coalesce(F.col("seq") == F.col("_first"), F.lit(True))
     )
     key = F.coalesce(F.col("temp_id"), F.concat(F.lit("\u0000"), F.col("seq").cast("string")))
-    created = durable(assign_rids(
+    created = stored(assign_rids(
         marked.where("_fresh").withColumn("_key", key), ["_key"], buckets, next_pos).drop("_key", "_first", "_fresh"))
     id_map = created.where("temp_id IS NOT NULL").select("temp_id", "rid")
     edges = _resolve(_resolve(records.where(~is_vertex), id_map, stored_rids, "from_ref", "out"), id_map, stored_rids, "to_ref", "in")
@@ -70,11 +73,11 @@ def graph_load(
     return GraphLoad(created.select("rid", "temp_id", *body), edges.where(good).select("out", "in", *body), id_map, outcome)
 
 
-def _resolve(edges: DataFrame, id_map: DataFrame, stored: DataFrame | None, ref: str, name: str) -> DataFrame:
+def _resolve(edges: DataFrame, id_map: DataFrame, rids: DataFrame | None, ref: str, name: str) -> DataFrame:
     found = join_to_one(edges, id_map.select(F.col("temp_id").alias(ref), F.col("rid").alias("_rid")), [ref], "left")
     is_rid = F.col(ref).rlike(RID_PATTERN)
-    if stored is not None:
-        known = stored.select(F.col("rid").alias(ref)).distinct().withColumn("_known", F.lit(True))
+    if rids is not None:
+        known = rids.select(F.col("rid").alias(ref)).distinct().withColumn("_known", F.lit(True))
         found = join_to_one(found, known, [ref], "left")
         is_rid = is_rid & F.coalesce(F.col("_known"), F.lit(False))
     resolved = F.coalesce(F.col("_rid"), F.when(is_rid, F.col(ref)))
@@ -207,24 +210,30 @@ def match_path(start: DataFrame, hops: Sequence[Hop], name: str = "a", rid: str
 def traverse(seeds: DataFrame, edges: DataFrame, max_depth: int, rid: str = "rid", direction: str = "out") -> DataFrame:
     """Breadth-first walk: every reached vertex once, with the first depth it was reached at.
 
-    Each round joins the edges to the frontier, keeps unseen vertices once, and writes the new
-    frontier to the shared folder, so lineage stays short and a lost executor redoes one round.
+    The edges are written out once. Each round joins them to the frontier (broadcast only when it
+    has been counted and is small), keeps unseen vertices once, and writes the new frontier to the
+    shared folder, so lineage stays short and a lost executor redoes one round.
     """
-    steps = edges.select("out", "in")
-    if direction == "in":
-        steps = steps.select(F.col("in").alias("out"), F.col("out").alias("in"))
-    elif direction == "both":
-        steps = steps.unionByName(steps.select(F.col("in").alias("out"), F.col("out").alias("in")))
-    visited = durable(seeds.select(F.col(rid).alias("rid")).distinct().withColumn("depth", F.lit(0)))
-    frontier = visited
+    links = stored(edges.select("out", "in"), "edges")
+    ways = {"out": [("out", "in")], "in": [("in", "out")], "both": [("out", "in"), ("in", "out")]}[direction]
+    visited = stored(seeds.select(F.col(rid).alias("rid")).distinct().withColumn("depth", F.lit(0)))
+    frontier, size = visited, visited.count()
     for depth in range(1, max_depth + 1):
-        reached = join_to_one(steps, frontier.select(F.col("rid").alias("out")), ["out"], "left_semi").select(
-            F.col("in").alias("rid")
-        ).distinct()
-        frontier = durable(
-            reached.join(visited.select("rid"), ["rid"], "left_anti").withColumn("depth", F.lit(depth))
-        )
-        if frontier.isEmpty():
+        found = [_neighbours(links, frontier, size, near, far) for near, far in ways]
+        reached = reduce(DataFrame.unionByName, found).distinct()
+        frontier = stored(
+            reached.join(visited.select("rid"), ["rid"], "left_anti").withColumn("depth", F.lit(depth)))
+        size = frontier.count()
+        if size == 0:
             break
         visited = visited.unionByName(frontier)
     return visited
+
+
+def _neighbours(edges: DataFrame, frontier: DataFrame, size: int, near: str, far: str) -> DataFrame:
+    chosen = frontier.select(F.col("rid").alias(near))
+    if size <= MAX_BROADCAST_FRONTIER:
+        hits = edges.join(F.broadcast(chosen), [near], "left_semi")
+    else:
+        hits = join_to_one(edges, chosen, [near], "left_semi")
+    return hits.select(F.col(far).alias("rid"))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordlake.operators.ordering import dense_index
+from recordlake.session import stored
 
 # BM25 parameters, reciprocal-rank constant.
 BM25_K1, BM25_B, RRF_K = 1.2, 0.75, 60
@@ -20,24 +21,25 @@ QUERY_BLOCK = 1024
 
 def tokens(text: Column) -> Column:
     """Lower-case runs of letters and digits."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
 def _occurrences(items: Column, word: str) -> Column:
-    return F.size(F.filter(items, lambda t: t == F.lit(word)))
+    return F.size(items) - F.size(F.array_remove(items, word))
 
 
 def full_text(docs: DataFrame, query: Sequence[str], k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The ``k`` best documents for the keywords by BM25, best first, ties by id.
 
-    Term counts are taken inside each row, so text never leaves its task: one scan gives the global
-    counts (one row), a second the scores, and the top k come from per-task heaps.
+    Term counts are taken inside each row, so text never leaves its task. They are written out once,
+    a few numbers per document; the global counts (one row) and the scores come from that, and the
+    top k from per-task heaps.
     """
     words = sorted({w.lower() for w in query})
-    counted = docs.select(id_col, tokens(F.col(text_col)).alias("_t")).select(
+    counted = stored(docs.select(id_col, tokens(F.col(text_col)).alias("_t")).select(
         id_col, F.size("_t").alias("_len"),
         *[_occurrences(F.col("_t"), w).alias(f"_tf{i}") for i, w in enumerate(words)],
-    )
+    ))
     totals = counted.agg(
         F.count(F.lit(1)).alias("n"), F.sum("_len").alias("len"),
         *[F.count(F.when(F.col(f"_tf{i}") > 0, F.lit(1))).alias(f"df{i}") for i in range(len(words))],

@@ -50,11 +50,22 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str = "step") -> DataFrame:
+    """Write the frame once as a Parquet table in the shared folder and go on from that table.
+
+    Cuts lineage, survives lost executors, and gives later joins the real size. Partitions and row
+    order are not kept; see ``durable`` for that.
+    """
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Write the frame once to the shared folder and go on from the written copy.
+    """Checkpoint the frame to the shared folder, partition by partition, and go on from the copy.
 
-    Used where ids or partition numbers must not change when a lost executor makes Spark run a
-    stage again, and to cut lineage in loops.
+    Used where partition numbers and row places must not change when a lost executor makes Spark
+    run a stage again.
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -54,13 +54,13 @@ def read_records(
     Text that is not a JSON object gives null properties; the row stays.
     """
     kind = F.lit(type_name) if isinstance(type_name, str) else type_name
-    parsed = df.select(
+    # Reading a non-object as a map gives null, as does broken text.
+    properties = F.try_variant_get(F.try_parse_json(F.col(json_column)), "$", "map<string,variant>")
+    return df.select(
         (rid if rid is not None else F.lit(None).cast("string")).alias("rid"),
         (kind if kind is not None else F.lit(None).cast("string")).alias("type"),
-        F.try_parse_json(F.col(json_column)).alias("_value"),
+        properties.alias("properties"),
     )
-    is_object = F.schema_of_variant("_value").startswith("OBJECT")
-    return parsed.select("rid", "type", F.when(is_object, F.col("_value").cast("map<string,variant>")).alias("properties"))
 
 
 def query_bound(

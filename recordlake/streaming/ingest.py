@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlake.operators.load import bulk_load, tallies
-from recordlake.session import durable
+from recordlake.session import stored
 from recordlake.sources import snapshots
 
 
@@ -54,7 +54,7 @@ def apply_chunks(batch: DataFrame, target: StreamTarget, keys: Sequence[str], mo
     known = read_acks(spark, target).select("session", "seq").distinct()
     fresh = batch.join(known, ["session", "seq"], "left_anti")
     # The same row of the same chunk, delivered again in this batch.
-    fresh = durable(fresh.dropDuplicates(["session", "seq", "row_no"]))
+    fresh = stored(fresh.dropDuplicates(["session", "seq", "row_no"]))
     if fresh.isEmpty():
         return
     version = (snapshots.current_version(spark, target.data) or 0) + 1

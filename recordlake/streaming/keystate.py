@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordlake.operators.keystate import final_state, kv_replay
-from recordlake.session import durable
+from recordlake.session import stored
 from recordlake.sources import snapshots
 
 
@@ -16,17 +16,17 @@ def apply_commands(batch: DataFrame, root: str, batch_id: int) -> None:
     Keys the batch does not touch are copied as they are.
     """
     spark = batch.sparkSession
-    fixed = durable(batch)
+    fixed = stored(batch)
     version = (snapshots.current_version(spark, f"{root}/state") or 0) + 1
     if version > batch_id + 1:
         return  # this batch was published before a restart
-    stored = snapshots.read_current(spark, f"{root}/state") if version > 1 else None
+    before = snapshots.read_current(spark, f"{root}/state") if version > 1 else None
     touched = fixed.select("key").distinct()
-    replayed = durable(kv_replay(fixed, stored.join(touched, ["key"], "left_semi") if stored is not None else None))
+    replayed = stored(kv_replay(fixed, before.join(touched, ["key"], "left_semi") if before is not None else None))
     state = final_state(replayed)
-    if stored is not None:
+    if before is not None:
         ran = replayed.where("code IS NULL OR code NOT IN ('malformed', 'batch_rejected')").select("key").distinct()
-        state = state.unionByName(stored.join(ran, ["key"], "left_anti"))
+        state = state.unionByName(before.join(ran, ["key"], "left_anti"))
     replayed.write.mode("overwrite").parquet(f"{root}/results/batch={batch_id}")
     state.write.mode("overwrite").parquet(snapshots.version_path(f"{root}/state", version))
     snapshots.publish(spark, f"{root}/state", version)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from recordlake.functions.values import duration_ms_of
 from recordlake.model import RecordSpec, TimeseriesSpec
 from recordlake.operators.codec import decode
-from recordlake.session import durable
+from recordlake.session import stored
 
 
 def stream_until(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], bool]) -> dict:
@@ -40,7 +40,7 @@ def stream_decode(records: DataFrame, spec: RecordSpec, root: str):
     """Decode a record stream into ``<root>/good`` and ``<root>/bad``; a retried batch overwrites its own files."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        fixed = durable(batch)
+        fixed = stored(batch)
         good, bad = decode(fixed, spec)
         good.write.mode("overwrite").parquet(f"{root}/good/batch={batch_id}")
         bad.write.mode("overwrite").parquet(f"{root}/bad/batch={batch_id}")
