@@ -104,17 +104,21 @@ def work(v: Column, kind: Column, shape: Column, target, json_source: bool) -> C
 
 
 def _uniform_list(v: Column, shape: Column, item) -> Column | None:
-    """The whole list in one read when all its items have the kind asked for, else null."""
+    """The whole list in one read when all its items have the kind asked for and none is null."""
     name = item.name if isinstance(item, Scalar) else None
+
+    def full(items: Column) -> Column:
+        return F.when(F.size(F.array_compact(items)) == F.size(items), items)
+
     if name == "string":
-        return F.when(shape == "ARRAY<STRING>", _get(v, "array<string>"))
+        return full(F.when(shape == "ARRAY<STRING>", _get(v, "array<string>")))
     if name in INT_TARGETS:
         low, high, type_name = INT_TARGETS[name]
         numbers = F.when(shape == "ARRAY<BIGINT>", _get(v, "array<bigint>"))
         inside = (F.array_min(numbers) >= low) & (F.array_max(numbers) <= high)
-        return F.when(inside, numbers).try_cast(f"array<{type_name}>")
+        return full(F.when(inside, numbers).try_cast(f"array<{type_name}>"))
     if name in ("f32", "f64"):
-        numbers = F.when(shape.isin("ARRAY<BIGINT>", "ARRAY<DOUBLE>"), _get(v, "array<double>"))
+        numbers = full(F.when(shape.isin("ARRAY<BIGINT>", "ARRAY<DOUBLE>"), _get(v, "array<double>")))
         return numbers.cast("array<float>") if name == "f32" else numbers
     return None
 
