@@ -197,8 +197,8 @@ def match_path(start: DataFrame, hops: Sequence[Hop], name: str = "a", rid: str
             F.col(near).alias(last), F.col(far).alias(next_id),
             *[F.col(c).alias(f"{hop.name}_e_{c}") for c in edges.columns if c not in ("out", "in")],
         )
-        # Both sides may repeat an id here, and the joined rows are the answer itself.
-        paths = paths.join(step, [last], "inner")
+        # Ids repeat on both sides here; the edges of a hub are spread, its paths repeated per salt.
+        paths = join_to_one(step, paths, [last], "inner")
         if hop.target is not None:
             vertex = hop.target.where(hop.where) if hop.where is not None else hop.target
             renamed = vertex.select(*[F.col(c).alias(f"{hop.name}_{c}") for c in vertex.columns])

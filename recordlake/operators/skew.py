@@ -51,7 +51,7 @@ def join_to_one(
     many: DataFrame, one: DataFrame, on: Sequence[str], how: str = "left", salts: int = SALTS,
     hot: list[tuple] | None = None,
 ) -> DataFrame:
-    """Join ``many`` to ``one`` where ``on`` is unique in ``one`` (or ``how`` is semi/anti).
+    """Join ``many`` to ``one``; ``on`` is usually unique in ``one``, but need not be.
 
     A ``one`` side under the broadcast threshold is left to Spark. Otherwise rows of hot keys get
     a salt and the matching rows of ``one`` are repeated per salt, so that a key holding a third of

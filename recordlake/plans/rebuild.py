@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlake.operators.load import bulk_load
+from recordlake.operators.skew import join_to_one
 from recordlake.operators.update import WriteResult
 from recordlake.sources import snapshots
 
@@ -25,7 +26,7 @@ def verify_copy(source_count: DataFrame | int, target: DataFrame, source: DataFr
     before = source_count.scalar() if isinstance(source_count, DataFrame) else F.lit(source_count).cast("bigint")
     out = target.agg(F.count(F.lit(1)).alias("target_rows")).withColumn("source_rows", before)
     if keys:
-        absent = source.select(*keys).join(target.select(*keys).distinct(), list(keys), "left_anti")
+        absent = join_to_one(source.select(*keys), target.select(*keys).distinct(), keys, "left_anti")
         out = out.withColumn("missing_keys", absent.agg(F.count(F.lit(1)).alias("n")).scalar())
     else:
         out = out.withColumn("missing_keys", F.lit(0).cast("bigint"))

@@ -9,7 +9,6 @@ from recordlake.operators import keystate, search, timeseries
 from recordlake.registry.base import Group, table
 from recordlake.registry.shapes import BODY, WIDE_SQL, wide
 from recordlake.session import work_path
-from recordlake.sources import snapshots
 from recordlake.sources.tables import read_records
 from recordlake.streaming import ingest, reads
 from recordlake.streaming import keystate as streamed_state
@@ -99,7 +98,7 @@ def _streamed(spark, folder, mode):
 
 @G.add("x1_stream_upsert", "SELECT user_id, event_type, arg_max(value, event_id) AS value FROM events GROUP BY 1, 2")
 def x1(spark, folder):
-    return snapshots.read_current(spark, _streamed(spark, folder, "UPDATE").data)
+    return ingest.read_table(spark, _streamed(spark, folder, "UPDATE"), events(spark, folder).select(*COLUMNS).schema)
 
 
 @G.add("x2_chunk_acks", f"""SELECT session, seq, count(*) AS received, count(*) FILTER (WHERE rk = 1) AS inserted, CAST(0 AS BIGINT) AS updated, count(*) FILTER (WHERE rk > 1) AS ignored, CAST(0 AS BIGINT) AS failed FROM

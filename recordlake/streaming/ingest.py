@@ -9,15 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlake.operators.load import bulk_load, tallies
+from recordlake.operators.skew import join_to_one
 from recordlake.session import stored
 from recordlake.sources import snapshots
 
 
 @dataclass(frozen=True)
 class StreamTarget:
-    """Where a stream load keeps its table, its per-chunk acks and its stream checkpoint."""
+    """Where a stream load keeps its table, its per-chunk acks and its stream checkpoint.
+
+    The bucket count is fixed for the life of the table; choose it so that a bucket is a few
+    gigabytes.
+    """
 
     root: str
+    buckets: int = 16
 
     @property
     def data(self) -> str:
@@ -52,24 +58,35 @@ def apply_chunks(batch: DataFrame, target: StreamTarget, keys: Sequence[str], mo
     """
     spark = batch.sparkSession
     known = read_acks(spark, target).select("session", "seq").distinct()
-    fresh = batch.join(known, ["session", "seq"], "left_anti")
+    fresh = join_to_one(batch, known, ["session", "seq"], "left_anti")
     # The same row of the same chunk, delivered again in this batch.
-    fresh = stored(fresh.dropDuplicates(["session", "seq", "row_no"]))
+    fresh = stored(fresh.dropDuplicates(["session", "seq", "row_no"]), "chunks")
     if fresh.isEmpty():
         return
-    version = (snapshots.current_version(spark, target.data) or 0) + 1
-    base = snapshots.read_current(spark, target.data) if version > 1 else spark.createDataFrame([], fresh.select(*columns).schema)
+    schema = fresh.select(*columns).schema
     # Unique and in (session, seq, row) order; struct comparison is lexicographic.
     incoming = fresh.select(*columns, F.struct("session", "seq", "row_no").alias("row_index"))
-    result = bulk_load(base, incoming, keys, mode, update_cols)
-    chunk = result.outcome.select(F.col("row_index.session").alias("session"), F.col("row_index.seq").alias("seq"), "status")
+    outcome = None
+
+    def load(base: DataFrame) -> DataFrame:
+        nonlocal outcome
+        result = bulk_load(base, incoming, keys, mode, update_cols)
+        outcome = result.outcome
+        return result.snapshot
+
+    version = snapshots.rewrite_buckets(fresh, target.data, schema, keys, target.buckets, load)
+    chunk = outcome.select(F.col("row_index.session").alias("session"), F.col("row_index.seq").alias("seq"), "status")
     acks = tallies(chunk, by=["session", "seq"]).withColumn("version", F.lit(version).cast("bigint"))
     # A failed attempt at this version may have left its acks behind.
     acks.write.mode("overwrite").parquet(f"{target.acks}/version={version}")
-    result.snapshot.write.mode("overwrite").parquet(snapshots.version_path(target.data, version))
     snapshots.publish(spark, target.data, version)
 
 
+def read_table(spark: SparkSession, target: StreamTarget, schema) -> DataFrame:
+    """The loaded table as last published."""
+    return snapshots.read_buckets(spark, target.data, schema)
+
+
 def stream_load(
     chunks: DataFrame, target: StreamTarget, keys: Sequence[str], mode: str, columns: Sequence[str], update_cols: Sequence[str] = ()
 ):
@@ -89,11 +106,11 @@ def session_gate(chunks: DataFrame, commits: DataFrame | None = None) -> DataFra
     """
     opening = chunks.groupBy("session").agg(
         F.min("seq").alias("_first"), F.min_by(F.struct("options"), "seq")["options"].alias("_options"))
-    gated = chunks.join(opening, ["session"], "left").withColumn(
+    gated = join_to_one(chunks, opening, ["session"], "left").withColumn(
         "code", F.when(F.col("_options").isNull() | (F.col("_first") != 1), F.lit("missing_options")))
     gated = gated.withColumn("options", F.col("_options")).drop("_options", "_first")
     if commits is None:
         return gated
     ends = commits.groupBy("session").agg(F.min("commit").alias("_commit"))
     verdict = F.when(F.col("code").isNotNull(), F.col("code")).when(F.col("_commit").isNull(), F.lit("open")).when(~F.col("_commit"), F.lit("rolled_back"))
-    return gated.join(ends, ["session"], "left").withColumn("code", verdict).drop("_commit")
+    return join_to_one(gated, ends, ["session"], "left").withColumn("code", verdict).drop("_commit")

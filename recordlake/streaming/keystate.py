@@ -3,32 +3,37 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordlake.operators.keystate import final_state, kv_replay
+from recordlake.operators.skew import join_to_one
 from recordlake.session import stored
 from recordlake.sources import snapshots
 
 
-def apply_commands(batch: DataFrame, root: str, batch_id: int) -> None:
+STATE = T.StructType([
+    T.StructField("key", T.StringType()), T.StructField("state_kind", T.StringType()),
+    T.StructField("state_value", T.StringType()), T.StructField("state_expiry", T.LongType())])
+
+
+def apply_commands(batch: DataFrame, root: str, batch_id: int, buckets: int = 16) -> None:
     """Replay one micro-batch on the stored state; results and new state are visible together.
 
-    Keys the batch does not touch are copied as they are.
+    State is kept in key buckets; only the buckets the batch touches are written again.
     """
     spark = batch.sparkSession
-    fixed = stored(batch)
-    version = (snapshots.current_version(spark, f"{root}/state") or 0) + 1
-    if version > batch_id + 1:
+    if (snapshots.current_version(spark, f"{root}/state") or 0) > batch_id:
         return  # this batch was published before a restart
-    before = snapshots.read_current(spark, f"{root}/state") if version > 1 else None
+    fixed = stored(batch, "commands")
     touched = fixed.select("key").distinct()
-    replayed = stored(kv_replay(fixed, before.join(touched, ["key"], "left_semi") if before is not None else None))
-    state = final_state(replayed)
-    if before is not None:
+
+    def replay(before: DataFrame) -> DataFrame:
+        replayed = stored(kv_replay(fixed, join_to_one(before, touched, ["key"], "left_semi")), "replayed")
+        replayed.write.mode("overwrite").parquet(f"{root}/results/batch={batch_id}")
         ran = replayed.where("code IS NULL OR code NOT IN ('malformed', 'batch_rejected')").select("key").distinct()
-        state = state.unionByName(before.join(ran, ["key"], "left_anti"))
-    replayed.write.mode("overwrite").parquet(f"{root}/results/batch={batch_id}")
-    state.write.mode("overwrite").parquet(snapshots.version_path(f"{root}/state", version))
+        return final_state(replayed).unionByName(before.join(ran, ["key"], "left_anti"))
+
+    version = snapshots.rewrite_buckets(touched.where("key IS NOT NULL"), f"{root}/state", STATE, ["key"], buckets, replay)
     snapshots.publish(spark, f"{root}/state", version)
 
 

@@ -93,6 +93,7 @@ def test_streamed_state_equals_one_replay(spark):
 
 # ---- ingest ---------------------------------------------------------------------------------
 
+LOADED = "k int, v string"
 CHUNK = "session string, seq bigint, row_no bigint, k int, v string"
 
 
@@ -109,7 +110,7 @@ def test_chunks_once_however_often_delivered(spark):
         spark.createDataFrame(rows, CHUNK).coalesce(1).write.mode("append").parquet(folder)
         stream = spark.readStream.schema(CHUNK).option("maxFilesPerTrigger", 1).parquet(folder)
         ingest.stream_load(stream, target, ["k"], "UPDATE", ["k", "v"]).awaitTermination()
-    assert sorted(map(tuple, snapshots.read_current(spark, target.data).collect())) == [(1, "z"), (2, "c"), (3, "d")]
+    assert sorted(map(tuple, ingest.read_table(spark, target, LOADED).collect())) == [(1, "z"), (2, "c"), (3, "d")]
     acks = {(r["session"], r["seq"]): (r["inserted"], r["updated"], r["failed"]) for r in ingest.read_acks(spark, target).collect()}
     assert acks == {("s", 1): (2, 0, 0), ("s", 2): (1, 2, 0), ("t", 1): (0, 1, 1)}
 
@@ -120,11 +121,26 @@ def test_an_unpublished_attempt_is_invisible(spark):
     rows = spark.createDataFrame(chunk("s", 1, (1, "a")), CHUNK)
     spark.createDataFrame([("s", 1, 1, 1, 0, 0, 0, 1)], ingest.ACKS).write.parquet(f"{target.acks}/version=1")
     ingest.apply_chunks(rows, target, ["k"], "IGNORE", ["k", "v"])
-    assert snapshots.read_current(spark, target.data).count() == 1
+    assert ingest.read_table(spark, target, LOADED).count() == 1
     ingest.apply_chunks(rows, target, ["k"], "IGNORE", ["k", "v"])
     assert snapshots.current_version(spark, target.data) == 1
 
 
+def test_only_touched_buckets_are_written(spark):
+    root, schema = work_path(spark, "table"), "k bigint, v string"
+    rows = spark.range(200).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    snapshots.publish(spark, root, snapshots.rewrite_buckets(rows, root, schema, ["k"], 8, lambda old: rows))
+    change = spark.createDataFrame([(5, "b")], schema)
+    version = snapshots.rewrite_buckets(
+        change, root, schema, ["k"], 8, lambda old: old.where("k <> 5").unionByName(change))
+    assert snapshots.read_buckets(spark, root, schema).where("v = 'b'").count() == 0  # not published yet
+    snapshots.publish(spark, root, version)
+    table = snapshots.read_buckets(spark, root, schema)
+    assert table.count() == 200 and [r["k"] for r in table.where("v = 'b'").collect()] == [5]
+    files = {f.split("/v=")[1].split("/")[0] for f in table.inputFiles()}
+    assert files == {"1", "2"} and sum("/v=2/" in f for f in table.inputFiles()) < len(table.inputFiles()) / 2
+
+
 def test_session_gate(spark):
     rows = spark.createDataFrame(
         [("a", 1, "o"), ("a", 2, None), ("b", 1, None), ("c", 2, "o"), ("d", 1, "o"), ("e", 1, "o")], "session string, seq bigint, options string")
