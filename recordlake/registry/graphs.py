@@ -101,10 +101,14 @@ def supply(spark, folder):
         F.concat(F.lit("s"), F.col("l_suppkey")).alias("out"), F.concat(F.lit("p"), F.col("l_partkey")).alias("in")).distinct()
 
 
-@G.add("g4_both", f"SELECT \"out\" AS source, \"in\" AS neighbour FROM {SUPPLY_SQL} WHERE \"out\" IN ('s1', 'p2', 's3') UNION ALL SELECT \"in\", \"out\" FROM {SUPPLY_SQL} WHERE \"in\" IN ('s1', 'p2', 's3')")
+CHOSEN_SQL = "(SELECT 's' || s_suppkey FROM supplier WHERE s_acctbal > 5000 UNION ALL SELECT 'p' || p_partkey FROM part WHERE p_brand = 'Brand#2')"
+
+
+@G.add("g4_both", f"SELECT \"out\" AS source, \"in\" AS neighbour FROM {SUPPLY_SQL} WHERE \"out\" IN {CHOSEN_SQL} UNION ALL SELECT \"in\", \"out\" FROM {SUPPLY_SQL} WHERE \"in\" IN {CHOSEN_SQL}")
 def g4_both(spark, folder):
-    chosen = spark.createDataFrame([("s1",), ("p2",), ("s3",)], "rid string")
-    return graph.both(chosen, supply(spark, folder))
+    suppliers = table(spark, folder, "supplier").where("s_acctbal > 5000").select(F.concat(F.lit("s"), F.col("s_suppkey")).alias("rid"))
+    parts = table(spark, folder, "part").where("p_brand = 'Brand#2'").select(F.concat(F.lit("p"), F.col("p_partkey")).alias("rid"))
+    return graph.both(suppliers.unionByName(parts), supply(spark, folder))
 
 
 @G.add("g5_out_e", "SELECT o_custkey AS \"out\", o_orderkey AS \"in\" FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING'")
