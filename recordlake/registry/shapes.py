@@ -205,7 +205,7 @@ def _json_rows(spark, folder, name, key, *parts):
 
 def _decoded(name, sql, source, spec, select):
     def good(spark, folder):
-        return codec.decode(source(spark, folder), spec)[0].select(*select)
+        return codec.decode(source(spark, folder), spec)[0].selectExpr(*select)
 
     G.add(name, sql)(good)
 
@@ -224,10 +224,10 @@ _decoded("d4_bool", "SELECT CAST(o_orderkey AS VARCHAR) AS rid, o_totalprice > 2
 _decoded("d5_i16", "SELECT CAST(o_orderkey AS VARCHAR) AS rid, CAST(o_orderkey AS SMALLINT) AS key FROM orders WHERE o_orderkey <= 32767", _order_rows, RecordSpec("o", (FieldSpec("key", Scalar("i16")),)), ["rid", "key"])
 _decoded("d5_u8", "SELECT CAST(o_orderkey AS VARCHAR) AS rid, CAST(o_orderkey AS SMALLINT) AS key FROM orders WHERE o_orderkey <= 255", _order_rows, RecordSpec("o", (FieldSpec("key", Scalar("u8")),)), ["rid", "key"])
 _decoded("d6_f64", "SELECT CAST(o_orderkey AS VARCHAR) AS rid, CAST(o_orderkey AS DOUBLE) AS key, o_totalprice AS price FROM orders", _order_rows, RecordSpec("o", (FieldSpec("key", Scalar("f64")), FieldSpec("price", Scalar("f64")))), ["rid", "key", "price"])
-_decoded("d7_datetime", "SELECT CAST(o_orderkey AS VARCHAR) AS rid, CAST(epoch(o_orderdate) - 7200 AS BIGINT) AS placed FROM orders", _order_rows, RecordSpec("o", (FieldSpec("placed", Scalar("datetime")),)), ["rid", F.unix_timestamp("placed").alias("placed")])
-_decoded("d10_list", "SELECT CAST(o_orderkey AS VARCHAR) AS rid, o_custkey || ',' || o_orderkey || ',' || o_custkey AS ids FROM orders", _order_rows, RecordSpec("o", (FieldSpec("ids", ListOf(Scalar("i64"))),)), ["rid", F.array_join("ids", ",").alias("ids")])
-_decoded("d10_set", "SELECT CAST(o_orderkey AS VARCHAR) AS rid, CASE WHEN o_custkey = o_orderkey THEN CAST(o_custkey AS VARCHAR) ELSE o_custkey || ',' || o_orderkey END AS ids FROM orders", _order_rows, RecordSpec("o", (FieldSpec("ids", SetOf(Scalar("i64"))),)), ["rid", F.array_join("ids", ",").alias("ids")])
-_decoded("d12_decimal", "SELECT CAST(o_orderkey AS VARCHAR) AS rid, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders", _order_rows, RecordSpec("o", (FieldSpec("price", DecimalOf(2)),)), ["rid", F.col("price").cast("decimal(18,2)").alias("price")])
+_decoded("d7_datetime", "SELECT CAST(o_orderkey AS VARCHAR) AS rid, CAST(epoch(o_orderdate) - 7200 AS BIGINT) AS placed FROM orders", _order_rows, RecordSpec("o", (FieldSpec("placed", Scalar("datetime")),)), ["rid", "unix_timestamp(placed) AS placed"])
+_decoded("d10_list", "SELECT CAST(o_orderkey AS VARCHAR) AS rid, o_custkey || ',' || o_orderkey || ',' || o_custkey AS ids FROM orders", _order_rows, RecordSpec("o", (FieldSpec("ids", ListOf(Scalar("i64"))),)), ["rid", "array_join(ids, ',') AS ids"])
+_decoded("d10_set", "SELECT CAST(o_orderkey AS VARCHAR) AS rid, CASE WHEN o_custkey = o_orderkey THEN CAST(o_custkey AS VARCHAR) ELSE o_custkey || ',' || o_orderkey END AS ids FROM orders", _order_rows, RecordSpec("o", (FieldSpec("ids", SetOf(Scalar("i64"))),)), ["rid", "array_join(ids, ',') AS ids"])
+_decoded("d12_decimal", "SELECT CAST(o_orderkey AS VARCHAR) AS rid, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders", _order_rows, RecordSpec("o", (FieldSpec("price", DecimalOf(2)),)), ["rid", "CAST(price AS DECIMAL(18,2)) AS price"])
 _decoded("d13_link", "SELECT CAST(o_orderkey AS VARCHAR) AS rid, CAST(12 AS INTEGER) AS bucket, o_custkey AS pos FROM orders", _order_rows, RecordSpec("o", (FieldSpec("customer", Scalar("link")),)), ["rid", "customer.bucket", "customer.pos"])
 _decoded("d14_custom", "SELECT CAST(o_orderkey AS VARCHAR) AS rid, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS level FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED'", _order_rows,
          RecordSpec("o", (FieldSpec("level", Custom(lambda v: F.when(~F.try_variant_get(v, "$", "string").endswith("SPECIFIED"), F.substring(F.try_variant_get(v, "$", "string"), 1, 1)), "int"), read_as="priority"),)), ["rid", "level"])

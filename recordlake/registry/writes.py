@@ -19,28 +19,30 @@ def orders(spark, folder):
     return table(spark, folder, "orders").select(*ALL.split(", "))
 
 
-def _updated(name: str, where: Where, sets, sql: str, source=None) -> None:
+def open_orders() -> Where:
+    return Where().eq("o_orderstatus", "O")
+
+
+def _updated(name: str, where, sets, sql: str) -> None:
     def run(spark, folder):
-        base = source(spark, folder) if source else orders(spark, folder)
-        return update.update_where(base, where, sets())
+        return update.update_where(orders(spark, folder), where(), sets())
 
     G.add(name, sql)(run)
 
 
-OPEN = Where().eq("o_orderstatus", "O")
-_updated("u1_set", OPEN, lambda: Set().set("o_orderpriority", "first").set("o_orderpriority", "last"),
+_updated("u1_set", open_orders, lambda: Set().set("o_orderpriority", "first").set("o_orderpriority", "last"),
          "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CASE WHEN o_orderstatus = 'O' THEN 'last' ELSE o_orderpriority END AS o_orderpriority FROM orders")
-_updated("u2_set_opt", OPEN, lambda: Set().set_opt("o_orderpriority", None).set_opt("o_custkey", F.when(F.col("o_totalprice") > 250000, F.lit(-1))),
+_updated("u2_set_opt", open_orders, lambda: Set().set_opt("o_orderpriority", None).set_opt("o_custkey", F.when(F.col("o_totalprice") > 250000, F.lit(-1))),
          "SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' AND o_totalprice > 250000 THEN -1 ELSE o_custkey END AS o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
-_updated("u3_set_when", OPEN, lambda: Set().set_when(True, "o_custkey", 5).set_when(False, "o_orderpriority", "x"),
+_updated("u3_set_when", open_orders, lambda: Set().set_when(True, "o_custkey", 5).set_when(False, "o_orderpriority", "x"),
          "SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN 5 ELSE o_custkey END AS o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
-_updated("u4_set_raw", OPEN, lambda: Set().set_raw("o_orderpriority", "concat(o_orderpriority, :tail)", tail="-it's"),
+_updated("u4_set_raw", open_orders, lambda: Set().set_raw("o_orderpriority", "concat(o_orderpriority, :tail)", tail="-it's"),
          "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CASE WHEN o_orderstatus = 'O' THEN o_orderpriority || '-it''s' ELSE o_orderpriority END AS o_orderpriority FROM orders")
-_updated("u5_set_expr", OPEN, lambda: Set().set_expr("o_custkey", "o_custkey + 1").set_expr("o_orderkey", "o_orderkey + o_custkey"),
+_updated("u5_set_expr", open_orders, lambda: Set().set_expr("o_custkey", "o_custkey + 1").set_expr("o_orderkey", "o_orderkey + o_custkey"),
          "SELECT CASE WHEN o_orderstatus = 'O' THEN o_orderkey + o_custkey ELSE o_orderkey END AS o_orderkey, CASE WHEN o_orderstatus = 'O' THEN o_custkey + 1 ELSE o_custkey END AS o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
-_updated("u7_set_or_null", OPEN, lambda: Set().set_or_null("o_orderpriority", None).set_or_null("o_custkey", 3),
+_updated("u7_set_or_null", open_orders, lambda: Set().set_or_null("o_orderpriority", None).set_or_null("o_custkey", 3),
          "SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN 3 ELSE o_custkey END AS o_custkey, o_orderstatus, o_totalprice, CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders")
-_updated("u9_update_where", Where().between("o_totalprice", 100000, 200000).like("o_orderpriority", "?-H%"),
+_updated("u9_update_where", lambda: Where().between("o_totalprice", 100000, 200000).like("o_orderpriority", "?-H%"),
          lambda: Set().set("o_orderstatus", "X").set_expr("o_custkey", "-o_custkey"),
          "SELECT o_orderkey, CASE WHEN h THEN -o_custkey ELSE o_custkey END AS o_custkey, CASE WHEN h THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice, o_orderpriority FROM (SELECT *, o_totalprice BETWEEN 100000 AND 200000 AND o_orderpriority LIKE '_-H%' AS h FROM orders)")
 
@@ -83,17 +85,17 @@ def u10_hit(spark, folder):
 
 @G.add("u11_return_before", f"SELECT {ALL} FROM orders WHERE o_orderstatus = 'O'")
 def u11_before(spark, folder):
-    return update.update_where(orders(spark, folder), OPEN, Set().set("o_custkey", 0), returning="before")
+    return update.update_where(orders(spark, folder), open_orders(), Set().set("o_custkey", 0), returning="before")
 
 
 @G.add("u11_return_after", "SELECT o_orderkey, CAST(0 AS BIGINT) AS o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders WHERE o_orderstatus = 'O'")
 def u11_after(spark, folder):
-    return update.update_where(orders(spark, folder), OPEN, Set().set("o_custkey", 0), returning="after")
+    return update.update_where(orders(spark, folder), open_orders(), Set().set("o_custkey", 0), returning="after")
 
 
 @G.add("u11_return_count", "SELECT count(*) AS affected FROM orders WHERE o_orderstatus = 'O'")
 def u11_count(spark, folder):
-    return update.update_where(orders(spark, folder), OPEN, Set().set("o_custkey", 0), returning="count")
+    return update.update_where(orders(spark, folder), open_orders(), Set().set("o_custkey", 0), returning="count")
 
 
 # Per-customer order facts: an incoming table that covers most, not all, customers.

@@ -27,3 +27,13 @@ def test_every_twin_has_a_query():
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_registry_needs_no_session():
+    """Queries and SQL can be listed before any session exists."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries())"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[1], timeout=60)
