@@ -74,7 +74,12 @@ def sparse_neighbors(
     pairs = F.filter(F.arrays_zip(F.col(tokens_col).alias("t"), F.col(weights_col).alias("w")), lambda p: p["t"].isin(list(query)))
     product = F.aggregate(pairs, F.lit(0.0), lambda acc, p: acc + p["w"].cast("double") * F.element_at(lookup, p["t"]))
     hit = F.arrays_overlap(F.col(tokens_col), F.array(*[F.lit(t) for t in query]))
-    return _top(vectors.where(hit).select(id_col, F.round(product, 6).alias("score")), k, id_col)
+    # An exploded one-row list filters like a WHERE, but is not pushed below the columns it reads, so
+    # lists that are computed on the way in are computed once.
+    scored = vectors.select(
+        F.explode(F.when(hit, F.array(F.struct(F.col(id_col), F.round(product, 6).alias("score"))))).alias("h")
+    ).select("h.*")
+    return _top(scored, k, id_col)
 
 
 def _block_scorer(ids: list, matrix: np.ndarray, k: int, id_col: str, vec_col: str):

@@ -124,7 +124,8 @@ def k13(spark, folder):
     return quality.type_drift(_needed(spark), catalog.observed_columns(wide_records(spark, folder)))
 
 
-@G.add("k15_schema_checksum")
+@G.add("k15_schema_checksum", f"""SELECT sha256(string_agg(h, ',' ORDER BY h)) AS checksum FROM (SELECT sha256(concat_ws(chr(1), chr(0), 'false', 'DOCUMENT', CAST(mandatory AS VARCHAR), chr(0), chr(0),
+ CAST(not_null AS VARCHAR), property, 'false', chr(0), type, type_name)) AS h FROM {OBSERVED_SQL})""")
 def k15(spark, folder):
     return catalog.schema_checksum(catalog.observed_columns(wide_records(spark, folder)))
 
