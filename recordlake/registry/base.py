@@ -28,4 +28,7 @@ class Group:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One of the given tables. The registered queries read times as UTC, whatever the session had."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{folder}/{name}.parquet")
