@@ -21,3 +21,10 @@ def language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     net = langid.train(docs, crc(4) != 2)
     return langid.identify(docs.select("doc_id", (crc(4) == 2).alias("held_out"), "text"), net).drop("text")
+
+
+@G.add("op10_ngram_jaccard_join")
+def ngram_jaccard_join(spark, sf_dir):
+    from recordlake.llm import jaccard
+
+    return jaccard.near_components(table(spark, sf_dir, "documents"))
