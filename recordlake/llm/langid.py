@@ -172,11 +172,11 @@ def train(docs: DataFrame, may_train: Column, text: str = "text", lang: str = "l
     """
     hashed = F.xxhash64(key, F.lit(11))
     place = F.pmod(hashed, F.greatest(F.length(text) - STRETCH, F.lit(0)) + 1).cast("int") + 1
-    chosen = (
-        docs.where(may_train & F.col(lang).isNotNull() & F.col(text).isNotNull())
-        .select(F.substring(F.col(text), place, F.lit(STRETCH)).alias("t"), F.col(lang).alias("l"), hashed.alias("h"))
-        .orderBy("h", "l", "t").limit(rows)
-    )
+    usable = docs.where(may_train & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+        F.substring(F.col(text), place, F.lit(STRETCH)).alias("t"), F.col(lang).alias("l"), hashed.alias("h"))
+    # First the hashes alone, then the texts of the chosen rows: tasks send no others.
+    last = usable.select("h").orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    chosen = usable.where(F.col("h") <= F.lit(last)).orderBy("h", "l", "t").limit(rows)
     return fit([(r["t"], r["l"]) for r in chosen.select("t", "l").collect()])
 
 

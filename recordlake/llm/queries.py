@@ -28,3 +28,51 @@ def ngram_jaccard_join(spark, sf_dir):
     from recordlake.llm import jaccard
 
     return jaccard.near_components(table(spark, sf_dir, "documents"))
+
+
+MIX_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    md5('mix:' || coalesce(doc_id::VARCHAR, md5(text), '')) AS k FROM documents),
+per AS (SELECT source, sum(size)::BIGINT AS s FROM sized GROUP BY source),
+weighed AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1] AS w FROM per),
+stops AS (SELECT *, sum(s) OVER () * 150 AS total,
+    coalesce(sum(2 * s) OVER (ORDER BY 2 * s * (10 // w), source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stopped,
+    sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY 2 * s * (10 // w), source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o
+  FROM weighed),
+shares AS (SELECT *, max(CASE WHEN (total - 100 * stopped) * w <= 200 * s * o
+    THEN (total - 100 * stopped)::DOUBLE / (100 * o)::DOUBLE END) OVER () AS share FROM stops),
+targets AS (SELECT source, s, coalesce(least((2 * s)::DOUBLE, share * w), (2 * s)::DOUBLE) AS target FROM shares),
+cuts AS (SELECT d.doc_id, d.size, t.s, t.target, floor(t.target + 0.5)::BIGINT AS budget,
+    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS ahead
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+whole AS (SELECT *, CASE WHEN s > 0 THEN budget // s ELSE 0 END AS w FROM cuts)
+SELECT doc_id, size, s AS source_size, target, (w * size + greatest(0, least(size, budget - w * s - ahead)))::BIGINT AS taken FROM whole"""
+
+
+@G.add("op3_mix_sources", MIX_SQL)
+def mix_sources(spark, sf_dir):
+    from recordlake.llm import mixing
+    from recordlake.session import stored
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count("text").alias("size"))
+    # The sizes, a few bytes a row, are counted once.
+    return mixing.mix(stored(docs, "sizes")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@G.add("op4_token_id_codes")
+def token_id_codes(spark, sf_dir):
+    from recordlake.llm import dac, tokens
+    from recordlake.session import work_path
+
+    path = work_path(spark, "codes")
+    dac.write(table(spark, sf_dir, "documents"), path, tokens.tokenizer_path("byte_bpe_50k.json"), 2)
+    return dac.read(spark, path).withColumnRenamed("key", "doc_id")
+
+
+@G.add("op6_benchmark_leaks")
+def benchmark_leaks(spark, sf_dir):
+    from recordlake.llm import leaks
+
+    found = leaks.annotate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
