@@ -26,8 +26,10 @@ ORACLE_SQL = None
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is in one of the learned languages; a null text goes, as ``und``."""
     learns = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)), F.lit(0)) != 2
-    told = langid.identify(docs, langid.train(docs, learns))
-    # With nothing to learn from, no text can be told from another and only those without letters go.
+    net = langid.train(docs, learns)
+    if net is None:  # nothing to learn from: only texts without a letter go
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    told = langid.identify(docs, net)
     return told.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
 
 

@@ -76,3 +76,54 @@ def benchmark_leaks(spark, sf_dir):
 
     found = leaks.annotate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+QUALITY_SQL = r"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+g AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g) WHERE n > 1),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY doc_id),
+m AS (SELECT w.doc_id, t, words, lines, len(words)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    coalesce(covered.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN covered USING (doc_id)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND word_chars BETWEEN 2 * n_words AND 15 * n_words AND 5 * n_symbols <= n_words
+  AND 10 * n_dup_lines <= 3 * len(lines)
+  AND 10 * len(list_filter(words, x -> regexp_matches(x, '\p{L}'))) >= 7 * n_words
+  AND 2 * length(regexp_replace(t, '[^\p{Lu}]+', '', 'g')) <= word_chars
+  AND 10 * len(list_filter(lines, x -> regexp_matches(x, '^\s*[-*•]'))) <= 9 * len(lines)
+  AND 10 * len(list_filter(lines, x -> regexp_matches(x, '(\.\.\.|…)\s*$'))) <= 3 * len(lines) AS kept FROM f"""
+
+
+@G.add("op8_quality_cascade", QUALITY_SQL)
+def quality_cascade(spark, sf_dir):
+    from recordlake.llm import quality
+
+    return quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+BOILERPLATE_SQL = r"""
+WITH p AS (SELECT page_id, row_number() OVER () AS r, lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+  list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+    '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '', 'g'),
+    '(?i)</?(a|abbr|b|code|em|i|small|span|strong|sub|sup|u)\b[^>]*>', '', 'g'), '<[^>]*>', chr(10), 'g'), chr(10)),
+    x -> trim(regexp_replace(x, '[ \t\r\x0b\x0c]+', ' ', 'g'), ' ')), x -> x <> '') AS lines FROM pages),
+l AS (SELECT r, host, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM p),
+n AS (SELECT host, line, count(DISTINCT r) AS n FROM l GROUP BY host, line),
+t AS (SELECT host, count(*) AS total FROM p GROUP BY host),
+bad AS (SELECT host, line FROM n JOIN t USING (host) WHERE n >= 3 AND n > 0.3::DOUBLE * total),
+k AS (SELECT l.r, count(*) AS n, string_agg(l.line, chr(10) ORDER BY l.i) AS kept FROM l LEFT JOIN bad ON l.host = bad.host AND l.line = bad.line
+  WHERE bad.line IS NULL GROUP BY l.r)
+SELECT p.page_id, p.host, len(p.lines)::BIGINT AS n_lines, (len(p.lines) - coalesce(k.n, 0))::BIGINT AS n_dropped,
+  sha256(coalesce(k.kept, '')) AS kept_sha256 FROM p LEFT JOIN k ON p.r = k.r"""
+
+
+@G.add("op7_site_boilerplate", BOILERPLATE_SQL)
+def site_boilerplate(spark, sf_dir):
+    from recordlake.llm import boilerplate
+
+    made = boilerplate.drop_boilerplate(table(spark, sf_dir, "pages"))
+    return made.withColumn("kept_sha256", F.sha2(F.col("kept").cast("binary"), 256)).drop("kept")
