@@ -5,14 +5,19 @@ All n-grams are ordered by a 64-bit hash, and that global order is cut into frag
 * Candidates. Two sets of sizes n <= m with Jaccard at least t differ in at most n (1-t)/t n-grams,
   so of more fragments than that, some are equal in both. Each document gives one signature per
   fragment of its size level (and of the next lower level where a partner may lie there). A few
-  spare fragments keep empty ones from being the only equal ones.
-* Counting. Candidate pairs are counted fragment by fragment: each fragment's partial overlap in
-  a task of its own, then summed per pair and held against the threshold.
-
-Equal sets are one class and are compared once. In a group with an equal fragment every member is
-first held against the group's smallest document; what those links leave in different components is
-compared next, so that a large group of near copies costs about one comparison for each member and
-no link between components is lost. Groups are split by fragment and salt, never by dropping rows.
+  spare fragments keep empty ones from being the only equal ones. Documents with an equal fragment
+  form a group.
+* Bounds. Each document carries its n-gram counts in finer cuts of the same order. The sum of two
+  documents' count differences never exceeds the number of n-grams they differ in, so most pairs of a
+  group are ruled out inside the task that holds it. Of the others only a spanning forest goes on.
+* Counting. Those pairs are counted fragment by fragment: each fragment's partial overlap in a task
+  of its own, then summed per pair and held against the threshold.
+
+If all edges of a forest are links, the group is settled, since further links would join what is
+joined. Groups with an edge that is none are looked at once more, with all their open pairs that lie
+between components. So no link between components is lost, and a large group of near copies does not
+become all its pairs. Equal sets are one class and are compared once. A group of more than
+``GROUP_BLOCK`` documents is compared in blocks, each pair of blocks in a task of its own.
 
 Nulls and edges: a text without words, or null, has an empty set and no links. Rows with a null id
 come back with a null component. Rows that repeat an id count as one document (the one with the
@@ -24,7 +29,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +40,11 @@ from recordlake.llm.text import blocks, mix, plain, shingles, word_hashes, words
 from recordlake.session import stored
 
 SPARE = 3
-COUNT_FRAGMENTS = 4
 SALTS = 4
+GROUP_BLOCK = 4096
+#: N-grams per cut of the count vectors, and the longest vector.
+PER_CUT = 3
+MOST_CUTS = 1 << 14
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -108,14 +115,23 @@ def signatures(h: np.ndarray, owner: np.ndarray, sizes: np.ndarray, threshold: F
     return np.concatenate(sigs), np.concatenate(docs)
 
 
-_SPREAD = "bucket int, doc_id long, n long, digest binary, docs binary, counts binary, sigs binary"
-_FOUND = "kind string, a long, b long, n long, digest binary"
+def count_vectors(h: np.ndarray, owner: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """N-grams in each of 2^r equal cuts of the hash order, r by the set's size; at most 255 are told."""
+    r = np.ceil(np.log2(np.clip(sizes / PER_CUT, 8, MOST_CUTS))).astype(np.int64)
+    first = np.concatenate([[0], np.cumsum(1 << r)])
+    cut = (h >> (np.uint64(64) - r[owner].astype(np.uint64))).astype(np.int64)
+    counts = np.minimum(np.bincount(first[owner] + cut, minlength=first[-1]), 255).astype(np.uint8)
+    return [counts[a:b].tobytes() for a, b in zip(first, first[1:])]
+
+
+_SPREAD = "bucket int, doc_id long, n long, digest binary, cuts binary, docs binary, counts binary, sigs binary"
+_FOUND = "a long, b long, n long, digest binary, cuts binary"
 
 
 def _spread(width: int, threshold: Fraction, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
-                            ("docs", pa.binary()), ("counts", pa.binary()), ("sigs", pa.binary())])
+                            ("cuts", pa.binary()), ("docs", pa.binary()), ("counts", pa.binary()), ("sigs", pa.binary())])
         for block in (part for big in blocks(batches) for part in _rows(big, 60_000)):
             ids = block.column("doc_id")
             h, owner, sizes = sets_of(plain(block.column("text")), width)
@@ -135,7 +151,7 @@ def _spread(width: int, threshold: Fraction, buckets: int):
             meta = np.arange(len(sizes)) % buckets
             yield pa.RecordBatch.from_arrays(
                 [pa.array(meta, pa.int32()), ids, pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                 *[pa.nulls(len(sizes), pa.binary())] * 3], schema=schema)
+                 pa.array(count_vectors(h, owner, sizes), pa.binary()), *[pa.nulls(len(sizes), pa.binary())] * 3], schema=schema)
             bucket = (((sig >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
             order = np.lexsort((doc, bucket))
             sig, doc, bucket = sig[order], doc[order], bucket[order]
@@ -150,7 +166,7 @@ def _spread(width: int, threshold: Fraction, buckets: int):
                 at, who, counts, sigs = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(at, pa.int32()), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64()),
-                     pa.nulls(len(rows), pa.binary()), pa.array(who, pa.binary()), pa.array(counts, pa.binary()),
+                     pa.nulls(len(rows), pa.binary()), pa.nulls(len(rows), pa.binary()), pa.array(who, pa.binary()), pa.array(counts, pa.binary()),
                      pa.array(sigs, pa.binary())], schema=schema)
 
     return run
@@ -162,15 +178,14 @@ def _rows(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
 
 
 def _group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents pass through; equal signatures become pairs with the smallest document, and members."""
-    schema = pa.schema([("kind", pa.string()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("digest", pa.binary())])
+    """Documents pass through (b is null); equal signatures become members (group, document)."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("cuts", pa.binary())])
     sigs, docs = [], []
     for batch in batches:
         meta = batch.filter(batch.column("sigs").is_null())
         if meta.num_rows:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(["doc"] * meta.num_rows), meta.column("doc_id"), pa.nulls(meta.num_rows, pa.int64()),
-                 meta.column("n"), meta.column("digest")], schema=schema)
+                [meta.column("doc_id"), pa.nulls(meta.num_rows, pa.int64()), meta.column("n"), meta.column("digest"), meta.column("cuts")], schema=schema)
         for d, c, s in zip(*(batch.filter(batch.column("sigs").is_valid()).column(n).to_pylist() for n in ("docs", "counts", "sigs"))):
             docs.append(np.repeat(np.frombuffer(d, np.int64), np.frombuffer(c, np.uint32)))
             sigs.append(np.frombuffer(s, np.uint64))
@@ -185,25 +200,77 @@ def _group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sig, doc = sig[fresh], doc[fresh]
     starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
     counts = np.diff(np.append(starts, len(sig)))
-    pivot = np.repeat(doc[starts], counts)
-    other = np.flatnonzero(pivot != doc)
-    pairs = np.unique(np.stack([pivot[other], doc[other]], axis=1), axis=0)
-    yield from _emit(schema, "pair", pairs[:, 0], pairs[:, 1])
     # Groups with the same members are one group: its name is a hash of the members.
     name = mix(np.add.reduceat(mix(doc.astype(np.uint64) + ODD), starts) + counts.astype(np.uint64)).view(np.int64)
-    big = np.flatnonzero(counts > 2)
+    big = np.flatnonzero(counts > 1)
     _, keep = np.unique(name[big], return_index=True)
     wanted = np.zeros(len(starts), bool)
     wanted[big[keep]] = True
     rows = np.repeat(wanted, counts)
-    yield from _emit(schema, "member", np.repeat(name, counts)[rows], doc[rows])
+    a, b = np.repeat(name, counts)[rows], doc[rows]
+    for i in range(0, len(a), 50_000):
+        n = len(a[i:i + 50_000])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(a[i:i + n]), pa.array(b[i:i + n]), pa.nulls(n, pa.int64()), *[pa.nulls(n, pa.binary())] * 2], schema=schema)
 
 
-def _emit(schema: pa.Schema, kind: str, a: np.ndarray, b: np.ndarray, step: int = 50_000) -> Iterator[pa.RecordBatch]:
-    for i in range(0, len(a), step):
-        n = len(a[i:i + step])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([kind] * n), pa.array(a[i:i + step]), pa.array(b[i:i + step]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], schema=schema)
+def _candidates(percent: int, cross: bool):
+    """Pairs of a group that the count vectors leave open: a spanning forest, or all between components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = ("group", "p", "q", "block", "doc_id", "n", "comp", "cuts")
+        rows, at = [], None
+        out: list[tuple[int, int, int, int, int]] = []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in columns)):
+                if row[:3] != at:
+                    out += _open_pairs(rows, percent, cross)
+                    rows, at = [], row[:3]
+                rows.append(row)
+            while len(out) > 20_000:
+                yield _pairs_batch(out[:20_000])
+                out = out[20_000:]
+        yield _pairs_batch(out + _open_pairs(rows, percent, cross))
+
+    return run
+
+
+def _pairs_batch(rows: list[tuple[int, int, int, int, int]]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[]] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["group", "a", "b", "n_a", "n_b"])
+
+
+def _open_pairs(rows: list[tuple], percent: int, cross: bool) -> list[tuple[int, int, int, int, int]]:
+    if len(rows) < 2:
+        return []
+    group, p, q = rows[0][:3]
+    block = np.array([r[3] for r in rows])
+    ids, n, comp = (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 6))
+    width = min(len(r[7]) for r in rows)
+    # Finer vectors are folded to the coarsest one.
+    vectors = np.stack([np.frombuffer(r[7], np.uint8).astype(np.int16).reshape(width, -1).sum(axis=1) for r in rows]).astype(np.int16)
+    label, found = np.arange(len(rows)), []
+    for i in range(1, len(rows)):
+        most = (n[:i] + n[i]) * (100 - percent)
+        near = np.flatnonzero(np.abs(n[:i] - n[i]) * (100 + percent) <= most)
+        if p != q:
+            near = near[block[near] != block[i]]
+        if cross:
+            near = near[comp[near] != comp[i]]
+        if not len(near):
+            continue
+        apart = np.abs(vectors[near] - vectors[i]).sum(axis=1, dtype=np.int64)
+        near = near[apart * (100 + percent) <= most[near]]
+        if not len(near):
+            continue
+        if not cross:  # one edge to each tree that is met
+            met, first = np.unique(label[near], return_index=True)
+            near = near[first]
+            label[np.isin(label[:i], met).nonzero()[0]] = i
+        for j in near:
+            x, y = (i, j) if ids[i] < ids[j] else (j, i)
+            found.append((group, int(ids[x]), int(ids[y]), int(n[x]), int(n[y])))
+    return found
 
 
 def _segments(width: int):
@@ -268,59 +335,42 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     found = stored(
         rows.mapInArrow(_spread(width, threshold, buckets), _SPREAD).repartitionById(buckets, F.col("bucket"))
         .mapInArrow(_group, _FOUND), "grams")
-    every = found.where("kind = 'doc'").select(F.col("a").alias("doc_id"), "n", "digest")
-    one = every.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("digest", "n")).alias("s")).select("doc_id", "s.digest", "s.n")
+    every = found.where("b is null").select(F.col("a").alias("doc_id"), "n", "digest", "cuts")
+    one = every.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("digest", "n", "cuts")).alias("s")).select("doc_id", "s.*")
     classes = one.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    known = stored(one.join(classes, "digest", "left").select("doc_id", "n", "digest", F.coalesce("rep", "doc_id").alias("rep")), "known")
-
-    def of(name: str) -> DataFrame:
-        return known.select(F.col("doc_id").alias(name), F.col("rep").alias(f"{name}_rep"), F.col("n").alias(f"n_{name}"))
-
-    def ordered(pairs: DataFrame) -> DataFrame:
-        """Pairs of classes, the smaller first, whose sizes allow a link."""
-        return pairs.where("a_rep <> b_rep").where(
-            100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select(
-            F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b"),
-            F.when(F.col("a_rep") < F.col("b_rep"), F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
-            F.when(F.col("a_rep") < F.col("b_rep"), F.col("n_b")).otherwise(F.col("n_a")).alias("n_b")).distinct()
-
-    pairs = stored(ordered(found.where("kind = 'pair'").select("a", "b").distinct().join(of("a"), "a").join(of("b"), "b")), "pairs")
-    members = found.where("kind = 'member'").select(F.col("a").alias("group"), F.col("b").alias("doc_id")).join(
-        known, "doc_id").select("group", F.col("rep").alias("doc_id"), "n").distinct()
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).union(
-        members.select("doc_id")).distinct().join(known.select("doc_id", "digest"), "doc_id")
+    known = stored(one.join(classes, "digest", "left").withColumn("rep", F.coalesce("rep", "doc_id")), "known")
+    reps = known.where("doc_id = rep")
+    grouped = found.where("b is not null").select(F.col("a").alias("group"), F.col("b").alias("doc_id")).join(
+        known.select("doc_id", "rep"), "doc_id").select("group", F.col("rep").alias("doc_id")).distinct()
+    sizes = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    members = stored(grouped.join(sizes, "group"), "members")
+
+    def candidates(rows: DataFrame, cross: bool) -> DataFrame:
+        """``rows`` are members with their component; large groups are compared block by block."""
+        blocks_ = F.ceil(F.col("k") / GROUP_BLOCK).cast("int")
+        rows = rows.join(reps.select("doc_id", "n", "cuts"), "doc_id").withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks_).cast("int"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks_ - 1)))
+        rows = rows.select("group", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "doc_id", "n", "comp", "cuts")
+        return (rows.repartition("group", "p", "q").sortWithinPartitions("group", "p", "q", "doc_id")
+                .mapInArrow(_candidates(percent, cross), "group long, a long, b long, n_a long, n_b long"))
+
+    edges = stored(candidates(members.withColumn("comp", F.col("doc_id")), False), "edges")
+    pairs = edges.select("a", "b", "n_a", "n_b").distinct()
+    # A document of an open pair has an edge, so the second look needs no other segments.
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().join(known.select("doc_id", "digest"), "doc_id")
     segments = stored(rows.join(wanted, "doc_id").mapInArrow(_segments(width), "id long, frag int, seg binary").dropDuplicates(["id", "frag"]), "segments")
-    tested, links = [pairs], [stored(_verify(pairs, segments, percent), "linked")]
-    members = stored(members, "members")
-    for turn in range(8):
-        comp = components(reduce(DataFrame.union, links))
-        labelled = members.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
-        parts = labelled.groupBy("group", "comp").agg(F.count(F.lit(1)).alias("k"))
-        mixed = parts.groupBy("group").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"), F.count(F.lit(1)).alias("c")).where("c > 1")
-        left = mixed.agg(F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2).alias("cross"), F.sum("k").alias("rows")).first()
-        if not left["rows"]:
-            break
-        open_ = labelled.join(mixed.select("group"), "group", "left_semi")
-        last = turn == 7 or left["cross"] <= 4 * left["rows"]
-        if last:  # what is left is compared directly, between components only
-            x = open_.select("group", F.col("doc_id").alias("a_rep"), F.col("n").alias("n_a"), F.col("comp").alias("c_a"))
-            y = open_.select("group", F.col("doc_id").alias("b_rep"), F.col("n").alias("n_b"), F.col("comp").alias("c_b"))
-            more = x.join(y, "group").where("c_a < c_b")
-        else:  # another member of each group is held against those outside its component
-            lead = open_.groupBy("group").agg(F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)), "doc_id", "n", "comp")).alias("p"))
-            more = open_.join(lead, "group").where("comp <> p.comp").select(
-                F.col("p.doc_id").alias("a_rep"), F.col("p.n").alias("n_a"), F.col("doc_id").alias("b_rep"), F.col("n").alias("n_b"))
-        fresh = ordered(more)
-        for old in tested:
-            fresh = fresh.join(old.select("a", "b"), ["a", "b"], "left_anti")
-        fresh = stored(fresh, "pairs")
+    links = stored(_verify(pairs, segments, percent), "linked")
+    comp = components(links)
+    # Groups in which an edge was no link: all that is still open between components.
+    unsettled = edges.join(links, ["a", "b"], "left_anti").select("group").distinct()
+    again = members.join(unsettled, "group", "left_semi").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
+        "comp", F.coalesce("comp", "doc_id"))
+    more = stored(candidates(again, True).select("a", "b", "n_a", "n_b").distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "edges")
+    if not more.isEmpty():
+        fresh = stored(_verify(more, segments, percent), "linked")
         if not fresh.isEmpty():
-            tested.append(fresh)
-            links.append(stored(_verify(fresh, segments, percent), "linked"))
-        if last:
-            comp = components(reduce(DataFrame.union, links)) if not fresh.isEmpty() else comp
-            break
-    labels = known.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-    result = labels.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "rep").alias("component_id"))
+            comp = components(links.union(fresh))
+    result = known.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "rep").alias("component_id"))
     nameless = every.where("doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
     return result.unionByName(nameless)
