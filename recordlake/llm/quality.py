@@ -91,7 +91,8 @@ def ordered_rules(docs: DataFrame, given: list[Rule], key: str = "doc_id", text:
     last = docs.select(hashed.alias("h")).orderBy("h").limit(rows).agg(F.max("h")).first()[0]
     if last is None:
         return list(given)
-    sample = stored(measured(docs.where(hashed <= F.lit(last)).limit(rows).select(key, text), text).where(~base_failed()).coalesce(1), "rules")
+    sample = stored(measured(docs.where(hashed <= F.lit(last)).limit(rows).select(key, text), text).coalesce(1), "rules")
+    sample = sample.where(~base_failed())  # after it is stored, so that the counts are not worked out again
 
     def seconds(test: Column) -> tuple[float, int]:
         best, failed = float("inf"), 0
@@ -115,4 +116,8 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", given: list[
     verdict = F.when(base_failed(), F.lit(False))
     for rule in cascade:
         verdict = verdict.when(~F.coalesce(rule.test, F.lit(False)), F.lit(False))
-    return measured(docs, text).withColumn("base_failed", base_failed()).withColumn("kept", verdict.otherwise(F.lit(True))).drop("_words", "_lines")
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    made = measured(docs, text).withColumn("base_failed", base_failed()).withColumn("kept", verdict.otherwise(F.lit(True)))
+    # An exploded one-row list: a later filter on the verdict stays above the counts, where it would
+    # otherwise repeat their expressions.
+    return made.select(*docs.columns, F.explode(F.array(F.struct(*names))).alias("_judged")).select(*docs.columns, "_judged.*")

@@ -80,7 +80,7 @@ def benchmark_leaks(spark, sf_dir):
 
 QUALITY_SQL = r"""
 WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
-    list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
 g AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram
   FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
 again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g) WHERE n > 1),
@@ -92,10 +92,10 @@ f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND word_chars BETWEEN 2 * n_words AND 15 * n_words AND 5 * n_symbols <= n_words
   AND 10 * n_dup_lines <= 3 * len(lines)
-  AND 10 * len(list_filter(words, x -> regexp_matches(x, '\p{L}'))) >= 7 * n_words
+  AND 10 * len(list_filter(words, lambda x: regexp_matches(x, '\p{L}'))) >= 7 * n_words
   AND 2 * length(regexp_replace(t, '[^\p{Lu}]+', '', 'g')) <= word_chars
-  AND 10 * len(list_filter(lines, x -> regexp_matches(x, '^\s*[-*•]'))) <= 9 * len(lines)
-  AND 10 * len(list_filter(lines, x -> regexp_matches(x, '(\.\.\.|…)\s*$'))) <= 3 * len(lines) AS kept FROM f"""
+  AND 10 * len(list_filter(lines, lambda x: regexp_matches(x, '^\s*[-*•]'))) <= 9 * len(lines)
+  AND 10 * len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)\s*$'))) <= 3 * len(lines) AS kept FROM f"""
 
 
 @G.add("op8_quality_cascade", QUALITY_SQL)
@@ -110,7 +110,7 @@ WITH p AS (SELECT page_id, row_number() OVER () AS r, lower(regexp_extract(coale
   list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
     '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '', 'g'),
     '(?i)</?(a|abbr|b|code|em|i|small|span|strong|sub|sup|u)\b[^>]*>', '', 'g'), '<[^>]*>', chr(10), 'g'), chr(10)),
-    x -> trim(regexp_replace(x, '[ \t\r\x0b\x0c]+', ' ', 'g'), ' ')), x -> x <> '') AS lines FROM pages),
+    lambda x: trim(regexp_replace(x, '[ \t\r\x0b\x0c]+', ' ', 'g'), ' ')), lambda x: x <> '') AS lines FROM pages),
 l AS (SELECT r, host, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM p),
 n AS (SELECT host, line, count(DISTINCT r) AS n FROM l GROUP BY host, line),
 t AS (SELECT host, count(*) AS total FROM p GROUP BY host),
