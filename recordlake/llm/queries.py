@@ -127,3 +127,10 @@ def site_boilerplate(spark, sf_dir):
 
     made = boilerplate.drop_boilerplate(table(spark, sf_dir, "pages"))
     return made.withColumn("kept_sha256", F.sha2(F.col("kept").cast("binary"), 256)).drop("kept")
+
+
+@G.add("op2_hmm_scores")
+def hmm_scores(spark, sf_dir):
+    from recordlake.llm import hmm
+
+    return hmm.score(table(spark, sf_dir, "documents").select("doc_id", "text"), crc(10) == 0)
