@@ -134,3 +134,12 @@ def hmm_scores(spark, sf_dir):
     from recordlake.llm import hmm
 
     return hmm.score(table(spark, sf_dir, "documents").select("doc_id", "text"), crc(10) == 0)
+
+
+@G.add("op5_token_counts")
+def token_counts(spark, sf_dir):
+    from recordlake.llm import tokencounts, tokens
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = tokencounts.count_tokens(docs, tokens.tokenizer_path("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
