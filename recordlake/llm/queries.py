@@ -143,3 +143,10 @@ def token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = tokencounts.count_tokens(docs, tokens.tokenizer_path("byte_bpe_50k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
+@G.add("op1_suffix_dedup")
+def suffix_dedup(spark, sf_dir):
+    from recordlake.llm import suffixes
+
+    return suffixes.drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
