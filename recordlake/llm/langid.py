@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.llm.text import blocks, plain, raw
+from recordlake.llm.text import blocks, plain, raw, widened
 
 UNKNOWN = "und"
 WINDOW = 192
@@ -182,7 +182,7 @@ def train(docs: DataFrame, may_train: Column, text: str = "text", lang: str = "l
 
 def identify(docs: DataFrame, net: ByteNet | None, text: str = "text") -> DataFrame:
     """Add ``lang_pred`` and ``score`` to every row, from its whole text."""
-    schema = docs.drop("lang_pred", "score").schema.add("lang_pred", "string").add("score", "double")
+    docs, schema = widened(docs, {"lang_pred": "string", "score": "double"})
     names = [f.name for f in schema.fields[:-2]]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

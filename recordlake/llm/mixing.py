@@ -68,7 +68,7 @@ def source_targets(sizes: DataFrame, source: str, size: str, weights: Sequence[i
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", size: str = "size", text: str | None = None,
         weights: Sequence[int] = (5, 2, 1), percent: int = 150, epochs: int = 2, seed: str = "mix") -> DataFrame:
     """All rows, with ``source_size``, ``target`` and ``taken``, the words that the mix takes of each."""
-    spark = docs.sparkSession
+    docs = docs.drop("source_size", "target", "taken")
     fallback = F.md5(F.col(text)) if text else F.lit("")
     keyed = docs.withColumn("_mix_key", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), fallback, F.lit(""))).cast("binary")))
     place = F.conv(F.substring("_mix_key", 1, HEX_DIGITS), 16, 10).cast("long")

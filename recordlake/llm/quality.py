@@ -117,6 +117,7 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", given: list[
     for rule in cascade:
         verdict = verdict.when(~F.coalesce(rule.test, F.lit(False)), F.lit(False))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    docs = docs.drop(*names)
     made = measured(docs, text).withColumn("base_failed", base_failed()).withColumn("kept", verdict.otherwise(F.lit(True)))
     # An exploded one-row list: a later filter on the verdict stays above the counts, where it would
     # otherwise repeat their expressions.

@@ -11,12 +11,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 BLOCK_BYTES = 16 << 20
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, 9, 10, 11, 12, 13]] = True
 
 
+def widened(docs: DataFrame, added: dict[str, str]) -> tuple[DataFrame, T.StructType]:
+    """The frame without columns of the added names, and its schema with them at the end."""
+    rest = docs.drop(*added)
+    extra = T.StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in added.items()))
+    return rest, T.StructType([*rest.schema.fields, *extra.fields])
+
+
 def plain(values: pa.Array | pa.ChunkedArray) -> pa.Array:
     """One string array with 64-bit offsets, nulls read as empty texts."""
     if isinstance(values, pa.ChunkedArray):

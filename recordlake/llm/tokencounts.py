@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from recordlake.llm.text import blocks, plain
+from recordlake.llm.text import blocks, plain, widened
 from recordlake.llm.tokens import odd, units
 
 #: Bounds of what a worker remembers: counts of units, and pairs of tokens.
@@ -183,7 +183,7 @@ def _whole(texts: pa.Array, strange: np.ndarray, made: pa.Array, at: np.ndarray)
 
 def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """Add ``n_bytes`` and ``n_tokens`` to every row."""
-    schema = docs.schema.add("n_bytes", "long").add("n_tokens", "long")
+    docs, schema = widened(docs, {"n_bytes": "long", "n_tokens": "long"})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, text):
@@ -210,7 +210,7 @@ def truncate(docs: DataFrame, path: str, budget: int, text: str = "text") -> Dat
     A prefix that ends inside a unit has at least one token more than the units before it, so only
     the last unit that starts below the budget is looked into.
     """
-    schema = docs.schema.add("cut_chars", "long").add("cut_tokens", "long")
+    docs, schema = widened(docs, {"cut_chars": "long", "cut_tokens": "long"})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, text):
