@@ -134,7 +134,7 @@ def finish(w: Column, kind: Column, target, path: Column) -> tuple[Column, Colum
     if isinstance(target, Custom):
         return w, F.when(w.isNull(), error(path, "conversion", message="custom conversion failed"))
     if isinstance(target, DecimalOf):
-        lossy = error(path, "conversion", message="decimal value not representable")
+        lossy = error(path, "conversion", message="no exact decimal of this width")
         readable = kind.isin("decimal", "double", "int64")
         return w, F.when(w.isNull(), F.when(readable, lossy).otherwise(error(path, "type_mismatch", "decimal", kind)))
     if isinstance(target, (ListOf, SetOf)):

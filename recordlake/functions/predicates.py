@@ -1,7 +1,9 @@
 """Predicate builder: every pushed test is AND-joined; an empty builder filters nothing.
 
 Nulls follow SQL: a test on a null column (or null collection) is unknown, so the row is dropped,
-for ``not_in`` and ``not_contains_any`` too.
+for ``not_in`` and ``not_contains_any`` too. A null among the values of a list makes every miss
+unknown: ``in_list`` still finds its matches, ``not_in`` lets no row through. Lists follow this rule
+at any length, and as a Python list or a table alike.
 """
 
 from __future__ import annotations
@@ -14,10 +16,6 @@ from pyspark.sql import functions as F
 
 from recordlake.operators.skew import join_to_one
 
-# Longest list kept inside the plan; longer ones become a semi or anti join.
-INLINE_LIST = 1000
-
-
 def like_pattern(pattern: str) -> str:
     """A ``%``/``?`` pattern as a Spark LIKE pattern (where ``_`` is the one-character wildcard)."""
     return pattern.replace("\\", "\\\\").replace("_", "\\_").replace("?", "_")
@@ -78,12 +76,6 @@ class Where:
         values = list(values)
         if not values:
             return self._push(F.lit(False) if wanted else _col(c).isNotNull())
-        if len(values) > INLINE_LIST:
-            from pyspark.sql import SparkSession
-
-            spark = SparkSession.getActiveSession()
-            frame = spark.createDataFrame([(v,) for v in values], ["_value"])
-            return Where(self._tests, (*self._lists, (c, frame, wanted)))
         test = _col(c).isin(values)
         return self._push(test if wanted else ~test)
 
@@ -124,20 +116,40 @@ class Where:
 
     def column(self) -> Column:
         if self._lists:
-            raise ValueError("a filter against a table of values is a join: use apply(df)")
+            raise ValueError("a filter against a table of values is a join: use apply(df) or flagged(df)")
         return reduce(Column.__and__, self._tests, F.lit(True)) if self._tests else F.lit(True)
 
+    def flagged(self, df: DataFrame) -> tuple[DataFrame, Column, list[str]]:
+        """The frame joined to the tables of values, the predicate over it, and the columns to drop.
+
+        For callers that keep the rows that fail, such as updates and deletes.
+        """
+        test, extra = reduce(Column.__and__, self._tests, F.lit(True)), []
+        for i, (column, values, wanted) in enumerate(self._lists):
+            name = f"_listed_{i}"
+            keys, has_null = _list_of(values, column)
+            df = join_to_one(df, keys.withColumn(name, F.lit(True)), [column], "left")
+            inside = F.when(_col(column).isNull(), F.lit(None)).when(F.col(name), F.lit(True)).when(has_null, F.lit(None)).otherwise(F.lit(False))
+            test, extra = test & (inside if wanted else ~inside), [*extra, name]
+        return df, test, extra
+
     def apply(self, df: DataFrame) -> DataFrame:
         out = df.where(reduce(Column.__and__, self._tests)) if self._tests else df
         for column, values, wanted in self._lists:
-            source = values.columns[0]
-            keys = values.select(F.col(f"`{source}`").alias(column)).where(F.col(column).isNotNull()).distinct()
+            keys, has_null = _list_of(values, column)
             # A null column value matches nothing; for the negative form it is unknown, so dropped.
             probe = out.where(_col(column).isNotNull())
-            out = join_to_one(probe, keys, [column], "left_semi" if wanted else "left_anti")
+            out = join_to_one(probe if wanted else probe.where(~has_null), keys, [column], "left_semi" if wanted else "left_anti")
         return out
 
 
+def _list_of(values: DataFrame, column: str) -> tuple[DataFrame, Column]:
+    """Distinct values under the column's name, and whether a null is among them (a scalar)."""
+    source = F.col(f"`{values.columns[0]}`")
+    has_null = values.agg(F.coalesce(F.max(source.isNull()), F.lit(False)).alias("n")).scalar()
+    return values.select(source.alias(column)).where(F.col(column).isNotNull()).distinct(), has_null
+
+
 def _literal(value) -> Column:
     if isinstance(value, (list, tuple, set)):
         return F.array(*[_literal(v) for v in value])

@@ -169,12 +169,13 @@ def insert_select(base: DataFrame, rows: DataFrame) -> DataFrame:
 
 def move_records(source: DataFrame, target: DataFrame, where: Where, converts: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Drain matching rows of one type into another, converting columns on the way."""
-    hit = F.coalesce(where.column(), F.lit(False))
-    moved = source.where(hit).select(
+    frame, test, extra = where.flagged(source)
+    moved = where.apply(source).select(
         *[converts[c].alias(c) if c in converts else F.col(c) for c in source.columns],
         *[e.alias(c) for c, e in converts.items() if c not in source.columns],
     )
-    return source.where(~hit), target.unionByName(_conform(moved, target))
+    stay = frame.where(~F.coalesce(test, F.lit(False))).drop(*extra).select(*source.columns)
+    return stay, target.unionByName(_conform(moved, target))
 
 
 def assign_rids(

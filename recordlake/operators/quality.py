@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordlake.model import Property, RecordSpec, TypeSpec
+from recordlake.model import Property, TypeSpec
 from recordlake.operators.change import snapshot_diff
 from recordlake.operators.skew import join_to_one
 
@@ -23,6 +23,32 @@ def _bound(column: Column, data_type: T.DataType, limit: str) -> tuple[Column, C
     return column, F.lit(limit).cast(data_type)
 
 
+def _dynamic_bound(raw: Column, dtype: T.DataType, declared: str, limit: str, beyond) -> Column:
+    """A MIN/MAX on a value whose kind is known per row only. Declared numbers compare by value, texts that
+    spell one included; otherwise texts compare by length and collections by size. A limit that is no
+    number is a time; texts are then read as times."""
+    try:
+        number = float(limit)
+    except ValueError:
+        number = None
+    variant = dtype.simpleString() == "variant"
+    text = F.try_variant_get(raw, "$", "string") if variant else raw.cast("string")
+    if number is None:
+        return beyond(F.try_to_timestamp(text), F.lit(limit).cast("timestamp"))
+    if not variant:
+        return beyond(raw, F.lit(number)) if isinstance(dtype, T.NumericType) else beyond(
+            F.coalesce(text.try_cast("double"), F.char_length(text).cast("double")), F.lit(number))
+    if TYPE_CLASSES.get(declared.upper()) in ("int", "float"):
+        return beyond(F.try_variant_get(raw, "$", "double"), F.lit(number))
+    kind = F.schema_of_variant(raw)
+    size = (
+        F.when(kind == "STRING", F.char_length(text))
+        .when(kind.startswith("ARRAY"), F.size(F.try_variant_get(raw, "$", "array<variant>")))
+        .when(kind.startswith("OBJECT"), F.size(F.try_variant_get(raw, "$", "map<string,variant>")))
+    )
+    return beyond(F.coalesce(size.cast("double"), F.try_variant_get(raw, "$", "double")), F.lit(number))
+
+
 def constraint_rules(prop: Property, schema: T.StructType, props: str | None = None) -> list[tuple[str, Column]]:
     """(rule, violated) pairs of one property.
 
@@ -41,14 +67,13 @@ def constraint_rules(prop: Property, schema: T.StructType, props: str | None = N
                 null_value = F.is_variant_null(raw)
             rules.append(("notnull", F.coalesce(null_value, F.lit(False))))
         dtype = schema[props].dataType.valueType
-        numeric = raw if dtype.simpleString() != "variant" else F.try_variant_get(raw, "$", "double")
         text = raw if dtype.simpleString() != "variant" else F.try_variant_get(raw, "$", "string")
         if c.min is not None:
-            rules.append(("min", numeric.cast("double") < float(c.min)))
+            rules.append(("min", _dynamic_bound(raw, dtype, prop.type_name or "", c.min, lambda a, b: a < b)))
         if c.max is not None:
-            rules.append(("max", numeric.cast("double") > float(c.max)))
+            rules.append(("max", _dynamic_bound(raw, dtype, prop.type_name or "", c.max, lambda a, b: a > b)))
         if c.regexp is not None:
-            rules.append(("regexp", ~text.rlike(f"^(?:{c.regexp})$")))
+            rules.append(("regexp", ~text.rlike(rf"\A(?:{c.regexp})\z")))
         return rules
     if prop.name not in schema.names:
         return [("mandatory", F.lit(True))] if c.mandatory else []
@@ -62,7 +87,7 @@ def constraint_rules(prop: Property, schema: T.StructType, props: str | None = N
         value, limit = _bound(column, dtype, c.max)
         rules.append(("max", value > limit))
     if c.regexp is not None:
-        rules.append(("regexp", ~column.cast("string").rlike(f"^(?:{c.regexp})$")))
+        rules.append(("regexp", ~column.cast("string").rlike(rf"\A(?:{c.regexp})\z")))
     return rules
 
 
@@ -81,7 +106,7 @@ def check_constraints(df: DataFrame, spec: TypeSpec, keys: Sequence[str], props:
             found.append(F.when(violated, row))
     if not found:
         raise ValueError(f"type {spec.name} declares no checkable constraint")
-    return df.select(*keys, F.explode(F.array_compact(F.array(*found))).alias("v")).select(*keys, "v.*")
+    return df.select(*keys, F.explode(F.array_compact(F.array(*found))).alias("_violation")).select(*keys, "_violation.*")
 
 
 def check_readonly(old: DataFrame, new: DataFrame, keys: Sequence[str], spec: TypeSpec) -> DataFrame:
@@ -153,7 +178,7 @@ def type_class(type_name: Column) -> Column:
     return F.when(~is_list, scalar).when(scalar.isin(*LIST_ELEMENTS), F.concat(F.lit("list:"), scalar)).otherwise(F.lit("unknown"))
 
 
-def kinds_compatible(expected: Column, actual: Column) -> Column:
+def reads_as(expected: Column, actual: Column) -> Column:
     """Whether a reader of ``expected`` can decode a column stored as ``actual``."""
     want, have = type_class(expected), type_class(actual)
     extra = [(want == a) & (have == b) for a, b in EXTRA_READS] + [(want == "list:float") & (have == "list:int")]
@@ -170,35 +195,5 @@ def type_drift(needed: DataFrame, actual: DataFrame) -> DataFrame:
     """Needed columns stored in a type the reader cannot decode."""
     want = needed.select("type", "property", F.col("type_name").alias("expected"))
     have = actual.select("type", "property", F.col("type_name").alias("actual"))
-    return want.join(have, ["type", "property"]).where(~kinds_compatible(F.col("expected"), F.col("actual")))
-
-
-# The column type each reader type asks for. Dynamic, bytes and custom ask for none.
-READER_TYPES = {
-    "string": "STRING", "char": "STRING", "link": "STRING", "bool": "BOOLEAN",
-    "i8": "BYTE", "u8": "BYTE", "i16": "SHORT", "u16": "SHORT", "i32": "INTEGER", "u32": "INTEGER",
-    "i64": "LONG", "u64": "LONG", "f32": "FLOAT", "f64": "DOUBLE", "datetime": "DATETIME", "date": "DATE",
-}
-
-
-def reader_type(target) -> str | None:
-    from recordlake.model import DecimalOf, ListOf, MapOf, Newtype, Scalar, SetOf
-
-    if isinstance(target, Newtype):
-        return reader_type(target.inner)
-    if isinstance(target, Scalar):
-        return READER_TYPES.get(target.name)
-    if isinstance(target, DecimalOf):
-        return "DECIMAL"
-    if isinstance(target, (ListOf, SetOf)):
-        inner = reader_type(target.item)
-        return f"LIST OF {inner}" if inner else None
-    if isinstance(target, MapOf):
-        return "MAP"
-    return None
-
+    return want.join(have, ["type", "property"]).where(~reads_as(F.col("expected"), F.col("actual")))
 
-def reader_columns(spark, spec: RecordSpec, type_name: str) -> DataFrame:
-    """The columns table a record class needs: type, property, type_name (null where it asks for none)."""
-    rows = [(type_name, spec.wire(f), reader_type(f.type)) for f in spec.fields if not f.skip_read and not f.flatten]
-    return spark.createDataFrame(rows, "type string, property string, type_name string")

@@ -117,17 +117,30 @@ def read_pages(df: DataFrame, key: str, size: int, last=None, mode: str = "keyse
 
 
 def iterate_pages(df: DataFrame, key: str, size: int) -> Iterator[DataFrame]:
-    """Every page as its own frame. Only each page's last key comes back to the driver."""
-    last = None
+    """Every row, page by page in key order, null keys first; keys may repeat.
+
+    Rows of one key stand in the order of a hash of the whole row. A page starts at the last one's edge
+    and skips what was given at it, so equal rows, which are interchangeable, are each given once. Only
+    the edge and counts come back to the driver.
+    """
+    k, tie = F.col(f"`{key}`"), "_tie"
+    rows = df.withColumn(tie, F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+    edge, given = None, 0
     while True:
-        page = read_pages(df, key, size, last)
-        edge = page.agg(F.max(key).alias("k"), F.count(F.lit(1)).alias("n")).first()
-        if edge["n"] == 0:
-            return
-        yield page
-        if edge["n"] < size:
+        source = rows
+        if edge is not None:
+            same = F.col(tie) >= F.lit(edge["t"])
+            source = rows.where((k.isNull() & same) | k.isNotNull() if edge["k"] is None else (k > F.lit(edge["k"])) | ((k == F.lit(edge["k"])) & same))
+        page = source.orderBy(k.asc_nulls_first(), tie).offset(given).limit(size)
+        at = page.groupBy(k.alias("k"), F.col(tie).alias("t")).agg(F.count(F.lit(1)).alias("n"))
+        total = at.agg(F.sum("n").alias("n")).first()["n"] or 0
+        if total:
+            yield page.drop(tie)
+        if total < size:
             return
-        last = edge["k"]
+        last = at.orderBy(F.desc_nulls_last("k"), F.desc("t")).first()
+        moved = edge is None or (last["k"], last["t"]) != (edge["k"], edge["t"])
+        edge, given = last, last["n"] if moved else given + last["n"]
 
 
 def order_limit(df: DataFrame, order_by: Sequence[str | Column], limit: int, skip: int = 0) -> DataFrame:

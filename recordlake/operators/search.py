@@ -11,12 +11,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordlake.operators.ordering import dense_index
-from recordlake.session import stored
+from recordlake.session import stored, work_path
 
 # BM25 parameters, reciprocal-rank constant.
 BM25_K1, BM25_B, RRF_K = 1.2, 0.75, 60
 # Query vectors handled per pass over the vectors.
 QUERY_BLOCK = 1024
+# Vectors scored at once against a block.
+SCORE_ROWS = 2048
 
 
 def tokens(text: Column) -> Column:
@@ -83,57 +85,75 @@ def sparse_neighbors(
 
 
 def _block_scorer(ids: list, matrix: np.ndarray, k: int, id_col: str, vec_col: str):
-    """Per Arrow batch: cosine of every vector with every query of the block, best k per query."""
+    """Cosine of every vector with every query of the block; the best k of each are kept over the whole
+    partition and given once, at its end, so a task gives at most k rows per query."""
     unit = matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = np.zeros((0, len(ids)))
+        names = np.zeros((0, len(ids)), dtype=object)
         for pdf in batches:
             pdf = pdf[pdf[vec_col].notna()]
-            if pdf.empty:
-                continue
-            rows = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)
-            found = np.round(rows @ unit.T, 6)
-            names = pdf[id_col].to_numpy()
-            by_name = np.argsort(names, kind="stable")
-            for q, query_id in enumerate(ids):
-                column = found[by_name, q]
-                best = by_name[np.argsort(-column, kind="stable")[:k]]
-                yield pd.DataFrame({"query_id": query_id, id_col: names[best], "score": found[best, q]})
+            for i in range(0, len(pdf), SCORE_ROWS):
+                part = pdf.iloc[i:i + SCORE_ROWS].sort_values(id_col)
+                rows = np.stack(part[vec_col].to_numpy()).astype(np.float64)
+                rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)
+                found = np.concatenate([best, np.round(rows @ unit.T, 6)])
+                known = np.concatenate([names, np.broadcast_to(part[id_col].to_numpy(dtype=object)[:, None], (len(part), len(ids)))])
+                if len(found) > k:
+                    at = _best(found, known, k)
+                    found, known = np.take_along_axis(found, at, 0), np.take_along_axis(known, at, 0)
+                best, names = found, known
+        if len(best):
+            yield pd.DataFrame({"query_id": np.repeat(ids, len(best)), id_col: names.T.ravel(), "score": best.T.ravel()}).astype({id_col: type(names[0, 0])})
 
     return score
 
 
+def _best(found: np.ndarray, names: np.ndarray, k: int) -> np.ndarray:
+    """Rows of the k largest scores of each column; among equal scores at the edge, the smallest names."""
+    at = np.argpartition(-found, k - 1, axis=0)[:k]
+    edge = np.take_along_axis(found, at, 0).min(axis=0)
+    for q in np.flatnonzero((found >= edge).sum(axis=0) > k):
+        rows = np.flatnonzero(found[:, q] >= edge[q])
+        at[:, q] = sorted(rows, key=lambda r: (-found[r, q], names[r, q]))[:k]
+    return at
+
+
 def dense_neighbors(
     vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
     query_id: str = "query_id",
 ) -> DataFrame:
     """The ``k`` nearest vectors by cosine for each query: query_id, id, score, rank. Exact.
 
-    Queries are taken in blocks of QUERY_BLOCK rows, each block being one pass that ships the block
-    to the tasks and keeps k rows per task, query and Arrow batch; any number of queries is
-    answered, in more passes.
+    Queries are taken in blocks of QUERY_BLOCK rows. A block is fetched, sent to the tasks and answered
+    in one pass, at most k rows per query and task, and its answer is written to the shared folder
+    before the next one: the driver holds one block, however many queries there are.
     """
+    spark = vectors.sparkSession
     id_type = vectors.schema[id_col].dataType.simpleString()
     qid_type = queries.schema[query_id].dataType.simpleString()
     schema = f"query_id {qid_type}, {id_col} {id_type}, score double"
-    parts, block = [], []
+    path = None
 
-    def flush() -> None:
-        ids = [r[0] for r in block]
-        scorer = _block_scorer(ids, np.array([r[1] for r in block], dtype=np.float64), k, id_col, vec_col)
-        parts.append(vectors.select(id_col, vec_col).mapInPandas(scorer, schema))
-        block.clear()
+    def answer(block: list) -> None:
+        nonlocal path
+        scorer = _block_scorer([r[0] for r in block], np.array([r[1] for r in block], dtype=np.float64), k, id_col, vec_col)
+        found = _rank(vectors.select(id_col, vec_col).mapInPandas(scorer, schema), k, id_col)
+        path = path or work_path(spark, "neighbours")
+        found.write.mode("append").parquet(path)
 
+    block = []
     for row in queries.select(query_id, vec_col).toLocalIterator():
         block.append(row)
         if len(block) == QUERY_BLOCK:
-            flush()
+            answer(block)
+            block = []
     if block:
-        flush()
-    if not parts:
-        return vectors.sparkSession.createDataFrame([], f"{schema}, rank int")
-    return _rank(reduce(DataFrame.unionByName, parts), k, id_col)
+        answer(block)
+    if path is None:
+        return spark.createDataFrame([], f"{schema}, rank int")
+    return spark.read.schema(f"{schema}, rank int").parquet(path)
 
 
 def _rank(scored: DataFrame, k: int, id_col: str) -> DataFrame:

@@ -105,12 +105,12 @@ def encode_links(df: DataFrame, link: str, target: DataFrame | None = None, key:
 
 
 def soft_limit(batches: DataFrame, batch: str, order: str, limit: int, size: Column) -> DataFrame:
-    """Keep each batch's rows while the running size before the row is under the soft limit.
+    """Cut each batch into parts at the soft limit: ``part_no`` from 0, every row in one part.
 
-    Meant for numbered batches of a fixed row count, so a batch is always one small window.
+    A part ends with the row that takes the running size to the next multiple of the limit, so only its
+    last row may reach beyond. Meant for numbered batches of a fixed row count, so a batch is always
+    one small window.
     """
     running = Window.partitionBy(batch).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        batches.withColumn("_before", F.coalesce(F.sum(size).over(running), F.lit(0)))
-        .where(F.col("_before") < limit).drop("_before")
-    )
+    before = F.coalesce(F.sum(size).over(running), F.lit(0))
+    return batches.withColumn("part_no", F.floor(before / F.lit(limit)).cast("bigint"))

@@ -14,21 +14,6 @@ KEY_SAMPLE = 0.01
 SALTS = 64
 
 
-def plan_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate for the frame, or None where it cannot be read."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
-
-
-def broadcastable(df: DataFrame) -> bool:
-    """Whether the estimate is under the session's own broadcast threshold."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = plan_bytes(df)
-    return size is not None and 0 <= size <= int(limit)
-
-
 def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> list[tuple]:
     """The keys that hold at least ``share`` of the rows: at most MAX_HOT_KEYS of them.
 
@@ -53,15 +38,13 @@ def join_to_one(
 ) -> DataFrame:
     """Join ``many`` to ``one``; ``on`` is usually unique in ``one``, but need not be.
 
-    A ``one`` side under the broadcast threshold is left to Spark. Otherwise rows of hot keys get
-    a salt and the matching rows of ``one`` are repeated per salt, so that a key holding a third of
-    the rows is spread over ``salts`` tasks; all other keys join unsalted.
+    Without ``hot`` this is Spark's own join: a side under the broadcast threshold is broadcast, and
+    adaptive execution splits the large partitions of a skewed sort-merge join. Callers that know
+    their hot keys (``hot_keys`` finds them on a stored table, once) name them: rows of these get a salt
+    and the matching rows of ``one`` are repeated per salt, so that a key holding a third of the rows
+    is spread over ``salts`` tasks; all other keys join unsalted.
     """
     on = list(on)
-    if hot is None:
-        if broadcastable(one):
-            return many.join(one, on, how)
-        hot = hot_keys(many, on)
     if not hot:
         return many.join(one, on, how)
     # Rows of one partition keep their salt when a stage is run again; equal copies in different

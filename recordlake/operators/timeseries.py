@@ -12,15 +12,18 @@ from recordlake.model import TimeseriesSpec
 
 # Precision names and the unit timestamps are cut to.
 PRECISIONS = {"SECOND": "second", "MILLISECOND": "millisecond", "MICROSECOND": "microsecond", "MINUTE": "minute"}
+# Spark times are microseconds, so a nanosecond series keeps its values as they are.
+FINER = ("NANOSECOND",)
 
 
 def ts_ingest(df: DataFrame, spec: TimeseriesSpec, shards: int | None = None) -> DataFrame:
     """Samples of a declared series: timestamp cut to the precision, ``day`` and ``shard`` added.
 
-    The shard is the tag-set hash, so a tag set stays together; a day is the pruning unit.
+    The shard is the tag-set hash, so a tag set stays together; a day is the pruning unit. A sample
+    without a time cannot be placed: ``ts_rejected`` gives those rows.
     """
     ts = F.col(spec.timestamp)
-    if spec.precision:
+    if spec.precision and spec.precision not in FINER:
         cut = F.date_trunc(PRECISIONS[spec.precision], ts).cast(df.schema[spec.timestamp].dataType)
     else:
         cut = ts
@@ -30,6 +33,11 @@ def ts_ingest(df: DataFrame, spec: TimeseriesSpec, shards: int | None = None) ->
     return out.withColumn("day", F.to_date(spec.timestamp)).withColumn("shard", shard.cast("int"))
 
 
+def ts_rejected(df: DataFrame, spec: TimeseriesSpec) -> DataFrame:
+    """The rows that ``ts_ingest`` leaves out, whole, with a ``code``."""
+    return df.where(F.col(spec.timestamp).isNull()).withColumn("code", F.lit("null_timestamp"))
+
+
 def write_series(df: DataFrame, spec: TimeseriesSpec, path: str, mode: str = "append") -> None:
     """Partition by day and shard. Range partitioning splits a hot shard over several files."""
     keys = ["day", "shard", *spec.tags, spec.timestamp]

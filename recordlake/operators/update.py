@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -45,11 +46,16 @@ class Set:
         return self.set(name, value) if flag else self
 
     def set_raw(self, name: str, expression: str, **values) -> "Set":
-        """A caller expression with named values, written ``:name``."""
-        text = expression
-        for key, value in values.items():
-            text = text.replace(f":{key}", _sql_literal(value))
-        return self._add(name, F.expr(text))
+        """A caller expression with named values, written ``:name``.
+
+        One pass: names are whole words outside quoted text, and a value is never looked into again.
+        """
+
+        def put(found: re.Match) -> str:
+            key = found.group("name")
+            return _sql_literal(values[key]) if key in values else found.group()
+
+        return self._add(name, F.expr(_QUOTED_OR_NAME.sub(put, expression)))
 
     def set_expr(self, name: str, expression: str) -> "Set":
         return self._add(name, F.expr(expression))
@@ -92,6 +98,10 @@ class Set:
         return out
 
 
+# Quoted text, which is left alone, or a named value.
+_QUOTED_OR_NAME = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|(?<!:):(?P<name>[A-Za-z_]\w*)")
+
+
 def _sql_literal(value) -> str:
     if value is None:
         return "NULL"
@@ -102,22 +112,17 @@ def _sql_literal(value) -> str:
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _matches(where: Where) -> Column:
-    return F.coalesce(where.column(), F.lit(False))
-
-
 def update_where(base: DataFrame, where: Where, sets: Set, returning: str | None = None):
     """Apply ``sets`` to matching rows in one scan. All assignments see the old row.
 
     ``returning``: None gives the new snapshot; ``before``/``after`` the matched rows' old or new
     image; ``count`` one row with the number of matched rows.
     """
-    hit = _matches(where)
     changes = sets.assignments()
     if returning == "count":
-        return base.where(where.column()).agg(F.count(F.lit(1)).alias("affected"))
+        return where.apply(base).agg(F.count(F.lit(1)).alias("affected"))
     if returning == "before":
-        return base.where(where.column())
+        return where.apply(base)
     types = {f.name: f.dataType for f in base.schema.fields}
 
     def image(touched: Column | None) -> list[Column]:
@@ -135,10 +140,11 @@ def update_where(base: DataFrame, where: Where, sets: Set, returning: str | None
         return out
 
     if returning == "after":
-        return base.where(where.column()).select(*image(None))
+        return where.apply(base).select(*image(None))
     if returning is not None:
         raise ValueError(f"unknown return form {returning!r}")
-    return base.select(*image(hit))
+    frame, test, _ = where.flagged(base)
+    return frame.select(*image(F.coalesce(test, F.lit(False))))
 
 
 def upsert_where(base: DataFrame, key: dict, sets: Set) -> DataFrame:
@@ -161,9 +167,9 @@ def delete_where(base: DataFrame, where: Where) -> WriteResult:
     """Drop matching rows; rows where the test is unknown stay. A predicate is required."""
     if where.is_empty():
         raise ValueError("delete_where needs a predicate")
-    hit = _matches(where)
-    outcome = base.where(hit).agg(F.count(F.lit(1)).alias("deleted"))
-    return WriteResult(base.where(~hit), outcome)
+    frame, test, extra = where.flagged(base)
+    outcome = where.apply(base).agg(F.count(F.lit(1)).alias("deleted"))
+    return WriteResult(frame.where(~F.coalesce(test, F.lit(False))).drop(*extra).select(*base.columns), outcome)
 
 
 def delete_by_rid(base: DataFrame, rids: DataFrame, rid: str = "rid") -> WriteResult:
@@ -178,16 +184,27 @@ def delete_by_rid(base: DataFrame, rids: DataFrame, rid: str = "rid") -> WriteRe
 
 
 def update_partial(
-    base: DataFrame, patches: DataFrame, rid: str = "rid", present: str | None = None
+    base: DataFrame, patches: DataFrame, rid: str = "rid", present: str | None = None, order: str | None = None
 ) -> WriteResult:
     """Overwrite only the given properties of rows found by id.
 
     ``present`` names an array column listing the properties each patch row gives (so a listed null
-    clears); without it a non-null value counts as given. Patch ids must be unique; an unknown id
-    changes nothing and reports ``updated`` false.
+    clears); without it a non-null value counts as given. Patches of one id are applied in ``order``;
+    without an order column a repeated id fails the write. An unknown id changes nothing and reports
+    ``updated`` false.
     """
-    given = [c for c in patches.columns if c not in (rid, present)]
-    new = patches.select(
+    given = [c for c in patches.columns if c not in (rid, present, order)]
+    if order is None:
+        single = one_of_each(patches, [rid])
+    else:
+        def listed(c: str) -> Column:
+            return F.array_contains(present, c) if present else F.col(c).isNotNull()
+
+        # The aggregate skips rows whose order is null: the last row that gives the property.
+        last = [F.max_by(F.struct(F.col(c)), F.when(listed(c), F.col(order)))[c].alias(c) for c in given]
+        both = [F.array_distinct(F.flatten(F.collect_set(present))).alias(present)] if present else []
+        single = patches.groupBy(rid).agg(*last, *both)
+    new = single.select(
         rid,
         *[F.col(c).alias(f"_new_{c}") for c in given],
         *([F.col(present).alias("_given")] if present else []),
@@ -211,8 +228,24 @@ def update_partial(
     return WriteResult(snapshot, outcome)
 
 
-def replace_content(base: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Whole-record replacement: matched rows take every non-key column from the incoming row."""
+def one_of_each(rows: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
+    """One row per key: the last by ``order``; without it a repeated key fails at run time."""
+    rest = [c for c in rows.columns if c not in (*keys, order)]
+    packed = F.struct(*[F.col(c) for c in rest])
+    if order is not None:
+        return rows.groupBy(*keys).agg(F.max_by(packed, F.col(order)).alias("_row")).select(*keys, "_row.*")
+    text = F.concat(F.lit("more than one incoming row for "), F.concat_ws(",", *[F.col(k).cast("string") for k in keys]))
+    single = rows.groupBy(*keys).agg(F.any_value(packed).alias("_row"), F.count(F.lit(1)).alias("_n"))
+    checked = F.when(F.col("_n") > 1, F.raise_error(text)).otherwise(F.col("_row"))
+    return single.select(*keys, checked.alias("_row")).select(*keys, "_row.*")
+
+
+def replace_content(base: DataFrame, incoming: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
+    """Whole-record replacement: matched rows take every non-key column from the incoming row.
+
+    Of several incoming rows of a key the last by ``order`` counts; without an order they fail.
+    """
+    incoming = one_of_each(incoming, keys, order)
     rest = [c for c in base.columns if c not in keys]
     new = incoming.select(
         *keys, F.struct(*[F.col(c) if c in incoming.columns else F.lit(None).alias(c) for c in rest]).alias("_new")
@@ -231,7 +264,8 @@ def merge_maps(old: Column, new: Column) -> Column:
 
 
 def merge_record(base: DataFrame, incoming: DataFrame, keys: Sequence[str], column: str = "properties") -> DataFrame:
-    """Merge an incoming property map into matched rows."""
+    """Merge an incoming property map into matched rows; a key with two incoming maps fails."""
+    incoming = one_of_each(incoming.select(*keys, column), keys)
     new = incoming.select(*keys, F.col(column).alias("_new"))
     return base.join(new, list(keys), "left").withColumn(
         column, F.when(F.col("_new").isNull(), F.col(column)).otherwise(merge_maps(F.col(column), F.col("_new")))

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlake.operators.load import bulk_load
+from recordlake.operators.ordering import dense_index
 from recordlake.operators.skew import join_to_one
-from recordlake.operators.update import WriteResult
+from recordlake.operators.update import WriteResult, one_of_each
 from recordlake.sources import snapshots
 
 
+REPORT = "source_rows bigint, target_rows bigint, missing_keys bigint, verified boolean"
+
+
 class CopyMismatch(Exception):
     """The copy holds fewer rows than its source, or lacks some of its keys."""
 
@@ -40,7 +45,8 @@ def rebuild(
     """Copy a published table to a new shape, verify the copy, then switch the pointer.
 
     The old version stays readable throughout; a copy that fails verification is never published. A
-    finished copy of the same ``label`` is not repeated. Returns the verification row.
+    finished copy of the same ``label`` is not repeated. Returns the verification row, which is kept
+    with the marker of a finished copy.
     """
     done = f"{root}/DONE-{label}"
     version = snapshots.current_version(spark, root)
@@ -48,12 +54,16 @@ def rebuild(
         raise ValueError(f"no published version under {root}")
     marker = snapshots.read_text(spark, done)
     if marker is not None:
-        copied = int(marker)
+        verified = json.loads(marker)
+        verified = verified if isinstance(verified, dict) else {"version": verified}  # a marker without its row
+        copied = verified.pop("version")
         if copied > version:
             # The copy was verified, but the run stopped before the switch.
             snapshots.publish(spark, root, copied)
-        target = spark.read.parquet(snapshots.version_path(root, copied))
-        return verify_copy(0, target)
+        if not verified:
+            target = spark.read.parquet(snapshots.version_path(root, copied))
+            return verify_copy(target.count(), target)
+        return spark.createDataFrame([tuple(verified.values())], REPORT)
     source = snapshots.read_current(spark, root)
     before = source.count()
     copied = snapshots.stage(convert(source), root)
@@ -62,12 +72,18 @@ def rebuild(
     row = report.first()
     if not row["verified"]:
         raise CopyMismatch(f"copied {row['target_rows']} of {row['source_rows']} rows, {row['missing_keys']} keys missing")
-    snapshots.write_text(spark, done, str(copied))
+    snapshots.write_text(spark, done, json.dumps({"version": copied, **row.asDict()}))
     snapshots.publish(spark, root, copied)
     return report
 
 
-def seed(base: DataFrame, rows: DataFrame, keys: Sequence[str]) -> WriteResult:
-    """Merge reference rows in on every run; a second run changes nothing."""
-    numbered = rows.withColumn("row_index", F.monotonically_increasing_id())
+def seed(base: DataFrame, rows: DataFrame, keys: Sequence[str], order: str | None = None) -> WriteResult:
+    """Merge reference rows in on every run; a second run changes nothing.
+
+    ``order`` says which row of a repeated key is last; without it a repeated key fails the run.
+    """
+    if order is not None:
+        numbered = dense_index(rows, [order, *keys], name="row_index").drop(order)
+    else:
+        numbered = one_of_each(rows, keys).withColumn("row_index", F.monotonically_increasing_id())
     return bulk_load(base, numbered, keys, "UPDATE")

@@ -48,6 +48,18 @@ def k1_dynamic(spark, folder):
     return quality.check_constraints(wide_records(spark, folder), spec, ["rid"], props="properties").select("rid", "property", "rule")
 
 
+@G.add("k1_dynamic_lengths", """SELECT * FROM (SELECT conv_id, turn, unnest([CASE WHEN length(text) < 40 THEN 'text min' END, CASE WHEN length(text) > 200 THEN 'text max' END,
+ CASE WHEN len(string_split(text, ' ')) > 30 THEN 'words max' END, CASE WHEN turn > 3 THEN 'turn max' END]) AS v FROM conversations) WHERE v IS NOT NULL""")
+def k1_lengths(spark, folder):
+    """MIN and MAX on dynamic records: a text's length, a list's size, a number's value."""
+    body = F.to_json(F.struct("text", F.split("text", " ").alias("words"), "turn"))
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", F.try_variant_get(F.try_parse_json(body), "$", "map<string,variant>").alias("p"))
+    spec = TypeSpec("turn", properties=(
+        Property("text", "STRING", Constraints(min="40", max="200")), Property("words", "LIST", Constraints(max="30")), Property("turn", "LONG", Constraints(max="3"))))
+    found = quality.check_constraints(rows, spec, ["conv_id", "turn"], props="p")
+    return found.select("conv_id", "turn", F.concat_ws(" ", "property", "rule").alias("v"))
+
+
 @G.add("k3_check_unique", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def k3(spark, folder):
     return quality.check_unique(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
@@ -164,6 +176,13 @@ def r2(spark, folder):
     return _rebuilt(spark, folder)[1]
 
 
+@G.add("r3_resumed_rebuild", "SELECT count(*) AS source_rows, count(*) AS target_rows, CAST(0 AS BIGINT) AS missing_keys, true AS verified FROM orders")
+def r3(spark, folder):
+    """A rebuild that was finished before gives its own verification row again, and copies nothing."""
+    root, _ = _rebuilt(spark, folder)
+    return plans.rebuild(spark, root, lambda df: df.where("false"), ["o_orderkey"])
+
+
 @G.add("r2_filtered_copy", "SELECT count(*) AS source_rows, count(*) FILTER (WHERE o_orderstatus <> 'P') AS target_rows, count(*) FILTER (WHERE o_orderstatus = 'P') AS missing_keys, false AS verified FROM orders")
 def r2_filtered(spark, folder):
     """A copy that filters rows away does not verify."""

@@ -106,3 +106,24 @@ def f22(spark, folder):
         F.concat(F.lit("#9:"), F.col("l_orderkey").cast("string")).alias("@out"),
         F.concat(F.lit("#8:"), F.col("l_partkey").cast("string")).alias("@in"), "l_quantity")
     return Where().is_not_null("@out").ne("@in", "#8:7").gt("l_quantity", 25).apply(edges)
+
+
+def _null_list(spark, folder, wanted: bool, length: int):
+    """A list with a null follows one rule at any length; the values beyond 7 are in no row."""
+    values = [None, 1, 7, *range(100, 100 + length)]
+    where = Where().in_list("quality", values) if wanted else Where().not_in("quality", values)
+    rows = where.apply(_labelled(spark, folder)).agg(F.count(F.lit(1)).alias("n"))
+    return rows.select(F.lit("in" if wanted else "not in").alias("form"), F.lit(length).cast("bigint").alias("more"), "n")
+
+
+@G.add("f11_not_in_null_list", f"SELECT f.form, m.more, CASE WHEN f.form = 'in' THEN n_in ELSE n_out END AS n FROM (VALUES ('in'), ('not in')) f(form), (VALUES (CAST(5 AS BIGINT)), (1500)) m(more), (SELECT count(*) FILTER (WHERE quality IN (1, 7, NULL)) AS n_in, count(*) FILTER (WHERE quality NOT IN (1, 7, NULL)) AS n_out FROM {LABELLED})")
+def f11_null_list(spark, folder):
+    parts = [_null_list(spark, folder, wanted, length) for wanted in (True, False) for length in (5, 1500)]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
+@G.add("f11_not_in_null_table", f"SELECT doc_id FROM {LABELLED} WHERE quality NOT IN (SELECT CASE WHEN l_linenumber > 1 THEN l_linenumber END FROM lineitem)")
+def f11_null_table(spark, folder):
+    """A null in a table of values lets no row through either."""
+    values = table(spark, folder, "lineitem").select(F.when(F.col("l_linenumber") > 1, F.col("l_linenumber")).alias("v"))
+    return Where().not_in("quality", values).apply(_labelled(spark, folder)).select("doc_id")

@@ -197,3 +197,14 @@ def l2(spark, folder):
 def l3(spark, folder):
     events = table(spark, folder, "events").select("user_id", "event_type", "event_id", "ts", "value")
     return read.latest_row(events, ["user_id", "event_type"], "ts", "event_id").drop("ts")
+
+
+@G.add("s13_all_pages", "SELECT o_custkey % 50 AS k, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 1")
+def s13_all(spark, folder):
+    """All pages together are all rows, on a key with few values of which one is null."""
+    orders = table(spark, folder, "orders").select(F.nullif(F.col("o_custkey") % 50, F.lit(7)).alias("k"), "o_orderkey")
+    pages = list(read.iterate_pages(orders, "k", max(1, orders.count() // 3)))
+    whole = pages[0]
+    for page in pages[1:]:
+        whole = whole.union(page)
+    return whole.groupBy(F.coalesce("k", F.lit(7)).cast("bigint").alias("k")).agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))

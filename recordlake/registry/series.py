@@ -34,6 +34,13 @@ def t1(spark, folder):
     return out.withColumn("sharded", F.col("shard").between(0, 3)).drop("shard")
 
 
+@G.add("t1_rejected_rows", "SELECT event_id, 'null_timestamp' AS code FROM events WHERE event_type = 'click'")
+def t1_rejected(spark, folder):
+    """Samples without a time are not lost: they come back as rejected rows."""
+    timeless = events(spark, folder).withColumn("ts", F.when(F.col("event_type") != "click", F.col("ts")))
+    return timeseries.ts_rejected(timeless, SPEC).select("event_id", "code")
+
+
 @G.add("t1_partitioned_write", "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1")
 def t1_write(spark, folder):
     path = work_path(spark, "series")

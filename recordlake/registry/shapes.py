@@ -166,13 +166,13 @@ def p10_json(spark, folder):
     return _linked(spark, folder, "JSON")
 
 
-@G.add("p10_soft_limit", """SELECT event_id FROM (SELECT event_id, coalesce(sum(length(props)) OVER (PARTITION BY r // 500 ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
- FROM (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS r FROM events)) WHERE before < 3000""")
+@G.add("p10_soft_limit", """SELECT event_id, r // 500 AS batch_no, CAST(coalesce(sum(length(props)) OVER (PARTITION BY r // 500 ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) // 3000 AS part_no
+ FROM (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS r FROM events)""")
 def p10_soft(spark, folder):
     from recordlake.operators.read import number_batches
 
     batches = number_batches(table(spark, folder, "events").select("event_id", "props"), ["event_id"], 500)
-    return shape.soft_limit(batches, "batch_no", "event_id", 3000, F.length("props")).select("event_id")
+    return shape.soft_limit(batches, "batch_no", "event_id", 3000, F.length("props")).select("event_id", "batch_no", "part_no")
 
 
 # ---- decode ---------------------------------------------------------------------------------
@@ -270,7 +270,7 @@ def d11(spark, folder):
 
 @G.add("d13_bad_link", "SELECT '#' || l_suppkey || '-' || l_partkey AS text, count(*) AS n FROM lineitem GROUP BY 1")
 def d13_bad(spark, folder):
-    """Text that only looks like a link is an error, never a garbage id."""
+    """Texts close to the link form are rejected as a whole."""
     text = F.concat(F.lit("#"), F.col("l_suppkey"), F.lit("-"), F.col("l_partkey"))
     return table(spark, folder, "lineitem").select(text.alias("text")).where(parse_link(F.col("text")).isNull()).groupBy("text").agg(F.count(F.lit(1)).alias("n"))
 

@@ -351,3 +351,36 @@ def k2(spark, folder):
         Property("o_orderstatus", constraints=Constraints(readonly=True)), Property("o_custkey", "LONG", Constraints(readonly=True)),
         Property("o_orderpriority")))
     return check_readonly(orders(spark, folder), new_orders(spark, folder), ["o_orderkey"], spec)
+
+
+# ---- predicates against tables of values, and repeated patches --------------------------------
+RICH_SQL = "(SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 0)"
+
+
+def _rich(spark, folder):
+    return table(spark, folder, "customer").where("c_mktsegment = 'BUILDING' AND c_acctbal > 0").select("c_custkey")
+
+
+@G.add("u9_update_in_table", f"SELECT o_orderkey, CASE WHEN o_custkey IN {RICH_SQL} AND o_orderstatus <> 'P' THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders")
+def u9_in_table(spark, folder):
+    base = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    where = Where().in_list("o_custkey", _rich(spark, folder)).ne("o_orderstatus", "P")
+    return update.update_where(base, where, Set().set("o_orderstatus", "X")).select("o_orderkey", "o_orderstatus")
+
+
+@G.add("u17_delete_in_table", f"SELECT o_orderkey FROM orders WHERE o_custkey IN {RICH_SQL}")
+def u17_in_table(spark, folder):
+    """Deletes what is not in the table; a second delete names 3 000 keys, most of which are gone."""
+    base = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    left = update.delete_where(base, Where().not_in("o_custkey", _rich(spark, folder))).snapshot
+    return update.delete_where(left, Where().in_list("o_orderkey", range(-3000, 0))).snapshot.select("o_orderkey")
+
+
+@G.add("u15_repeated_patch", "SELECT c_custkey, coalesce(p.last_price, c_acctbal) AS c_acctbal, coalesce(p.last_status, c_mktsegment) AS c_mktsegment FROM customer LEFT JOIN (SELECT o_custkey, arg_max(o_totalprice, o_orderkey) AS last_price, arg_max(o_orderstatus, o_orderkey) FILTER (WHERE o_orderstatus <> 'P') AS last_status FROM orders GROUP BY 1) p ON o_custkey = c_custkey")
+def u15_repeated(spark, folder):
+    """Every order patches its customer; patches of one customer are applied in order, each property's last one counts."""
+    patches = table(spark, folder, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("c_acctbal"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("c_mktsegment"), "o_orderkey")
+    base = table(spark, folder, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    return update.update_partial(base, patches, "c_custkey", order="o_orderkey").snapshot

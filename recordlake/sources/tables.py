@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import threading
+import uuid
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,22 +65,31 @@ def read_records(
     )
 
 
-def query_bound(
-    spark: SparkSession, text: str, args: dict | list | None = None, limit: int | None = None,
-    time_limit_ms: int | None = None, **views: DataFrame,
-) -> DataFrame:
-    """SQL text with named parameters, never string-interpolated; optional row and time limits.
-
-    The time limit covers jobs started from this thread's job group after the call.
-    """
+def query_bound(spark: SparkSession, text: str, args: dict | list | None = None, limit: int | None = None, **views: DataFrame) -> DataFrame:
+    """SQL text with named parameters, never string-interpolated; optional row limit."""
     out = spark.sql(text, args=args, **views) if args is not None else spark.sql(text, **views)
-    if time_limit_ms is not None:
-        import threading
-        import uuid
-
-        group = f"query-{uuid.uuid4().hex}"
-        spark.sparkContext.setJobGroup(group, "bound query", interruptOnCancel=True)
-        timer = threading.Timer(time_limit_ms / 1000, spark.sparkContext.cancelJobGroup, [group])
-        timer.daemon = True
-        timer.start()
     return out.limit(limit) if limit is not None else out
+
+
+def within_time(spark: SparkSession, time_limit_ms: int, action: Callable[[], object]):
+    """Run an action (a write, a count) and cancel its jobs from the time limit on.
+
+    Only jobs of this call are in its group; the watcher ends and the group is left with the call.
+    """
+    group, context, done = f"timed-{uuid.uuid4().hex}", spark.sparkContext, threading.Event()
+
+    def watch() -> None:
+        if not done.wait(time_limit_ms / 1000):
+            while not done.wait(0.2):  # jobs that the action starts later are over time as well
+                context.cancelJobGroup(group)
+
+    context.setJobGroup(group, "timed action", interruptOnCancel=True)
+    watcher = threading.Thread(target=watch, daemon=True)
+    watcher.start()
+    try:
+        return action()
+    finally:
+        done.set()
+        watcher.join()
+        for name in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+            context.setLocalProperty(name, None)

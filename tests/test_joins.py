@@ -38,10 +38,14 @@ def test_hot_keys_found(spark):
     assert len(skew.hot_keys(many, ["k"])) <= skew.MAX_HOT_KEYS
 
 
-def test_large_sides_use_the_salted_path(spark, no_broadcast):
+def test_no_job_runs_while_a_join_is_planned(spark, no_broadcast):
     many = spark.range(120_000).select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 1000).alias("k"), "id")
     one = spark.range(900).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    group = "planning-a-join"
+    spark.sparkContext.setJobGroup(group, group)
     out = skew.join_to_one(many, one, ["k"], "left")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert out.count() == 120_000
     assert out.where("v IS NOT NULL").count() == many.where("k < 900").count()
 

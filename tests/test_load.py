@@ -51,12 +51,9 @@ def text(rows):
 
 @pytest.mark.parametrize("mode,cols", [("IGNORE", ()), ("UPDATE", ()), ("UPDATE", ("a",)), ("ERROR", ()), ("ABORT", ())])
 @pytest.mark.parametrize("joins", ["small", "large"])
-def test_load_equals_the_model(spark, monkeypatch, mode, cols, joins):
+def test_load_equals_the_model(spark, request, mode, cols, joins):
     if joins == "large":
-        from recordlake.operators import skew
-
-        monkeypatch.setattr(skew, "broadcastable", lambda df: False)
-        monkeypatch.setattr(skew, "hot_keys", lambda df, on, share=0: [(3, "x"), (None, "x")])
+        request.getfixturevalue("no_broadcast")
     base, rows = data(5)
     inc = spark.createDataFrame([(i, *r) for i, r in rows], "row_index bigint, " + SCHEMA).repartition(8)
     result = load.bulk_load(spark.createDataFrame(base, SCHEMA), inc, ["k1", "k2"], mode, cols)

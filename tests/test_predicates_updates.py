@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recordlake.functions.predicates import Where, like_pattern
-from recordlake.operators import read, update
+from recordlake.operators import load, read, update
 from recordlake.operators.update import Set
 
 
@@ -116,3 +116,66 @@ def test_pages_cover_everything(spark):
     df = spark.range(25)
     pages = [[r["id"] for r in p.collect()] for p in read.iterate_pages(df, "id", 10)]
     assert [i for p in pages for i in p] == list(range(25)) and [len(p) for p in pages] == [10, 10, 5]
+
+
+def test_a_null_in_a_list_means_one_thing(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "id int, v string")
+    for more in (0, 3000):
+        values = [None, 1, *range(10, 10 + more)]
+        frame = spark.createDataFrame([(v,) for v in values], "x int")
+        for given in (values, frame):
+            assert [r["id"] for r in Where().in_list("id", given).apply(df).collect()] == [1]
+            assert Where().not_in("id", given).apply(df).count() == 0
+
+
+def test_long_lists_in_writes(spark):
+    df = spark.range(20).withColumn("v", F.lit("old"))
+    values = [3, 4, *range(100, 3000)]
+    for given in (values, spark.createDataFrame([(v,) for v in values], "x bigint")):
+        where = Where().in_list("id", given)
+        got = update.update_where(df, where, Set().set("v", "new"))
+        assert got.columns == ["id", "v"] and sorted(r["id"] for r in got.where("v = 'new'").collect()) == [3, 4]
+        assert update.update_where(df, where, Set().set("v", "new"), "count").first()["affected"] == 2
+        result = update.delete_where(df, where)
+        assert result.snapshot.count() == 18 and result.outcome.first()["deleted"] == 2 and result.snapshot.columns == ["id", "v"]
+        stay, target = load.move_records(df, df.limit(0), where, {})
+        assert stay.count() == 18 and target.count() == 2
+
+
+def test_raw_values_are_put_in_once(spark):
+    df = spark.createDataFrame([("x",)], "v string")
+    got = update.update_where(df, Where(), Set().set_raw("v", "concat(v, :ab, :a, ':a', \":ab\")", a="1:ab'", ab=":a"))
+    assert got.first()["v"] == "x:a1:ab':a:ab"
+
+
+def test_repeated_patches(spark):
+    base = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, "c", 3)], "id int, s string, n int")
+    patches = spark.createDataFrame([(1, "x", None, 1), (1, None, 9, 2), (1, "y", None, 3)], "id int, s string, n int, at int")
+    got = update.update_partial(base, patches, "id", order="at").snapshot
+    assert sorted(map(tuple, got.collect())) == [(1, "y", 9), (2, "b", 2), (3, "c", 3)]
+    new = update.replace_content(base, patches, ["id"], order="at")
+    assert sorted(map(tuple, new.collect())) == [(1, "y", None), (2, "b", 2), (3, "c", 3)]
+    for call in (lambda: update.update_partial(base, patches.drop("at"), "id").snapshot, lambda: update.replace_content(base, patches.drop("at"), ["id"])):
+        with pytest.raises(Exception, match="more than one incoming row"):
+            call().collect()
+
+
+def test_pages_lose_no_row_of_a_repeated_or_null_key(spark):
+    df = spark.range(120).select(F.when(F.col("id") < 100, F.col("id") % 5).alias("k"), F.when(F.col("id") < 60, F.col("id")).alias("v"))
+    pages = [p.collect() for p in read.iterate_pages(df, "k", 7)]
+    rows = [tuple(r) for p in pages for r in p]
+    assert len(rows) == 120 and all(len(p) == 7 for p in pages[:-1])
+    key = lambda r: tuple((x is not None, x or 0) for x in r)
+    assert sorted(rows, key=key) == sorted((tuple(r) for r in df.collect()), key=key)
+    assert [r[0] for r in rows] == sorted((r[0] for r in rows), key=lambda x: (x is not None, x or 0))
+
+
+def test_time_limit_ends_with_its_action(spark):
+    from recordlake.sources.tables import within_time
+
+    assert within_time(spark, 60_000, spark.range(10).count) == 10
+    endless = spark.range(0, 10 ** 15, 1, 4).select(F.sum(F.hash("id")))
+    with pytest.raises(Exception, match="(?i)cancel"):
+        within_time(spark, 1_000, endless.collect)
+    assert spark.range(5).count() == 5
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None

@@ -75,9 +75,6 @@ def test_retype_and_kind_drift_are_reported(spark):
 def test_series_types_are_left_alone(spark):
     got = actions(spark, one(prop("a"), kind="TIMESERIES"), one(prop("b"), kind="TIMESERIES"))
     assert got == []
-    want, have = (TypeSpec("t", "TIMESERIES", series=s) for s in (
-        TimeseriesSpec("ts", ("a",), ("v",), shards=4, retention="1 DAYS"), TimeseriesSpec("ts", ("a", "b"), ("v",), shards=2, retention="24 HOURS", compaction="1 HOURS")))
-    assert catalog.series_drift(want, have) == ["tags removed ['b'] added []", "shards 2 -> 4"]
 
 
 def test_index_identity(spark):
@@ -117,13 +114,7 @@ def test_catalog_from_tables(spark):
     ("SET OF STRING", "LIST OF STRING", True), ("LIST OF STRING", "STRING", False), ("MAP", "EMBEDDEDMAP", True), ("GEOMETRY", "LONG", True),
     ("LIST OF LIST OF LONG", "STRING", True), ("BOOLEAN", "INTEGER", False)])
 def test_type_compatibility(spark, expected, actual, ok):
-    assert spark.range(1).select(quality.kinds_compatible(F.lit(expected), F.lit(actual)).alias("ok")).first()["ok"] is ok
-
-
-def test_reader_columns(spark):
-    spec = RecordSpec("r", (FieldSpec("a_b", Scalar("u8")), FieldSpec("l", ListOf(Scalar("f32"))), FieldSpec("d", Scalar("dynamic"))), rename_all="camelCase")
-    rows = {r["property"]: r["type_name"] for r in quality.reader_columns(spark, spec, "t").collect()}
-    assert rows == {"aB": "BYTE", "l": "LIST OF FLOAT", "d": None}
+    assert spark.range(1).select(quality.reads_as(F.lit(expected), F.lit(actual)).alias("ok")).first()["ok"] is ok
 
 
 def test_observed_kinds_mix(spark):
@@ -273,3 +264,37 @@ def test_fuse_ranks_by_score(spark):
     b = spark.createDataFrame([(2, 0.5), (3, 0.1)], "doc_id int, score double")
     got = [(r["doc_id"], r["score"]) for r in search.fuse([a, b]).collect()]
     assert got == [(2, round(1 / 62 + 1 / 61, 9)), (1, round(1 / 61, 9)), (3, round(1 / 62, 9))]
+
+
+def test_dense_scorers_give_at_most_k_rows_per_query_and_task(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    rows = [(i, [round(float(x), 1) for x in rng.normal(size=4)]) for i in range(3000)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    ids, matrix = list(range(1024)), rng.normal(size=(1024, 4))
+    scorer = search._block_scorer(ids, matrix, 10, "vec_id", "embedding")
+    assert vectors.mapInPandas(scorer, "query_id bigint, vec_id bigint, score double").count() <= 10 * 1024 * 3
+    queries = spark.createDataFrame([(i, [float(x) for x in matrix[i]]) for i in range(40)], "query_id bigint, embedding array<double>")
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in search.dense_neighbors(vectors, queries, 10).collect()}
+    x = np.array([r[1] for r in rows])
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+    for q in range(40):
+        scores = np.round(x @ (matrix[q] / np.linalg.norm(matrix[q])), 6)
+        want = sorted(range(3000), key=lambda i: (-scores[i], i))[:10]
+        assert [got[q, r + 1][0] for r in range(10)] == want
+
+
+def test_regexp_holds_for_the_whole_value(spark):
+    spec = TypeSpec("t", properties=(Property("v", constraints=Constraints(regexp="A")),))
+    df = spark.createDataFrame([("A",), ("A\n",), ("AB",)], "v string")
+    assert quality.check_constraints(df, spec, ["v"]).count() == 2
+
+
+def test_nanosecond_series_keep_their_values(spark):
+    from recordlake.operators import timeseries
+
+    df = spark.createDataFrame([("2024-01-01 00:00:00.123456",), (None,)], "t string").select(F.to_timestamp("t").alias("ts"), F.lit("a").alias("tag"), F.lit(1.0).alias("v"))
+    spec = TimeseriesSpec("ts", ("tag",), ("v",), precision="NANOSECOND")
+    assert timeseries.ts_ingest(df, spec).select(F.unix_micros("ts") % 1_000_000).collect()[0][0] == 123456
+    assert [r["code"] for r in timeseries.ts_rejected(df, spec).collect()] == ["null_timestamp"]
