@@ -81,6 +81,11 @@ def decode(records: DataFrame, spec: RecordSpec, mode: str = "quarantine", json_
         return out.withColumn("_ok", checked).where(F.col("_ok").cast("boolean")).drop("errors", "_ok")
     if mode != "quarantine":
         raise ValueError(f"unknown decode mode {mode!r}")
+    return split_errors(out, keep)
+
+
+def split_errors(out: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Decoded columns as (good, bad)."""
     good = out.where(F.size("errors") == 0).drop("errors")
     meta = [c for c in ("rid", "type", *keep) if c in out.columns]
     bad = out.where(F.size("errors") > 0).select(*meta, F.explode("errors").alias("e")).select(*meta, "e.*")

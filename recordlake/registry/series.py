@@ -88,30 +88,69 @@ def with_chunks(df):
                      F.col("event_id").alias("row_no"), *COLUMNS)
 
 
+def event_files(spark, folder):
+    """The events as a stream of five files, one per micro-batch; chunks reach over several of them."""
+    path, rows = work_path(spark, "events"), events(spark, folder)
+    rows.repartitionByRange(5, "event_id").write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def _streamed(spark, folder, mode):
     """The whole stream once, then all of it again: the second delivery must change nothing."""
-    target = ingest.StreamTarget(work_path(spark, "ingest"))
-    again = ingest.StreamTarget(target.root)
-    stream = with_chunks(event_stream(spark, folder))
-    ingest.stream_load(stream, target, ["user_id", "event_type"], mode, COLUMNS).awaitTermination()
-    replay = with_chunks(event_stream(spark, folder))
+    target = ingest.StreamTarget(work_path(spark, "ingest"), ["user_id", "event_type"], COLUMNS, mode)
+    ingest.stream_load(with_chunks(event_files(spark, folder)), target).awaitTermination()
+    ingest.stream_load(with_chunks(event_files(spark, folder)), target, "replay").awaitTermination()
+    return target
 
-    def apply(batch, _id):
-        ingest.apply_chunks(batch, again, ["user_id", "event_type"], mode, COLUMNS)
 
-    replay.writeStream.foreachBatch(apply).option("checkpointLocation", f"{target.root}/replay").trigger(availableNow=True).start().awaitTermination()
+def _schema(spark, folder):
+    return events(spark, folder).select(*COLUMNS).schema
+
+
+def _sessions(spark, folder):
+    """As above with sessions: errors have no options, signups are rolled back, views do not end. Users of
+    clicks that divide by 7 have no key. The table is compacted between two deliveries."""
+    target = ingest.StreamTarget(work_path(spark, "sessions"), ["user_id", "event_type"], COLUMNS, "IGNORE", gated=True)
+    rows = with_chunks(event_files(spark, folder))
+    opened = F.when((F.col("seq") == 1) & (F.col("session") != "error"), F.lit("opt"))
+    keyless = (F.col("event_type") == "click") & (F.col("user_id") % 7 == 0)
+    rows = rows.withColumn("options", opened).withColumn("commit", F.lit(None).cast("boolean")).withColumn(
+        "user_id", F.when(~keyless, F.col("user_id")))
+    ingest.stream_load(rows, target).awaitTermination()
+    ends = spark.createDataFrame([(s, s != "signup") for s in ("click", "purchase", "signup", "error")], "session string, commit boolean")
+    control = ends.select("session", *[F.lit(None).cast(t).alias(c) for c, t in rows.dtypes if c not in ("session", "commit")], "commit")
+    ingest.append_chunks(control, 0, target, "control")
+    ingest.compact(spark, target, _schema(spark, folder))
+    ingest.stream_load(rows, target, "replay").awaitTermination()
     return target
 
 
 @G.add("x1_stream_upsert", "SELECT user_id, event_type, arg_max(value, event_id) AS value FROM events GROUP BY 1, 2")
 def x1(spark, folder):
-    return ingest.read_table(spark, _streamed(spark, folder, "UPDATE"), events(spark, folder).select(*COLUMNS).schema)
+    return ingest.read_table(spark, _streamed(spark, folder, "UPDATE"), _schema(spark, folder))
 
 
 @G.add("x2_chunk_acks", f"""SELECT session, seq, count(*) AS received, count(*) FILTER (WHERE rk = 1) AS inserted, CAST(0 AS BIGINT) AS updated, count(*) FILTER (WHERE rk > 1) AS ignored, CAST(0 AS BIGINT) AS failed FROM
  (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY seq, row_no) AS rk FROM {CHUNK_SQL}) GROUP BY 1, 2""")
 def x2(spark, folder):
-    return ingest.read_acks(spark, _streamed(spark, folder, "IGNORE")).drop("version")
+    return ingest.read_acks(spark, _streamed(spark, folder, "IGNORE"), _schema(spark, folder))
+
+
+GATED_SQL = f"""(SELECT *, CASE WHEN session = 'error' THEN 'missing_options' WHEN session = 'signup' THEN 'rolled_back' WHEN session = 'view' THEN 'open' END AS code,
+ event_type = 'click' AND user_id % 7 = 0 AS keyless FROM {CHUNK_SQL})"""
+
+
+@G.add("x2_error_rows", f"""SELECT session, seq, row_no, coalesce(code, 'null_key') AS code, CASE WHEN code IS NULL THEN 'user_id' END AS field, CASE WHEN code IS NULL THEN 'key column is null: user_id' END AS message
+ FROM {GATED_SQL} WHERE code IS NOT NULL OR keyless""")
+def x2_errors(spark, folder):
+    return ingest.read_errors(spark, _sessions(spark, folder), _schema(spark, folder))
+
+
+@G.add("x2_session_summary", f"""SELECT session, coalesce(min(code), 'loaded') AS state, count(*) FILTER (WHERE code IS NULL) AS received, count(*) FILTER (WHERE code IS NULL AND NOT keyless AND rk = 1) AS inserted, CAST(0 AS BIGINT) AS updated,
+ count(*) FILTER (WHERE code IS NULL AND NOT keyless AND rk > 1) AS ignored, count(*) FILTER (WHERE code IS NULL AND keyless) AS failed, count(*) FILTER (WHERE code IS NOT NULL) AS held
+ FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY seq, row_no) AS rk FROM {GATED_SQL}) GROUP BY 1""")
+def x2_summary(spark, folder):
+    return ingest.read_summary(spark, _sessions(spark, folder), _schema(spark, folder))
 
 
 @G.add("x3_session_gate", f"""SELECT session, seq, count(*) AS n, CASE WHEN session = 'error' THEN NULL ELSE 'opt-' || session END AS options, CASE WHEN session = 'error' THEN 'missing_options' WHEN session = 'signup' THEN 'rolled_back' WHEN session = 'view' THEN 'open' END AS code
@@ -127,19 +166,39 @@ def x3(spark, folder):
 @G.add("x4_stream_read", "SELECT count(*) AS rows, false AS truncated FROM events")
 def x4(spark, folder):
     """A stream read to its end; the summary is what comes back."""
-    stream = event_stream(spark, folder)
+    stream = event_files(spark, folder)
     seen = reads.stream_until(stream, work_path(spark, "read"), lambda batch, batch_id: True)
     return spark.createDataFrame([(seen["rows"], seen["truncated"])], "rows bigint, truncated boolean")
 
 
+@G.add("x4_stop_and_resume", "SELECT count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS ids, true AS stopped, false AS truncated FROM events")
+def x4_resume(spark, folder):
+    """A read that stops on the data, and a second one that goes on from there: every row is seen once."""
+    stream, checkpoint, ids = event_files(spark, folder), work_path(spark, "read"), []
+    half = events(spark, folder).count() // 2
+    counted = []
+
+    def handle(batch, batch_id):
+        row = batch.agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids")).first()
+        counted.append(row["n"])
+        ids.append(row["ids"])
+        return sum(counted) < half
+
+    first = reads.stream_until(stream, checkpoint, handle)
+    second = reads.stream_until(stream, checkpoint, lambda batch, batch_id: handle(batch, batch_id) or True)
+    return spark.createDataFrame([(first["rows"] + second["rows"], sum(ids), first["truncated"], second["truncated"])],
+                                 "rows bigint, ids bigint, stopped boolean, truncated boolean")
+
+
 @G.add("x5_stream_decode", f"SELECT 'good' AS sink, NULL AS code, count(*) AS n FROM {WIDE_SQL} WHERE event_type = 'view' OR (event_type = 'click' AND CAST(body->>'$.k' AS BIGINT) <= 127) UNION ALL SELECT 'bad', CASE WHEN event_type = 'error' THEN 'missing_field' ELSE 'type_mismatch' END, count(*) FROM {WIDE_SQL} WHERE NOT (event_type = 'view' OR (event_type = 'click' AND CAST(body->>'$.k' AS BIGINT) <= 127)) GROUP BY 2")
 def x5(spark, folder):
     root = work_path(spark, "decode")
     stream = spark.readStream.schema(wide(spark, folder).schema).parquet(_wide_file(spark, folder))
     recs = read_records(stream, "body", F.col("event_id").cast("string"), F.col("event_type"))
     reads.stream_decode(recs, BODY, root).awaitTermination()
-    good = spark.read.parquet(f"{root}/good").agg(F.count(F.lit(1)).alias("n")).select(F.lit("good").alias("sink"), F.lit(None).cast("string").alias("code"), "n")
-    bad = spark.read.parquet(f"{root}/bad").groupBy("code").agg(F.count(F.lit(1)).alias("n")).select(F.lit("bad").alias("sink"), "code", "n")
+    good, bad = reads.decoded_rows(spark, root)
+    good = good.agg(F.count(F.lit(1)).alias("n")).select(F.lit("good").alias("sink"), F.lit(None).cast("string").alias("code"), "n")
+    bad = bad.groupBy("code").agg(F.count(F.lit(1)).alias("n")).select(F.lit("bad").alias("sink"), "code", "n")
     return good.unionByName(bad)
 
 

@@ -1,17 +1,8 @@
-"""Versioned tables on plain Parquet: data in ``v=<n>`` folders, one small pointer file.
-
-A bucketed table adds a manifest per version that says which folder holds each bucket, so a write
-touches only the buckets its keys fall into and the others are shared with earlier versions.
-"""
+"""Versioned tables on plain Parquet: data in ``v=<n>`` folders, one small pointer file. One writer at a time."""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Sequence
-
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession
 
 POINTER = "CURRENT"
 
@@ -82,51 +73,3 @@ def commit(df: DataFrame, root: str, partition_by: tuple[str, ...] = ()) -> int:
     publish(df.sparkSession, root, version)
     return version
 
-
-# ---- bucketed tables ------------------------------------------------------------------------
-
-
-def bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
-
-def _manifest(spark: SparkSession, root: str, version: int | None) -> dict[str, str]:
-    if not version:
-        return {}
-    return json.loads(read_text(spark, f"{version_path(root, version)}-manifest"))
-
-
-def read_buckets(spark: SparkSession, root: str, schema: T.StructType, buckets: Sequence[int] | None = None) -> DataFrame:
-    """The published table, or only the given buckets of it; an unpublished table is empty."""
-    manifest = _manifest(spark, root, current_version(spark, root))
-    chosen = manifest if buckets is None else {b: manifest[b] for b in map(str, buckets) if b in manifest}
-    if not chosen:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*sorted(chosen.values()))
-
-
-def rewrite_buckets(
-    rows: DataFrame, root: str, schema: T.StructType, keys: Sequence[str], buckets: int,
-    change: Callable[[DataFrame], DataFrame],
-) -> int:
-    """Write the next version (unpublished): ``change`` applied to the buckets ``rows`` fall into.
-
-    ``change`` gets the stored rows of those buckets and gives their new content. At most
-    ``buckets`` numbers come back to the driver.
-    """
-    spark = rows.sparkSession
-    touched = [r[0] for r in rows.select(bucket_of(keys, buckets).alias("b")).distinct().collect()]
-    current = current_version(spark, root)
-    version = (current or 0) + 1
-    path = version_path(root, version)
-    content = change(read_buckets(spark, root, schema, touched)).withColumn("_bucket", bucket_of(keys, buckets))
-    # Range partitioning splits a large bucket over several files.
-    content.repartitionByRange("_bucket", *keys).write.mode("overwrite").partitionBy("_bucket").parquet(path)
-    manifest = _manifest(spark, root, current)
-    for b in touched:
-        folder = f"{path}/_bucket={b}"
-        manifest.pop(str(b), None)
-        if exists(spark, folder):
-            manifest[str(b)] = folder
-    write_text(spark, f"{path}-manifest", json.dumps(manifest))
-    return version

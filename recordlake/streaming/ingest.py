@@ -1,4 +1,10 @@
-"""Chunked ingest as a stream: session gate, replays recognised, per-chunk tallies."""
+"""Chunked ingest as a stream: appended micro-batches, replays recognised, sessions, acks and errors.
+
+A micro-batch is only appended. What the table, the acks and the errors are follows from the log when
+they are read: every chunk row counts once, in the order (session, sequence, row), however its chunk was
+cut into micro-batches or delivered again. ``compact`` merges what is settled into a versioned table,
+so that reads merge the rest only.
+"""
 
 from __future__ import annotations
 
@@ -8,94 +14,132 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlake.operators.load import bulk_load, tallies
+from recordlake.operators.load import OUTCOME, bulk_load, tallies
 from recordlake.operators.skew import join_to_one
-from recordlake.session import stored
 from recordlake.sources import snapshots
 
+PLACE = ["session", "seq", "row_no"]
+
 
 @dataclass(frozen=True)
 class StreamTarget:
-    """Where a stream load keeps its table, its per-chunk acks and its stream checkpoint.
+    """Where a stream load keeps its log and its compacted table, and how rows load.
 
-    The bucket count is fixed for the life of the table; choose it so that a bucket is a few
-    gigabytes.
+    Log rows are ``session, seq, row_no`` plus ``columns``. A ``gated`` target has ``options`` (text, on a
+    session's first chunk) and ``commit`` (on a row without ``row_no`` that ends the session) as well.
     """
 
     root: str
-    buckets: int = 16
+    keys: Sequence[str]
+    columns: Sequence[str]
+    mode: str = "UPDATE"
+    update_cols: Sequence[str] = ()
+    gated: bool = False
 
     @property
-    def data(self) -> str:
-        return f"{self.root}/data"
+    def log(self) -> str:
+        return f"{self.root}/log"
 
     @property
-    def acks(self) -> str:
-        return f"{self.root}/acks"
+    def table(self) -> str:
+        return f"{self.root}/table"
 
-    @property
-    def checkpoint(self) -> str:
-        return f"{self.root}/checkpoint"
 
+def append_chunks(batch: DataFrame, batch_id: int, target: StreamTarget, source: str = "main") -> None:
+    """Append one micro-batch; a retry of it overwrites its own folder."""
+    extra = ["options", "commit"] if target.gated else []
+    rows = batch.select(*PLACE, *target.columns, *extra)
+    rows.write.mode("overwrite").parquet(f"{target.log}/source={source}/batch={batch_id}")
 
-ACKS = "session string, seq bigint, received bigint, inserted bigint, updated bigint, ignored bigint, failed bigint, version bigint"
 
+def stream_load(chunks: DataFrame, target: StreamTarget, source: str = "main"):
+    """Start a bounded (available-now) stream that appends chunks; returns the query.
 
-def read_acks(spark: SparkSession, target: StreamTarget) -> DataFrame:
-    """Acks of published versions only: one row per chunk that was applied."""
-    version = snapshots.current_version(spark, target.data)
-    if not snapshots.exists(spark, target.acks):
-        return spark.createDataFrame([], ACKS)
-    return spark.read.schema(ACKS).parquet(target.acks).where(F.col("version") <= (version or 0))
+    ``source`` names the stream: each has its own checkpoint and its own part of the log.
+    """
 
+    def append(batch: DataFrame, batch_id: int) -> None:
+        append_chunks(batch, batch_id, target, source)
+
+    return chunks.writeStream.foreachBatch(append).option(
+        "checkpointLocation", f"{target.root}/checkpoint-{source}").trigger(availableNow=True).start()
+
+
+@dataclass
+class StreamState:
+    """The table, one outcome row per loaded chunk row, and the rows that a session holds back."""
+
+    table: DataFrame
+    outcome: DataFrame
+    held: DataFrame
+
+
+def state(spark: SparkSession, target: StreamTarget, schema) -> StreamState:
+    """What the log comes to now. ``schema`` is that of the data columns."""
+    base, ledger = spark.createDataFrame([], schema), None
+    version = snapshots.current_version(spark, target.table)
+    if version:
+        base = spark.read.schema(base.schema).parquet(f"{snapshots.version_path(target.table, version)}/rows")
+        ledger = spark.read.parquet(f"{snapshots.version_path(target.table, version)}/outcome")
+    log = spark.read.parquet(target.log)
+    chunks = log.where("row_no IS NOT NULL")
+    if target.gated:
+        ends = log.where("commit IS NOT NULL").select("session", "commit")
+        chunks = session_gate(chunks, ends)
+    else:
+        chunks = chunks.withColumn("code", F.lit(None).cast("string"))
+    body = ["code", *target.columns]
+    # Of a row that was delivered more than once any copy will do; the first by delivery is taken.
+    once = chunks.groupBy(*PLACE).agg(F.min_by(F.struct(*body), F.struct("batch", "source")).alias("r")).select(*PLACE, "r.*")
+    held = once.where("code IS NOT NULL").select(*PLACE, "code")
+    fresh = once.where("code IS NULL").drop("code")
+    if ledger is not None:
+        fresh = join_to_one(fresh, ledger.select(*PLACE), PLACE, "left_anti")
+    # Unique and in (session, seq, row) order; struct comparison is lexicographic.
+    incoming = fresh.select(*target.columns, F.struct(*PLACE).alias("row_index"))
+    result = bulk_load(base, incoming, list(target.keys), target.mode, target.update_cols)
+    outcome = result.outcome.select("row_index.*", *[c for c in OUTCOME if c != "row_index"])
+    return StreamState(result.snapshot, outcome if ledger is None else ledger.unionByName(outcome), held)
 
-def apply_chunks(batch: DataFrame, target: StreamTarget, keys: Sequence[str], mode: str, columns: Sequence[str], update_cols: Sequence[str] = ()) -> None:
-    """Apply one micro-batch of chunk rows: ``session, seq, row_no`` plus data columns.
 
-    Chunks already acknowledged are skipped, and a chunk delivered twice inside the batch counts
-    once, so retries cannot load twice. Data and acks carry the same version number, and only the
-    pointer switch at the end makes either of them visible.
-    """
-    spark = batch.sparkSession
-    known = read_acks(spark, target).select("session", "seq").distinct()
-    fresh = join_to_one(batch, known, ["session", "seq"], "left_anti")
-    # The same row of the same chunk, delivered again in this batch.
-    fresh = stored(fresh.dropDuplicates(["session", "seq", "row_no"]), "chunks")
-    if fresh.isEmpty():
-        return
-    schema = fresh.select(*columns).schema
-    # Unique and in (session, seq, row) order; struct comparison is lexicographic.
-    incoming = fresh.select(*columns, F.struct("session", "seq", "row_no").alias("row_index"))
-    outcome = None
+def read_table(spark: SparkSession, target: StreamTarget, schema) -> DataFrame:
+    return state(spark, target, schema).table
 
-    def load(base: DataFrame) -> DataFrame:
-        nonlocal outcome
-        result = bulk_load(base, incoming, keys, mode, update_cols)
-        outcome = result.outcome
-        return result.snapshot
 
-    version = snapshots.rewrite_buckets(fresh, target.data, schema, keys, target.buckets, load)
-    chunk = outcome.select(F.col("row_index.session").alias("session"), F.col("row_index.seq").alias("seq"), "status")
-    acks = tallies(chunk, by=["session", "seq"]).withColumn("version", F.lit(version).cast("bigint"))
-    # A failed attempt at this version may have left its acks behind.
-    acks.write.mode("overwrite").parquet(f"{target.acks}/version={version}")
-    snapshots.publish(spark, target.data, version)
+def read_acks(spark: SparkSession, target: StreamTarget, schema) -> DataFrame:
+    """Tallies of every chunk that is loaded."""
+    return tallies(state(spark, target, schema).outcome, by=["session", "seq"])
 
 
-def read_table(spark: SparkSession, target: StreamTarget, schema) -> DataFrame:
-    """The loaded table as last published."""
-    return snapshots.read_buckets(spark, target.data, schema)
+def read_errors(spark: SparkSession, target: StreamTarget, schema) -> DataFrame:
+    """One row per chunk row that is not in the table: session, seq, row_no, code, field, message."""
+    now = state(spark, target, schema)
+    failed = now.outcome.where("status = 'failed'").select(*PLACE, "code", "field", "message")
+    nothing = [F.lit(None).cast("string").alias(c) for c in ("field", "message")]
+    return failed.unionByName(now.held.select(*PLACE, "code", *nothing))
 
 
-def stream_load(
-    chunks: DataFrame, target: StreamTarget, keys: Sequence[str], mode: str, columns: Sequence[str], update_cols: Sequence[str] = ()
-):
-    """Start a bounded (available-now) stream that applies chunks; returns the query."""
+def read_summary(spark: SparkSession, target: StreamTarget, schema) -> DataFrame:
+    """Tallies over all chunks of each session, its state, and the rows it holds back."""
+    now = state(spark, target, schema)
+    held = now.held.groupBy("session").agg(F.min("code").alias("state"), F.count(F.lit(1)).alias("held"))
+    loaded = tallies(now.outcome, by=["session"]).withColumn("state", F.lit("loaded")).withColumn("held", F.lit(0).cast("bigint"))
+    return loaded.unionByName(held, allowMissingColumns=True).groupBy("session").agg(
+        F.min("state").alias("state"), *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("received", "inserted", "updated", "ignored", "failed", "held")])
 
-    def apply(batch: DataFrame, _batch_id: int) -> None:
-        apply_chunks(batch, target, keys, mode, columns, update_cols)
 
-    return chunks.writeStream.foreachBatch(apply).option("checkpointLocation", target.checkpoint).trigger(availableNow=True).start()
+def compact(spark: SparkSession, target: StreamTarget, schema) -> int:
+    """Merge the loaded rows into the next version of the table, with the ledger of their outcomes.
+
+    The pointer makes both visible together; rows that a session still holds back stay in the log.
+    """
+    now = state(spark, target, schema)
+    version = (snapshots.current_version(spark, target.table) or 0) + 1
+    path = snapshots.version_path(target.table, version)
+    now.table.write.mode("overwrite").parquet(f"{path}/rows")
+    now.outcome.write.mode("overwrite").parquet(f"{path}/outcome")
+    snapshots.publish(spark, target.table, version)
+    return version
 
 
 def session_gate(chunks: DataFrame, commits: DataFrame | None = None) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordlake.operators.keystate import final_state, kv_replay
+from recordlake.operators.read import latest_row
 from recordlake.operators.skew import join_to_one
 from recordlake.session import stored
 from recordlake.sources import snapshots
@@ -16,25 +18,24 @@ STATE = T.StructType([
     T.StructField("state_value", T.StringType()), T.StructField("state_expiry", T.LongType())])
 
 
-def apply_commands(batch: DataFrame, root: str, batch_id: int, buckets: int = 16) -> None:
-    """Replay one micro-batch on the stored state; results and new state are visible together.
+def state_before(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    """The latest state of every key that earlier micro-batches left; a key without a kind is gone."""
+    if not snapshots.exists(spark, f"{root}/state"):
+        return spark.createDataFrame([], STATE)
+    rows = spark.read.schema(T.StructType([*STATE.fields, T.StructField("batch", T.LongType())])).parquet(f"{root}/state")
+    return latest_row(rows.where(F.col("batch") < batch_id), ["key"], "batch").drop("batch").where("state_kind IS NOT NULL")
 
-    State is kept in key buckets; only the buckets the batch touches are written again.
-    """
+
+def apply_commands(batch: DataFrame, root: str, batch_id: int) -> None:
+    """Replay one micro-batch on the state before it. Only the keys it ran on are written, to the batch's own
+    folder, which a retry overwrites."""
     spark = batch.sparkSession
-    if (snapshots.current_version(spark, f"{root}/state") or 0) > batch_id:
-        return  # this batch was published before a restart
     fixed = stored(batch, "commands")
-    touched = fixed.select("key").distinct()
-
-    def replay(before: DataFrame) -> DataFrame:
-        replayed = stored(kv_replay(fixed, join_to_one(before, touched, ["key"], "left_semi")), "replayed")
-        replayed.write.mode("overwrite").parquet(f"{root}/results/batch={batch_id}")
-        ran = replayed.where("code IS NULL OR code NOT IN ('malformed', 'batch_rejected')").select("key").distinct()
-        return final_state(replayed).unionByName(before.join(ran, ["key"], "left_anti"))
-
-    version = snapshots.rewrite_buckets(touched.where("key IS NOT NULL"), f"{root}/state", STATE, ["key"], buckets, replay)
-    snapshots.publish(spark, f"{root}/state", version)
+    before = join_to_one(state_before(spark, root, batch_id), fixed.select("key").distinct(), ["key"], "left_semi")
+    replayed = stored(kv_replay(fixed, before), "replayed")
+    replayed.write.mode("overwrite").parquet(f"{root}/results/batch={batch_id}")
+    ran = replayed.where("key IS NOT NULL AND (code IS NULL OR code NOT IN ('malformed', 'batch_rejected'))").select("key").distinct()
+    ran.join(final_state(replayed), "key", "left").select(*STATE.names).write.mode("overwrite").parquet(f"{root}/state/batch={batch_id}")
 
 
 def stream_commands(commands: DataFrame, root: str):

@@ -4,50 +4,59 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlake.functions.values import duration_ms_of
 from recordlake.model import RecordSpec, TimeseriesSpec
-from recordlake.operators.codec import decode
-from recordlake.session import stored
+from recordlake.operators.codec import decode_columns, split_errors
+
+
+class _Stopped(Exception):
+    """Ends a stream before the batch it is raised in is committed."""
 
 
 def stream_until(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], bool]) -> dict:
     """Hand micro-batches to ``handle`` until it returns False or the input ends.
 
-    The batch that asks to stop is counted. Returns batches, rows and truncated.
+    The batch that asks to stop is counted and committed. The next one is refused before it is
+    committed, so a later read with the same checkpoint starts with it. Returns batches, rows and truncated.
     """
     seen = {"batches": 0, "rows": 0, "truncated": False}
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         if seen["truncated"]:
-            return
+            raise _Stopped(f"the read stopped before batch {batch_id}")
         seen["batches"] += 1
         seen["rows"] += batch.count()
         if not handle(batch, batch_id):
             seen["truncated"] = True
 
     query = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    while not query.awaitTermination(0.2):
-        if seen["truncated"]:
-            query.stop()
-            break
+    try:
+        query.awaitTermination()
+    except StreamingQueryException as e:
+        if not seen["truncated"] or "_Stopped" not in str(e):
+            raise
     return seen
 
 
 def stream_decode(records: DataFrame, spec: RecordSpec, root: str):
-    """Decode a record stream into ``<root>/good`` and ``<root>/bad``; a retried batch overwrites its own files."""
+    """Decode a record stream into ``<root>/decoded``, rows with their errors; a retried batch overwrites its
+    own files. ``decoded_rows`` gives the good and the bad side."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        fixed = stored(batch)
-        good, bad = decode(fixed, spec)
-        good.write.mode("overwrite").parquet(f"{root}/good/batch={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{root}/bad/batch={batch_id}")
+        decode_columns(batch, spec).write.mode("overwrite").parquet(f"{root}/decoded/batch={batch_id}")
 
     return records.writeStream.foreachBatch(apply).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
 
 
+def decoded_rows(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """The decoded rows without errors, and one row per bad field of the others."""
+    return split_errors(spark.read.parquet(f"{root}/decoded").drop("batch"))
+
+
 def stream_downsample(samples: DataFrame, spec: TimeseriesSpec, width: str, lateness: str) -> DataFrame:
     """Streaming tumbling aggregates: count, min, max and sum per window and tag set.
 
