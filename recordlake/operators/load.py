@@ -38,7 +38,9 @@ def bulk_load(
     the stored one.
 
     Keys are summarised before anything is joined, so a key repeated many times reaches the join
-    once; rows then look their key up through a skew-safe join.
+    once. Stored keys are cut down to those the batch meets before they are brought together, and
+    stored rows meet the collapsed batch in a left join: a batch under the broadcast threshold moves no
+    stored row.
     """
     if not keys:
         raise ValueError("bulk load needs at least one key column")
@@ -49,13 +51,14 @@ def bulk_load(
     missing = [k for k in keys if k not in data or k not in base.columns]
     if missing:
         raise ValueError(f"key columns not present on both sides: {missing}")
-    known = base.select(*keys).distinct().withColumn("_stored", F.lit(True))
+    asked = incoming.where(~_has_null(keys)).select(*keys).distinct()
+    known = base.select(*keys).join(asked, keys, "left_semi").distinct().withColumn("_stored", F.lit(True))
     marked = _mark_rows(incoming, known, keys, row_index)
     outcome = _outcome(marked, keys, mode, row_index)
     if validate_only:
         return WriteResult(base, outcome)
     if mode == "UPDATE":
-        return WriteResult(_merge(base, incoming, keys, list(update_cols), row_index), outcome)
+        return WriteResult(_merge(base, known, incoming, keys, list(update_cols), row_index), outcome)
     fresh = marked.where(F.col("_fresh")).select(*data)
     if mode == "ABORT":
         conflicts = marked.where(~F.col("_fresh")).agg(F.count(F.lit(1)).alias("n")).scalar()
@@ -101,8 +104,8 @@ def _outcome(marked: DataFrame, keys: list[str], mode: str, row_index: str) -> D
     )
 
 
-def _merge(base: DataFrame, incoming: DataFrame, keys: list[str], listed: list[str], row_index: str) -> DataFrame:
-    """Full-outer merge of the stored rows and one collapsed row per incoming key."""
+def _merge(base: DataFrame, known: DataFrame, incoming: DataFrame, keys: list[str], listed: list[str], row_index: str) -> DataFrame:
+    """Stored rows with the collapsed incoming row of their key, and the collapsed rows of new keys."""
     given = [c for c in incoming.columns if c not in keys and c != row_index]
     written = listed or given
     unknown = [c for c in written if c not in given]
@@ -121,19 +124,11 @@ def _merge(base: DataFrame, incoming: DataFrame, keys: list[str], listed: list[s
         batch = incoming.where(~_has_null(keys)).select(*keys).distinct()
     else:
         batch = incoming.where(~_has_null(keys)).groupBy(*keys).agg(*[collapsed(c) for c in given])
-    stored = base.withColumn("_stored", F.lit(True))
-    joined = stored.join(batch, keys, "full_outer")
-
-    def pick(field) -> Column:
-        c = field.name
-        if c in keys or c not in given:
-            return F.col(c)
-        new = F.col(f"_new_{c}").cast(field.dataType)
-        if c in written:
-            return F.coalesce(new, F.col(c)).alias(c)
-        return F.when(F.col("_stored").isNull(), new).otherwise(F.col(c)).alias(c)
-
-    return joined.select(*[pick(f) for f in base.schema.fields])
+    changed = base.join(batch, keys, "left").select(
+        *[F.coalesce(F.col(f"_new_{f.name}").cast(f.dataType), F.col(f.name)).alias(f.name) if f.name in written else F.col(f.name)
+          for f in base.schema.fields])
+    fresh = batch.join(known, keys, "left_anti")
+    return changed.unionByName(_conform(fresh.withColumnsRenamed({f"_new_{c}": c for c in given}), base))
 
 
 def _conform(rows: DataFrame, base: DataFrame) -> DataFrame:

@@ -107,3 +107,13 @@ def test_diff_round_trip(spark):
     applied = {r["id"]: r for r in change.apply_changes(old, diff, ["id"]).snapshot.collect()}
     assert applied[2]["n"] == 5 and applied[3]["s"] == "c" and applied[3]["m"] == {"z": 1}
     assert change.snapshot_diff(spark.createDataFrame(list(applied.values()), schema), new, ["id"]).count() == 0
+
+
+def test_a_small_batch_moves_no_stored_row(spark):
+    """Stored rows are only filtered and joined where they are read."""
+    base = spark.range(5000).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    batch = spark.sql("SELECT * FROM VALUES (0L, 1L, 'a'), (1L, 9999L, 'b') AS t(row_index, k, v)")
+    result = load.bulk_load(base, batch, ["k"], "UPDATE")
+    plan = result.snapshot._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert result.snapshot.count() == 5001 and result.snapshot.where("v <> 'x'").count() == 2
