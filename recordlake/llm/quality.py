@@ -40,7 +40,7 @@ def rules(text: str = "text") -> list[Rule]:
     return [
         Rule("mean_word_length", F.col("word_chars").between(2 * n, 15 * n)),
         Rule("symbols", 5 * F.col("n_symbols") <= n),
-        Rule("duplicate_lines", 10 * F.col("n_dup_lines") <= 3 * F.size(lines)),
+        Rule("duplicate_lines", (F.col("n_dup_lines") <= 1) | (10 * F.col("n_dup_lines") <= 3 * F.size(lines))),
         Rule("words_with_letters", 10 * has_letter >= 7 * n),
         Rule("upper_case", 2 * upper <= F.col("word_chars")),
         Rule("bullets", 10 * F.size(F.filter(lines, lambda x: x.rlike(r"^\s*[-*•]"))) <= 9 * F.size(lines)),

@@ -91,7 +91,7 @@ m AS (SELECT w.doc_id, t, words, lines, len(words)::BIGINT AS n_words, length(re
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND word_chars BETWEEN 2 * n_words AND 15 * n_words AND 5 * n_symbols <= n_words
-  AND 10 * n_dup_lines <= 3 * len(lines)
+  AND (n_dup_lines <= 1 OR 10 * n_dup_lines <= 3 * len(lines))
   AND 10 * len(list_filter(words, lambda x: regexp_matches(x, '\p{L}'))) >= 7 * n_words
   AND 2 * length(regexp_replace(t, '[^\p{Lu}]+', '', 'g')) <= word_chars
   AND 10 * len(list_filter(lines, lambda x: regexp_matches(x, '^\s*[-*•]'))) <= 9 * len(lines)
