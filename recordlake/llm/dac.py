@@ -110,7 +110,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "d
     """Encode every text, append ``end_id``, and write the segments in ascending key order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number = TaskContext.get().partitionId(), 0
+        part, number, ahead = TaskContext.get().partitionId(), 0, 0
         for block in blocks(batches, limit=SEGMENT_BYTES):
             ids, at = token_ids(plain(block.column("text")), tokenizer)
             # One end id after each document.
@@ -119,24 +119,21 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "d
             keys = block.column("key")
             data = pack_segment(keys.fill_null(0).to_numpy(), keys.is_valid().to_numpy(zero_copy_only=False), at, full)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([len(full)], pa.int64()), pa.array([data], pa.binary())],
-                ["part", "seg", "n_ids", "data"])
-            number += 1
+                [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([ahead], pa.int64()), pa.array([len(full)], pa.int64()), pa.array([data], pa.binary())],
+                ["part", "seg", "ahead", "n_ids", "data"])
+            number, ahead = number + 1, ahead + len(full)
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     (rows.repartitionByRange("key").sortWithinPartitions("key", "text")
-        .mapInArrow(run, "part int, seg int, n_ids long, data binary").write.parquet(path))
+        .mapInArrow(run, "part int, seg int, ahead long, n_ids long, data binary").write.parquet(path))
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """One row per document from the written segments: key, ``start``, ``n_tokens``, ``ids_crc32``."""
     segments = spark.read.parquet(path)
     counts = segments.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    # One row per written partition: partitions are bounded by the number of tasks.
-    before = counts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("part").orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
-    starts = segments.select("part", "seg", "n_ids").withColumn("ahead", F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).join(
-        before, "part").select("part", "seg", (F.col("base") + F.col("ahead")).alias("start"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,6 +145,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     [pa.array(keys, pa.int64(), mask=~known), pa.array(start + at[:-1]), pa.array(np.diff(at)), pa.array(crcs, pa.int64())],
                     ["key", "start", "n_tokens", "ids_crc32"])
 
-    # Only the small table of starts moves; segments stay where they are read where it is small enough.
-    return segments.select("part", "seg", "data").join(starts, ["part", "seg"]).select("start", "data").mapInArrow(
-        run, "key long, start long, n_tokens long, ids_crc32 long")
+    # A segment knows how many ids of its partition stand before it; the partitions' own starts are
+    # one row per task of the write, so that the broadcast is bounded and the segments do not move.
+    rows = segments.join(F.broadcast(base), "part").select((F.col("base") + F.col("ahead")).alias("start"), "data")
+    return rows.mapInArrow(run, "key long, start long, n_tokens long, ids_crc32 long")
