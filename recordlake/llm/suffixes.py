@@ -15,7 +15,7 @@ sort moves as little text as it can:
    the prefix it shares with the last one put out, so a comparison starts where the last one ended.
    Equal suffixes settle a whole run. Where different suffixes have a marker in common, the stretches
    of that small group are sorted, and equal neighbours settle the rest.
-4. A marker in more than ``hot`` runs is dealt out by its suffixes' content, and its open stretches go
+4. A marker with more than ``hot`` starts is dealt out by its suffixes' content, and its open stretches go
    through a second exchange and merge, dealt out by their own content.
 
 Only hashes, front-coded suffixes and intervals are moved; reducers hold one piece per task and one
@@ -35,6 +35,8 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +45,10 @@ from recordlake.session import stored
 
 BLOCK = 8 << 20
 CHUNK = 1 << 18
-HOT = 4096
+#: Starts in a run at most; a longer run, of text that repeats itself, is cut into several.
+RUN_STARTS = 1024
+#: Starts with one marker that a reducer may hold at once.
+HOT = 1 << 17
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -105,18 +110,33 @@ def runs_of(body: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray,
         return none
     doc = np.searchsorted(at, starts, side="right") - 1
     last = np.minimum(np.append(starts[1:], n) - 1, at[doc + 1] - length)
-    marker = _grams(wide, place[starts].astype(np.int64), words)
+    # Least hashes crowd at the low end; hashed once more they spread evenly over the buckets.
+    marker = mix(_grams(wide, place[starts].astype(np.int64), words))
     joins = np.zeros(len(starts), bool)
     joins[1:] = (marker[1:] == marker[:-1]) & (doc[1:] == doc[:-1]) & (starts[1:] == last[:-1] + 1)
     head = np.flatnonzero(~joins)
     tail = np.append(head[1:], len(starts)) - 1
     own = tail > head
-    lo = starts[head]
-    return doc[head], lo - at[doc[head]], last[tail] - lo + 1, marker[head], own
+    n = last[tail] - starts[head] + 1
+    parts = -(-n // RUN_STARTS)
+    of = np.repeat(np.arange(len(head)), parts)
+    skip = (np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)) * RUN_STARTS
+    doc = doc[head][of]
+    return doc, starts[head][of] - at[doc] + skip, np.minimum(RUN_STARTS, n[of] - skip), marker[head][of], own[of]
 
 
-RUN = np.dtype([("marker", "<u8"), ("lo", "<u4"), ("n", "<u4"), ("flags", "<u4")])
-_MARKS = "bucket int, ids binary, marks binary, runs binary, owners binary"
+RUN = np.dtype([("marker", "<u8"), ("lo", "<u4"), ("n", "<u2"), ("flags", "<u2")])
+_MARKS = "bucket int, ids binary, marks binary, each binary, markers binary, lo binary, n binary"
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """The bytes of small numbers, lowest bytes first and highest last: long equal stretches compress."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
+
+
+def _from_planes(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 def _mark(length: int, buckets: int):
@@ -125,19 +145,19 @@ def _mark(length: int, buckets: int):
             block = block.filter(block.column("doc_id").is_valid())
             body, at = raw(plain(block.column("text")))
             doc, lo, n, marker, own = runs_of(body, at, length)
-            order = np.argsort(marker)
-            made = np.empty(len(order), RUN)
-            made["marker"], made["lo"], made["n"], made["flags"] = marker[order], lo[order], n[order], own[order]
-            doc = doc[order]
-            bucket = (((made["marker"] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+            bucket = (((marker >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")  # within a bucket by document and place
+            doc, lo, marker, bucket = doc[order], lo[order].astype(np.uint32), marker[order], bucket[order]
+            n = (n[order] | own[order].astype(np.int64) << 15).astype(np.uint16)
             cuts = np.searchsorted(bucket, np.arange(buckets + 1))
             ids, marks = block.column("doc_id").to_numpy(), block.column("mark").to_numpy()
             rows = []
             for b in range(buckets):
                 if cuts[b] < cuts[b + 1]:
-                    who, ref = np.unique(doc[cuts[b]:cuts[b + 1]], return_inverse=True)
-                    rows.append((b, ids[who].tobytes(), marks[who].tobytes(), made[cuts[b]:cuts[b + 1]].tobytes(), ref.astype(np.uint32).tobytes()))
-            columns = list(zip(*rows)) if rows else [[]] * 5
+                    part = slice(cuts[b], cuts[b + 1])
+                    who, each = np.unique(doc[part], return_counts=True)
+                    rows.append((b, _planes(ids[who]), marks[who].tobytes(), _planes(each.astype(np.uint32)), marker[part].tobytes(), _planes(lo[part]), _planes(n[part])))
+            columns = list(zip(*rows)) if rows else [[]] * 7
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32())] + [pa.array(c, pa.binary()) for c in columns[1:]], [c.split()[0] for c in _MARKS.split(", ")])
 
     return run
@@ -150,23 +170,23 @@ def _repeated(hot: int):
         blobs = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns[1:]))]
         if not blobs:
             return
-        markers = np.concatenate([np.frombuffer(b[2], RUN)["marker"] for b in blobs])
-        own = np.concatenate([np.frombuffer(b[2], RUN)["flags"] for b in blobs])
-        _, where, counts = np.unique(markers, return_inverse=True, return_counts=True)
-        many = counts[where]
-        keep, position = (many > 1) | (own > 0), 0
-        for ids, marks, body, owners in blobs:
-            runs, ref = np.frombuffer(body, RUN).copy(), np.frombuffer(owners, np.uint32)
-            part = slice(position, position + len(runs))
-            position += len(runs)
-            runs["flags"] |= np.where(many[part] > hot, 2, 0).astype(np.uint32)
+        sizes = np.concatenate([_from_planes(b[5], np.uint16) for b in blobs])
+        own, sizes = sizes >> 15, sizes & np.uint16((1 << 15) - 1)
+        _, where, counts = np.unique(np.concatenate([np.frombuffer(b[3], np.uint64) for b in blobs]), return_inverse=True, return_counts=True)
+        flags = own | np.where(np.bincount(where, weights=sizes)[where] > hot, 2, 0).astype(np.uint16)
+        keep, position = (counts[where] > 1) | (own > 0), 0
+        for ids, marks, each, markers, lo, n in blobs:
+            part = slice(position, position + len(n) // 2)
+            position = part.stop
             ok = keep[part]
-            runs, ref = runs[ok], ref[ok]
-            order = np.argsort(ref, kind="stable")
-            runs, ref = runs[order], ref[order]
+            runs = np.empty(int(ok.sum()), RUN)
+            runs["marker"], runs["lo"] = np.frombuffer(markers, np.uint64)[ok], _from_planes(lo, np.uint32)[ok]
+            runs["n"], runs["flags"] = sizes[part][ok], flags[part][ok]
+            each = _from_planes(each, np.uint32)
+            ref = np.repeat(np.arange(len(each)), each)[ok]
             who, first = np.unique(ref, return_index=True)
             stop = np.append(first[1:], len(ref))
-            ids, marks = np.frombuffer(ids, np.int64), np.frombuffer(marks, np.int64)
+            ids, marks = _from_planes(ids, np.int64), np.frombuffer(marks, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[who]), pa.array(marks[who]), pa.array([runs[a:b].tobytes() for a, b in zip(first, stop)], pa.binary())],
                 ["doc_id", "mark", "runs"])
@@ -197,15 +217,15 @@ def front_code(items: list[tuple[bytes, tuple]]) -> tuple[bytes, bytes, bytes, b
         prefix.append(k)
         rest.append(text[k:])
         before = text
-    return (np.array(prefix, np.uint32).tobytes(), np.array([len(r) for r in rest], np.uint32).tobytes(), b"".join(rest),
-            np.array([p for _, p in items], PLACE).tobytes())
+    return (_planes(np.array(prefix, np.uint32)), _planes(np.array([len(r) for r in rest], np.uint32)),
+            zstandard.ZstdCompressor(level=3).compress(b"".join(rest)), np.array([p for _, p in items], PLACE).tobytes())
 
 
 def unfold(blob: tuple[bytes, bytes, bytes, bytes]) -> Iterator[tuple[int, bytes, tuple]]:
     """(prefix shared with the one before, string, place) of a front-coded piece."""
     prefix, sizes, body, places = blob
-    at, before = 0, b""
-    for k, size, place in zip(np.frombuffer(prefix, np.uint32).tolist(), np.frombuffer(sizes, np.uint32).tolist(), np.frombuffer(places, PLACE).tolist()):
+    at, before, body = 0, b"", _unpack(body)
+    for k, size, place in zip(_from_planes(prefix, np.uint32).tolist(), _from_planes(sizes, np.uint32).tolist(), np.frombuffer(places, PLACE).tolist()):
         before = before[:k] + body[at:at + size]
         at += size
         yield k, before, place
@@ -268,13 +288,13 @@ class LoserTree:
 _RUNS = "kind string, bucket int, doc_id long, mark long, lo long, hi long, prefix binary, sizes binary, body binary, places binary"
 
 
-def _rows(intervals: list[tuple[int, int, int, int]], pieces: list[tuple]) -> pa.RecordBatch:
+def _rows(intervals: list[tuple[int, int, int, int]], pieces: list[tuple], buckets: int = 1) -> pa.RecordBatch:
     """Intervals that go, (doc_id, mark, lo, hi), and front-coded pieces, (bucket, blob), as one batch."""
     n, m = len(intervals), len(pieces)
     d, k, lo, hi = zip(*intervals) if n else ((), (), (), ())
     blobs = list(zip(*(blob for _, blob in pieces))) if m else [()] * 4
     kinds = pa.array(["gone"] * n + ["piece"] * m)
-    columns = [kinds, pa.array([None] * n + [b for b, _ in pieces], pa.int32())]
+    columns = [kinds, pa.array([i % buckets for i in range(n)] + [b for b, _ in pieces], pa.int32())]
     columns += [pa.array([*c, *[None] * m], pa.int64()) for c in (d, k, lo, hi)]
     columns += [pa.array([*[None] * n, *c], pa.binary()) for c in blobs]
     return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _RUNS.split(", ")])
@@ -305,10 +325,10 @@ def _cut_out(length: int, buckets: int):
     """Per task: the suffixes of the runs, sorted, equal ones settled, front-coded by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, limit=2 * BLOCK):
+        for block in blocks(batches, "packed", BLOCK // 2):
             items = []
-            for doc_id, mark, text, lists in zip(*(block.column(c).to_pylist() for c in ("doc_id", "mark", "text", "runs"))):
-                body = (text or "").encode()
+            for doc_id, mark, packed, lists in zip(*(block.column(c).to_pylist() for c in ("doc_id", "mark", "packed", "runs"))):
+                body = _unpack(packed)
                 for marker, lo, n, flags in (r for part in lists for r in np.frombuffer(part, RUN).tolist()):
                     items.append((marker.to_bytes(8, "big") + body[lo:lo + n - 1 + length], (doc_id, mark, lo, n, flags)))
             items.sort()
@@ -317,7 +337,7 @@ def _cut_out(length: int, buckets: int):
                 first, later = _settle([p for _, p in group], length)
                 gone += later
                 kept.append((text, first))
-            yield _rows(_joined(gone), _pieces(kept, buckets, hot=lambda text, p: p[4] & 2))
+            yield _rows(_joined(gone), _pieces(kept, buckets, hot=lambda text, p: p[4] & 2), buckets)
 
     return run
 
@@ -335,7 +355,14 @@ def _merge(length: int, buckets: int, final: bool):
     """All pieces of a bucket through a loser tree. In the final merge strings are single stretches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("prefix", "sizes", "body", "places")))]
+        blobs = []
+        for batch in batches:
+            piece = batch.column("prefix").is_valid()
+            settled = batch.filter(pc.invert(piece))
+            if settled.num_rows:  # intervals of the step before pass through
+                yield settled
+            batch = batch.filter(piece)
+            blobs += zip(*(batch.column(c).to_pylist() for c in ("prefix", "sizes", "body", "places")))
         if not blobs:
             return
         gone: list[tuple[int, int, int, int]] = []
@@ -347,13 +374,13 @@ def _merge(length: int, buckets: int, final: bool):
             first, later = _settle(same, length)
             gone.extend(later)
             if first[4] & 2:
-                open_.extend(_stretches(text, first, length))
+                open_.extend(_stretches(text, first, length, gone))
             elif not final:
                 group.append((text, first))
 
         def close() -> None:
             if len(group) > 1 or (group and group[0][1][4] & 1):
-                every = sorted(x for suffix, p in group for x in _stretches(suffix, p, length))
+                every = sorted(x for suffix, p in group for x in _stretches(suffix, p, length, gone))
                 for _, equal in groupby(every, key=lambda x: x[0]):
                     gone.extend(_settle([p for _, p in equal], length)[1])
             group.clear()
@@ -381,10 +408,14 @@ def _merge(length: int, buckets: int, final: bool):
     return run
 
 
-def _stretches(suffix: bytes, place: tuple, length: int) -> list[tuple[bytes, tuple]]:
-    """The single stretches of a run's suffix, without its marker."""
+def _stretches(suffix: bytes, place: tuple, length: int, gone: list) -> list[tuple[bytes, tuple]]:
+    """The single stretches of a run's suffix, without its marker; repeats inside the run go at once."""
     doc_id, mark, lo, n, _ = place
-    return [(suffix[8 + i:8 + i + length], (doc_id, mark, lo + i, 1, 0)) for i in range(n)]
+    first: dict[bytes, int] = {}
+    for i in range(n):
+        if first.setdefault(suffix[8 + i:8 + i + length], i) != i:
+            gone.append((doc_id, mark, lo + i, lo + i + length))
+    return [(text, (doc_id, mark, lo + i, 1, 0)) for text, i in first.items()]
 
 
 def _earliest(items: list[tuple[bytes, tuple]], gone: list, length: int) -> list[tuple[bytes, tuple]]:
@@ -399,11 +430,23 @@ def _earliest(items: list[tuple[bytes, tuple]], gone: list, length: int) -> list
 # ---- the operator -----------------------------------------------------------------------------
 
 
-def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as compressed bytes, which is how they are moved."""
+    pack = zstandard.ZstdCompressor(level=3)
     for block in blocks(batches):
+        packed = pa.array([pack.compress((t or "").encode()) for t in block.column("text").to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("mark"), packed], ["doc_id", "mark", "packed"])
+
+
+def _unpack(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
+
+
+def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block in blocks(batches, "packed", BLOCK // 2):
         size, removed, spans, digest, kept = [], [], [], [], []
-        for text, gone in zip(block.column("text").to_pylist(), block.column("gone").to_pylist()):
-            body = (text or "").encode()
+        for packed, gone in zip(block.column("packed").to_pylist(), block.column("gone").to_pylist()):
+            body = _unpack(packed)
             merged: list[list[int]] = []
             for lo, hi in sorted((g["lo"], g["hi"]) for g in gone or ()):
                 if merged and lo <= merged[-1][1]:
@@ -431,23 +474,23 @@ def drop_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text:
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("mark"), F.col(text).alias("text"))
-    repeated = (
-        rows.mapInArrow(_mark(length, buckets), _MARKS).repartitionById(buckets, F.col("bucket"))
-        .mapInArrow(_repeated(hot), "doc_id long, mark long, runs binary")
-        .groupBy("doc_id", "mark").agg(F.collect_list("runs").alias("runs"))
-    )
-    pieces = stored(rows.join(repeated, ["doc_id", "mark"]).select("doc_id", "mark", "text", "runs").mapInArrow(_cut_out(length, buckets), _RUNS), "suffixes")
+    packed = rows.mapInArrow(_pack, "doc_id long, mark long, packed binary")
+
+    def sorted_pieces() -> DataFrame:
+        repeated = (
+            rows.mapInArrow(_mark(length, buckets), _MARKS).repartitionById(buckets, F.col("bucket"))
+            .mapInArrow(_repeated(hot), "doc_id long, mark long, runs binary")
+            .groupBy("doc_id", "mark").agg(F.collect_list("runs").alias("runs"))
+        )
+        found = packed.join(repeated, ["doc_id", "mark"]).select("doc_id", "mark", "packed", "runs")
+        return found.mapInArrow(_cut_out(length, buckets), _RUNS)
 
     def merged(found: DataFrame, final: bool) -> DataFrame:
-        return stored(found.where("kind = 'piece'").repartitionById(buckets, F.col("bucket")).mapInArrow(_merge(length, buckets, final), _RUNS), "merged")
-
-    first = merged(pieces, False)
-    steps = [pieces, first]
-    if not first.where("kind = 'piece'").isEmpty():
-        steps.append(merged(first, True))
-    gone = steps[0]
-    for step in steps[1:]:
-        gone = gone.unionByName(step)
+        return stored(found.repartitionById(buckets, F.col("bucket")).mapInArrow(_merge(length, buckets, final), _RUNS), "merged")
+
+    gone = merged(sorted_pieces(), False)
+    if not gone.where("kind = 'piece'").isEmpty():
+        gone = gone.where("kind = 'gone'").unionByName(merged(gone.where("kind = 'piece'"), True))
     gone = gone.where("kind = 'gone'").groupBy("doc_id", "mark").agg(F.collect_list(F.struct("lo", "hi")).alias("gone"))
-    return rows.join(gone, ["doc_id", "mark"], "left").select("doc_id", "text", "gone").mapInArrow(
+    return packed.join(gone, ["doc_id", "mark"], "left").select("doc_id", "packed", "gone").mapInArrow(
         _remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary").withColumnRenamed("doc_id", key)
