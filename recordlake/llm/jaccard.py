@@ -41,6 +41,8 @@ from recordlake.session import stored
 
 SPARE = 3
 SALTS = 4
+#: Bytes of text whose n-grams a task holds at once.
+BLOCK = 4 << 20
 GROUP_BLOCK = 4096
 #: N-grams per cut of the count vectors, and the longest vector.
 PER_CUT = 3
@@ -132,7 +134,7 @@ def _spread(width: int, threshold: Fraction, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
                             ("cuts", pa.binary()), ("docs", pa.binary()), ("counts", pa.binary()), ("sigs", pa.binary())])
-        for block in (part for big in blocks(batches) for part in _rows(big, 60_000)):
+        for block in (part for big in blocks(batches, limit=BLOCK) for part in _rows(big, 60_000)):
             ids = block.column("doc_id")
             h, owner, sizes = sets_of(plain(block.column("text")), width)
             keys = digests(h, sizes)
@@ -275,7 +277,7 @@ def _open_pairs(rows: list[tuple], percent: int, cross: bool) -> list[tuple[int,
 
 def _segments(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in (part for big in blocks(batches) for part in _rows(big, 60_000)):
+        for block in (part for big in blocks(batches, limit=BLOCK) for part in _rows(big, 60_000)):
             h, owner, sizes = sets_of(plain(block.column("text")), width)
             mine = np.array([a == b for a, b in zip(digests(h, sizes), block.column("digest").to_pylist())], dtype=bool)
             ids = block.column("doc_id").to_numpy()

@@ -26,7 +26,7 @@ LETTERS[[*range(65, 91), *range(97, 123)]] = True
 MARKS = np.zeros(256, bool)
 MARKS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 #: Bound of the units that a worker remembers between blocks.
-REMEMBERED = 800_000
+REMEMBERED = 150_000
 _memory: dict[str, dict[str, list[int]]] = {}
 
 
