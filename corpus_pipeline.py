@@ -16,6 +16,8 @@ from recordlake.session import work_path
 
 #: A text whose best language has less than this probability is rejected, as is one without a letter.
 LEAST_SCORE = 0.3
+#: Near copies share this much of their runs of so many words.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 
@@ -35,7 +37,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of each group of linked documents stays; rows that share an id stay or go together."""
-    gone = jaccard.near_components(docs).where("component_id <> doc_id").select("doc_id")
+    gone = jaccard.near_components(docs, width=NEAR_WORDS, percent=NEAR_PERCENT).where("component_id <> doc_id").select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -42,6 +42,14 @@ def test_stages_on_given_tables(spark):
         start += len(ids)
 
 
+def test_near_copies_share_four_fifths_of_their_five_word_runs(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    want = {i for i, (_, comp) in linked_by_hand(rows, width=5, percent=80).items() if i == comp}
+    assert len(want) < sum(i == comp for i, (_, comp) in linked_by_hand(rows).items())
+    assert {r["doc_id"] for r in pipeline.one_of_each(spark, docs, FOLDER).collect()} == want
+
+
 def test_stages_on_odd_and_no_documents(spark):
     for rows in (corpus(n=40), []):
         docs = frame(spark, rows)
