@@ -16,7 +16,8 @@ All n-grams are ordered by a 64-bit hash, and that global order is cut into frag
 If all edges of a forest are links, the group is settled, since further links would join what is
 joined. Groups with an edge that is none are looked at once more, with all their open pairs that lie
 between components. So no link between components is lost, and a large group of near copies does not
-become all its pairs. Equal sets are one class and are compared once. A group of more than
+become all its pairs. Equal sets are one class and are compared once; signatures name the set, by 64
+bits of its digest, and not a document. A group of more than
 ``GROUP_BLOCK`` documents is compared in blocks, each pair of blocks in a task of its own.
 
 Nulls and edges: a text without words, or null, has an empty set and no links. Rows with a null id
@@ -126,25 +127,28 @@ def count_vectors(h: np.ndarray, owner: np.ndarray, sizes: np.ndarray) -> list[b
     return [counts[a:b].tobytes() for a, b in zip(first, first[1:])]
 
 
-_SPREAD = "bucket int, doc_id long, n long, digest binary, cuts binary, docs binary, counts binary, sigs binary"
-_FOUND = "a long, b long, n long, digest binary, cuts binary"
+_SPREAD = "bucket int, doc_id long, n long, digest binary, cuts binary, sets binary, counts binary, sigs binary"
+_FOUND = "a long, mark long, n long, digest binary, cuts binary"
+
+
+def set_marks(keys: list[bytes]) -> np.ndarray:
+    """The first 64 bits of each digest."""
+    return np.frombuffer(b"".join(keys), np.int64)[::2]
 
 
 def _spread(width: int, threshold: Fraction, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
-                            ("cuts", pa.binary()), ("docs", pa.binary()), ("counts", pa.binary()), ("sigs", pa.binary())])
+                            ("cuts", pa.binary()), ("sets", pa.binary()), ("counts", pa.binary()), ("sigs", pa.binary())])
         for block in (part for big in blocks(batches, limit=BLOCK) for part in _rows(big, 60_000)):
             ids = block.column("doc_id")
             h, owner, sizes = sets_of(plain(block.column("text")), width)
             keys = digests(h, sizes)
             known = ids.is_valid().to_numpy(zero_copy_only=False)
-            number = ids.fill_null(0).to_numpy()
+            marks = set_marks(keys)
             first: dict[bytes, int] = {}
             for i in np.flatnonzero(known & (sizes > 0)):
-                k = keys[i]
-                if k not in first or number[i] < number[first[k]]:
-                    first[k] = i
+                first.setdefault(keys[i], i)
             # Within a block, equal sets give their signatures once.
             chosen = np.zeros(len(sizes), bool)
             chosen[list(first.values())] = True
@@ -163,7 +167,7 @@ def _spread(width: int, threshold: Fraction, buckets: int):
                 part = slice(cuts[i], cuts[i + 1])
                 if cuts[i] < cuts[i + 1]:
                     who, counts = np.unique(doc[part], return_counts=True)
-                    rows.append((i, number[who].tobytes(), counts.astype(np.uint32).tobytes(), sig[part].tobytes()))
+                    rows.append((i, marks[who].tobytes(), counts.astype(np.uint32).tobytes(), sig[part].tobytes()))
             if rows:
                 at, who, counts, sigs = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
@@ -180,36 +184,36 @@ def _rows(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
 
 
 def _group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents pass through (b is null); equal signatures become members (group, document)."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("cuts", pa.binary())])
-    sigs, docs = [], []
+    """Documents pass through (``mark`` is their set's); equal signatures become members (a: group, mark: set)."""
+    schema = pa.schema([("a", pa.int64()), ("mark", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("cuts", pa.binary())])
+    sigs, sets = [], []
     for batch in batches:
         meta = batch.filter(batch.column("sigs").is_null())
         if meta.num_rows:
             yield pa.RecordBatch.from_arrays(
-                [meta.column("doc_id"), pa.nulls(meta.num_rows, pa.int64()), meta.column("n"), meta.column("digest"), meta.column("cuts")], schema=schema)
-        for d, c, s in zip(*(batch.filter(batch.column("sigs").is_valid()).column(n).to_pylist() for n in ("docs", "counts", "sigs"))):
-            docs.append(np.repeat(np.frombuffer(d, np.int64), np.frombuffer(c, np.uint32)))
+                [meta.column("doc_id"), pa.array(set_marks(meta.column("digest").to_pylist())), meta.column("n"), meta.column("digest"), meta.column("cuts")], schema=schema)
+        for d, c, s in zip(*(batch.filter(batch.column("sigs").is_valid()).column(n).to_pylist() for n in ("sets", "counts", "sigs"))):
+            sets.append(np.repeat(np.frombuffer(d, np.int64), np.frombuffer(c, np.uint32)))
             sigs.append(np.frombuffer(s, np.uint64))
     if not sigs:
         return
-    sig, doc = np.concatenate(sigs), np.concatenate(docs)
-    sigs.clear(), docs.clear()
-    order = np.lexsort((doc, sig))
-    sig, doc = sig[order], doc[order]
+    sig, mark = np.concatenate(sigs), np.concatenate(sets)
+    sigs.clear(), sets.clear()
+    order = np.lexsort((mark, sig))
+    sig, mark = sig[order], mark[order]
     fresh = np.ones(len(sig), bool)
-    fresh[1:] = (sig[1:] != sig[:-1]) | (doc[1:] != doc[:-1])
-    sig, doc = sig[fresh], doc[fresh]
+    fresh[1:] = (sig[1:] != sig[:-1]) | (mark[1:] != mark[:-1])
+    sig, mark = sig[fresh], mark[fresh]
     starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
     counts = np.diff(np.append(starts, len(sig)))
     # Groups with the same members are one group: its name is a hash of the members.
-    name = mix(np.add.reduceat(mix(doc.astype(np.uint64) + ODD), starts) + counts.astype(np.uint64)).view(np.int64)
+    name = mix(np.add.reduceat(mix(mark.astype(np.uint64) + ODD), starts) + counts.astype(np.uint64)).view(np.int64)
     big = np.flatnonzero(counts > 1)
     _, keep = np.unique(name[big], return_index=True)
     wanted = np.zeros(len(starts), bool)
     wanted[big[keep]] = True
     rows = np.repeat(wanted, counts)
-    a, b = np.repeat(name, counts)[rows], doc[rows]
+    a, b = np.repeat(name, counts)[rows], mark[rows]
     for i in range(0, len(a), 50_000):
         n = len(a[i:i + 50_000])
         yield pa.RecordBatch.from_arrays(
@@ -337,13 +341,13 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     found = stored(
         rows.mapInArrow(_spread(width, threshold, buckets), _SPREAD).repartitionById(buckets, F.col("bucket"))
         .mapInArrow(_group, _FOUND), "grams")
-    every = found.where("b is null").select(F.col("a").alias("doc_id"), "n", "digest", "cuts")
-    one = every.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("digest", "n", "cuts")).alias("s")).select("doc_id", "s.*")
+    every = found.where("digest is not null").select(F.col("a").alias("doc_id"), "n", "digest", "cuts", "mark")
+    one = every.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("digest", "n", "cuts", "mark")).alias("s")).select("doc_id", "s.*")
     classes = one.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     known = stored(one.join(classes, "digest", "left").withColumn("rep", F.coalesce("rep", "doc_id")), "known")
     reps = known.where("doc_id = rep")
-    grouped = found.where("b is not null").select(F.col("a").alias("group"), F.col("b").alias("doc_id")).join(
-        known.select("doc_id", "rep"), "doc_id").select("group", F.col("rep").alias("doc_id")).distinct()
+    grouped = found.where("digest is null").select(F.col("a").alias("group"), "mark").join(
+        reps.where("n > 0").select("doc_id", "mark"), "mark").select("group", "doc_id").distinct()
     sizes = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     members = stored(grouped.join(sizes, "group"), "members")
 

@@ -492,5 +492,15 @@ def test_jaccard(spark, docs, rows, monkeypatch, block):
     assert len({c for _, c in want.values()}) < len(want) - 60
 
 
+def test_jaccard_of_an_id_with_two_texts(spark):
+    base = [f"w{i}" for i in range(60)]
+    shared, near = " ".join(base), " ".join([*base[:-1], "other"])
+    key = lambda t: jaccard.digests(*jaccard.sets_of(pa.array([t], pa.large_string()), 3)[::2])[0]
+    own = next(t for t in (f"its own text number {i}" for i in range(1000)) if key(t) < key(shared))
+    frame = spark.createDataFrame([(1, shared), (5, shared), (1, own), (9, near)], "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_components(frame).collect()}
+    assert got == {1: 1, 5: 5, 9: 5}
+
+
 def test_jaccard_empty(none):
     assert jaccard.near_components(none).count() == 0
