@@ -190,8 +190,8 @@ def update_partial(
 
     ``present`` names an array column listing the properties each patch row gives (so a listed null
     clears); without it a non-null value counts as given. Patches of one id are applied in ``order``;
-    without an order column a repeated id fails the write. An unknown id changes nothing and reports
-    ``updated`` false.
+    without an order column a repeated id fails the write, and so does a null order. An unknown id
+    changes nothing and reports ``updated`` false.
     """
     given = [c for c in patches.columns if c not in (rid, present, order)]
     if order is None:
@@ -200,8 +200,8 @@ def update_partial(
         def listed(c: str) -> Column:
             return F.array_contains(present, c) if present else F.col(c).isNotNull()
 
-        # The aggregate skips rows whose order is null: the last row that gives the property.
-        last = [F.max_by(F.struct(F.col(c)), F.when(listed(c), F.col(order)))[c].alias(c) for c in given]
+        # The aggregate skips rows without the property: the last row that gives it.
+        last = [F.max_by(F.struct(F.col(c)), F.when(listed(c), _place(order)))[c].alias(c) for c in given]
         both = [F.array_distinct(F.flatten(F.collect_set(present))).alias(present)] if present else []
         single = patches.groupBy(rid).agg(*last, *both)
     new = single.select(
@@ -222,18 +222,24 @@ def update_partial(
 
     snapshot = joined.select(*[pick(c) for c in base.columns])
     known = base.select(rid).withColumn("_hit", F.lit(True))
-    outcome = patches.select(rid).join(known, [rid], "left").select(
-        rid, F.coalesce("_hit", F.lit(False)).alias("updated")
+    placed = F.lit(True) if order is None else _place(order).isNotNull()
+    outcome = patches.select(rid, placed.alias("_placed")).join(known, [rid], "left").select(
+        rid, (F.col("_placed") & F.coalesce("_hit", F.lit(False))).alias("updated")
     )
     return WriteResult(snapshot, outcome)
 
 
+def _place(order: str) -> Column:
+    """The order column; a null, which has no place among the rows of its key, fails at run time."""
+    return F.when(F.col(order).isNull(), F.raise_error(F.lit(f"an incoming row has no {order}"))).otherwise(F.col(order))
+
+
 def one_of_each(rows: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
-    """One row per key: the last by ``order``; without it a repeated key fails at run time."""
+    """One row per key: the last by ``order``; without it a repeated key fails at run time, as does a null order."""
     rest = [c for c in rows.columns if c not in (*keys, order)]
     packed = F.struct(*[F.col(c) for c in rest])
     if order is not None:
-        return rows.groupBy(*keys).agg(F.max_by(packed, F.col(order)).alias("_row")).select(*keys, "_row.*")
+        return rows.groupBy(*keys).agg(F.max_by(packed, _place(order)).alias("_row")).select(*keys, "_row.*")
     text = F.concat(F.lit("more than one incoming row for "), F.concat_ws(",", *[F.col(k).cast("string") for k in keys]))
     single = rows.groupBy(*keys).agg(F.any_value(packed).alias("_row"), F.count(F.lit(1)).alias("_n"))
     checked = F.when(F.col("_n") > 1, F.raise_error(text)).otherwise(F.col("_row"))
@@ -243,7 +249,7 @@ def one_of_each(rows: DataFrame, keys: Sequence[str], order: str | None = None)
 def replace_content(base: DataFrame, incoming: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
     """Whole-record replacement: matched rows take every non-key column from the incoming row.
 
-    Of several incoming rows of a key the last by ``order`` counts; without an order they fail.
+    Of several incoming rows of a key the last by ``order`` counts; without an order they fail, as does a null order.
     """
     incoming = one_of_each(incoming, keys, order)
     rest = [c for c in base.columns if c not in keys]

@@ -160,6 +160,15 @@ def test_repeated_patches(spark):
             call().collect()
 
 
+def test_patches_without_a_place_fail(spark):
+    base = spark.createDataFrame([(1, "a")], "id int, s string")
+    patches = spark.createDataFrame([(1, "x", None)], "id int, s string, at int")
+    result = update.update_partial(base, patches, "id", order="at")
+    for got in (result.snapshot, result.outcome, update.replace_content(base, patches, ["id"], order="at")):
+        with pytest.raises(Exception, match="an incoming row has no at"):
+            got.collect()
+
+
 def test_pages_lose_no_row_of_a_repeated_or_null_key(spark):
     df = spark.range(120).select(F.when(F.col("id") < 100, F.col("id") % 5).alias("k"), F.when(F.col("id") < 60, F.col("id")).alias("v"))
     pages = [p.collect() for p in read.iterate_pages(df, "k", 7)]
