@@ -27,7 +27,7 @@ def test_stages_on_given_tables(spark):
         kept.append({r["doc_id"]: r["text"] for r in docs.collect()})
     told, single, clean = kept
     assert len(told) >= 0.98 * spark.read.parquet(f"{FOLDER}/documents.parquet").count()
-    want = linked_by_hand(sorted(told.items()))
+    want = linked_by_hand(sorted(told.items()), width=pipeline.NEAR_WORDS, percent=pipeline.NEAR_PERCENT)
     assert set(single) == {i for i, (_, comp) in want.items() if i == comp}
     whole = {i for i, t in single.items() if any(b in leaks.normal(t) for b in bench)}
     assert not whole & set(clean) and len(single) - len(clean) <= len(whole) + 2
