@@ -150,3 +150,10 @@ def suffix_dedup(spark, sf_dir):
     from recordlake.llm import suffixes
 
     return suffixes.drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+
+
+@G.add("op11_simhash_near_dedup")
+def simhash_near_dedup(spark, sf_dir):
+    from recordlake.llm import simhash
+
+    return simhash.near_components(table(spark, sf_dir, "documents"))
