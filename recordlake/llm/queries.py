@@ -157,3 +157,38 @@ def simhash_near_dedup(spark, sf_dir):
     from recordlake.llm import simhash
 
     return simhash.near_components(table(spark, sf_dir, "documents"))
+
+
+SPELLING_SQL = r"""
+WITH RECURSIVE
+bits AS (SELECT range AS i, range AS c, 0 AS k FROM range(256)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crcs AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+named AS (SELECT run, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs WHERE length(run) >= 7),
+hashed AS (SELECT run, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(x) // 2),
+    lambda i: (('0x' || substr(x, 2 * i + 1, 2))::BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h FROM named, crcs),
+cut AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word FROM hashed),
+w AS (SELECT word, count(*) AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+gone AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+pairs AS (SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM gone a JOIN gone b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT g.word, g.n, w.word, w.n FROM gone g JOIN w ON g.rest = w.word
+  UNION SELECT w.word, w.n, g.word, g.n FROM gone g JOIN w ON g.rest = w.word),
+best AS (SELECT word, count(*) AS n_near, min({'m': -near_n, 'near': near}) AS b FROM pairs GROUP BY word),
+formed AS (SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -b.m >= 10 * w.n THEN b.near END AS form,
+    CASE WHEN -b.m >= 10 * w.n THEN -b.m END AS form_n FROM w LEFT JOIN best USING (word)),
+ways AS (SELECT word, word AS root, 0 AS k FROM formed UNION ALL SELECT ways.word, form, k + 1 FROM ways JOIN formed ON formed.word = root WHERE form IS NOT NULL)
+SELECT word, n, n_near, form, form_n, root FROM formed JOIN (SELECT word, arg_max(root, k) AS root FROM ways GROUP BY word) USING (word)"""
+
+
+@G.add("op13_spelling_variants", SPELLING_SQL)
+def spelling_variants(spark, sf_dir):
+    from recordlake.llm import spelling
+
+    docs = table(spark, sf_dir, "documents").select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.explode(spelling.runs(F.col("text"), 7)).alias("run"))
+    h = F.crc32(F.concat("id", F.lit(":"), "run").cast("binary"))
+    at = (h % F.length("run")).cast("int")
+    word = F.when(h % 31 == 0, F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))).otherwise(F.col("run"))
+    counts = docs.select(word.alias("word")).where(F.length("word") >= 7).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
+    return spelling.variants(counts)
