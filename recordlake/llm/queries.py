@@ -192,3 +192,27 @@ def spelling_variants(spark, sf_dir):
     word = F.when(h % 31 == 0, F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))).otherwise(F.col("run"))
     counts = docs.select(word.alias("word")).where(F.length("word") >= 7).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
     return spelling.variants(counts)
+
+
+NEGATIVES_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)),
+s AS (SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same, list_inner_product(a.x, v.x)::BIGINT AS score
+  FROM v a JOIN v ON a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10"""
+
+
+@G.add("op12_hard_negatives", NEGATIVES_SQL)
+def hard_negatives(spark, sf_dir):
+    from recordlake.llm import negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.whole_numbers(table(spark, sf_dir, "embeddings"), 256, label=label, vector="embedding")
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0)
