@@ -85,7 +85,7 @@ def hash_strings(values: pa.Array, seed: int = 1) -> np.ndarray:
     sizes = np.diff(at)
     body = np.concatenate([body, np.zeros(8, np.uint8)])
     wide = np.ndarray(len(body) - 7, dtype="<u8", buffer=body.data, strides=(1,))
-    out = mix(sizes.astype(np.uint64) + np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15))
+    out = mix(sizes.astype(np.uint64) + np.uint64(seed * 0x9E3779B97F4A7C15 % (1 << 64)))
     live, step = np.flatnonzero(sizes), 0
     while len(live):
         left = sizes[live] - step

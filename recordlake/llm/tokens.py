@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from recordlake.llm.text import WHITE, raw
+from recordlake.llm.text import WHITE, hash_strings, plain, raw
 
 #: White space of the pre-tokenizer outside space and 0x09-0x0D.
 OTHER_SPACE = r"[\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -25,9 +25,10 @@ LETTERS = np.zeros(256, bool)
 LETTERS[[*range(65, 91), *range(97, 123)]] = True
 MARKS = np.zeros(256, bool)
 MARKS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
-#: Bound of the units that a worker remembers between blocks.
-REMEMBERED = 150_000
-_memory: dict[str, dict[str, list[int]]] = {}
+#: Bounds of what a worker remembers between blocks: units, and their ids.
+REMEMBERED = 600_000
+REMEMBERED_IDS = 3_000_000
+SLOTS = 1 << 20
 
 
 @lru_cache(maxsize=4)
@@ -76,6 +77,92 @@ def gather(values: np.ndarray, offsets: np.ndarray, pick: np.ndarray) -> tuple[n
     return values[where], ends
 
 
+class Remembered:
+    """The ids of units seen before, by 96 bits of hash: 20 bytes a unit and 4 an id, in fixed arrays.
+
+    When it is full, the half that fewer blocks asked for is forgotten.
+    """
+
+    def __init__(self, units: int = REMEMBERED, ids: int = REMEMBERED_IDS, slots: int = SLOTS):
+        self.mask = np.uint64(slots - 1)
+        self.slot = np.full(slots, -1, np.int32)
+        self.key, self.check, self.hits = np.zeros(units, np.uint64), np.zeros(units, np.uint32), np.zeros(units, np.int32)
+        self.ends = np.zeros(units + 1, np.int64)
+        self.ids = np.zeros(ids, np.uint32)
+        self.n = 0
+
+    def find(self, key: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """The place of each unit, or -1."""
+        out, live, at = np.full(len(key), -1, np.int64), np.arange(len(key)), (key & self.mask).astype(np.int64)
+        while len(live):
+            there = self.slot[at[live]]
+            live, there = live[there >= 0], there[there >= 0]
+            same = (self.key[there] == key[live]) & (self.check[there] == check[live])
+            out[live[same]] = there[same]
+            live = live[~same]
+            at[live] = at[live] + 1 & int(self.mask)
+        return out
+
+    def add(self, key: np.ndarray, check: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Distinct new units; more of them than there is room for are not kept."""
+        if self.n + len(key) > len(self.key) or self.ends[self.n] + len(ids) > len(self.ids):
+            self._forget()
+        room = min(len(key), len(self.key) - self.n, int(np.searchsorted(np.cumsum(sizes), len(self.ids) - self.ends[self.n], side="right")))
+        a, b = self.n, self.n + room
+        self.key[a:b], self.check[a:b], self.hits[a:b] = key[:room], check[:room], 1
+        self.ends[a + 1:b + 1] = self.ends[a] + np.cumsum(sizes[:room])
+        self.ids[self.ends[a]:self.ends[b]] = ids[:self.ends[b] - self.ends[a]]
+        self.n = b
+        self._place(np.arange(a, b))
+
+    def _place(self, live: np.ndarray) -> None:
+        at = (self.key[live] & self.mask).astype(np.int64)
+        while len(live):
+            free = self.slot[at] < 0
+            self.slot[at[free]] = live[free]  # of several units at one place, one stays
+            left = self.slot[at] != live
+            live, at = live[left], at[left] + 1 & int(self.mask)
+
+    def _forget(self) -> None:
+        keep = np.sort(np.argsort(-self.hits[:self.n], kind="stable")[:self.n // 2])
+        sizes = np.diff(self.ends[:self.n + 1])
+        ids, _ = gather(self.ids, self.ends[:self.n + 1], keep)
+        self.key[:len(keep)], self.check[:len(keep)], self.hits[:len(keep)] = self.key[keep], self.check[keep], self.hits[keep] // 2
+        self.ends[1:len(keep) + 1] = np.cumsum(sizes[keep])
+        self.ids[:len(ids)] = ids
+        self.n = len(keep)
+        self.slot.fill(-1)
+        self._place(np.arange(self.n))
+
+    def lists(self, names: pa.Array, tok) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct units as one array of lists: offsets and values."""
+        key, check = hash_strings(names), hash_strings(names, 2).astype(np.uint32)
+        found = self.find(key, check)
+        old, fresh = np.flatnonzero(found >= 0), np.flatnonzero(found < 0)
+        self.hits[found[old]] += 1
+        sizes = np.zeros(len(names), np.int64)
+        sizes[old] = np.diff(self.ends)[found[old]]
+        made = []
+        for first in range(0, len(fresh), 20_000):
+            part = fresh[first:first + 20_000]
+            lists = [e.ids for e in tok.encode_batch_fast(names.take(pa.array(part)).to_pylist(), add_special_tokens=False)]
+            sizes[part] = np.fromiter(map(len, lists), np.int64, len(lists))
+            made.append(np.fromiter(chain.from_iterable(lists), np.uint32))
+        new = np.concatenate(made) if made else np.zeros(0, np.uint32)
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        values = np.zeros(offsets[-1], np.uint32)
+        for rows, ids in ((old, gather(self.ids, self.ends, found[old])[0]), (fresh, new)):
+            ends = np.cumsum(sizes[rows])
+            values[np.repeat(offsets[rows] - (ends - sizes[rows]), sizes[rows]) + np.arange(len(ids))] = ids
+        self.add(key[fresh], check[fresh], sizes[fresh], new)
+        return offsets, values
+
+
+@lru_cache(maxsize=1)
+def remembered(path: str) -> Remembered:
+    return Remembered()
+
+
 def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts in order as unsigned 32-bit integers, and the offsets of the texts."""
     tok = tokenizer(path)
@@ -87,17 +174,6 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
         return np.concatenate(lists), np.concatenate([[0], np.cumsum([len(x) for x in lists])])
     made, at = units(texts)
     coded = made.dictionary_encode()
-    known = _memory.setdefault(path, {})
-    names = coded.dictionary.to_pylist()
-    found = [known.get(name) for name in names]
-    fresh = [i for i, ids in enumerate(found) if ids is None]
-    for first in range(0, len(fresh), 20_000):
-        part = fresh[first:first + 20_000]
-        for k, e in zip(part, tok.encode_batch_fast([names[k] for k in part], add_special_tokens=False)):
-            found[k] = e.ids
-        if len(known) < REMEMBERED:
-            known.update((names[k], found[k]) for k in part)
-    offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
-    values = np.fromiter(chain.from_iterable(found), np.uint32, offsets[-1])
+    offsets, values = remembered(path).lists(plain(coded.dictionary), tok)
     ids, ends = gather(values, offsets, coded.indices.to_numpy().astype(np.int64))
     return ids, ends[at]

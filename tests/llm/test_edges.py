@@ -504,3 +504,17 @@ def test_jaccard_of_an_id_with_two_texts(spark):
 
 def test_jaccard_empty(none):
     assert jaccard.near_components(none).count() == 0
+
+
+def test_remembered_units_are_exact_when_full(spark):
+    """A memory far too small forgets and places anew; ids stay those of the library."""
+    rng = random.Random(5)
+    tok, memory = tokens.tokenizer(BPE), tokens.Remembered(units=60, ids=200, slots=128)
+    vocab = [f" {rng.choice('abcde')}{rng.randint(0, 400)}x" for _ in range(300)] + ["", " the", "\n", " é" * 40]
+    for _ in range(60):
+        names = sorted({rng.choice(vocab[: rng.choice([20, 300])]) for _ in range(50)}) + [" é" * 40]
+        offsets, values = memory.lists(text.plain(pa.array(sorted(set(names)))), tok)
+        for i, name in enumerate(sorted(set(names))):
+            assert values[offsets[i]:offsets[i + 1]].tolist() == tok.encode(name, add_special_tokens=False).ids
+        assert memory.n <= 60 and memory.ends[memory.n] <= 200
+    assert memory.n > 0
