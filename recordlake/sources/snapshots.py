@@ -18,6 +18,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(path_of(path))
 
 
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match and were written to the end."""
+    fs, path_of = _fs(spark, pattern.split("*")[0])
+    found = fs.globStatus(path_of(f"{pattern}/_SUCCESS")) or []
+    return sorted(s.getPath().getParent().toString() for s in found)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, path_of = _fs(spark, path)
+    fs.delete(path_of(path), True)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file next to its final name and rename it over the old one."""
     fs, path_of = _fs(spark, path)
