@@ -15,10 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordlake.functions.links import RID_PATTERN
-from recordlake.operators.load import assign_rids, bulk_load
+from recordlake.operators.load import assign_rids, bulk_load, ranged_load
 from recordlake.operators.skew import join_to_one
 from recordlake.operators.update import WriteResult
 from recordlake.session import stored
+from recordlake.sources.ranged import Merged, RangedTable
 
 # Most endpoint records the bounded side of create_edges may hold.
 MAX_ENDPOINTS = 10_000
@@ -101,6 +102,11 @@ def upsert_edges(base: DataFrame, incoming: DataFrame, row_index: str = "row_ind
     return bulk_load(base, incoming, list(keys), "UPDATE", row_index=row_index)
 
 
+def upsert_stored_edges(edges: RangedTable, incoming: DataFrame, row_index: str = "row_index") -> tuple[DataFrame, Merged]:
+    """``upsert_edges`` into stored edges in the order of their ends: files that hold none of the batch's edges stay as they are."""
+    return ranged_load(edges, incoming, "UPDATE", row_index=row_index)
+
+
 def create_edges(sources: DataFrame, targets: DataFrame, source_id: str = "rid", target_id: str = "rid", limit: int = MAX_ENDPOINTS) -> DataFrame:
     """An edge from every source to every target.
 

@@ -14,6 +14,8 @@ from recordlake.model import RecordSpec
 from recordlake.operators.ordering import dense_index
 from recordlake.operators.skew import join_to_one
 from recordlake.operators.update import WriteResult
+from recordlake.session import stored
+from recordlake.sources.ranged import Merged, RangedTable
 
 MODES = ("ERROR", "IGNORE", "UPDATE", "ABORT")
 OUTCOME = ("row_index", "status", "code", "field", "message")
@@ -106,6 +108,16 @@ def _outcome(marked: DataFrame, keys: list[str], mode: str, row_index: str) -> D
 
 def _merge(base: DataFrame, known: DataFrame, incoming: DataFrame, keys: list[str], listed: list[str], row_index: str) -> DataFrame:
     """Stored rows with the collapsed incoming row of their key, and the collapsed rows of new keys."""
+    given, written, batch = _collapse(incoming, keys, listed, row_index)
+    changed = base.join(batch, keys, "left").select(
+        *[F.coalesce(F.col(f"_new_{f.name}").cast(f.dataType), F.col(f.name)).alias(f.name) if f.name in written else F.col(f.name)
+          for f in base.schema.fields])
+    fresh = batch.join(known, keys, "left_anti")
+    return changed.unionByName(_conform(fresh.withColumnsRenamed({f"_new_{c}": c for c in given}), base))
+
+
+def _collapse(incoming: DataFrame, keys: list[str], listed: list[str], row_index: str) -> tuple[list[str], list[str], DataFrame]:
+    """The batch's non-key columns, those it writes, and one row per key with column ``c`` as ``_new_c``."""
     given = [c for c in incoming.columns if c not in keys and c != row_index]
     written = listed or given
     unknown = [c for c in written if c not in given]
@@ -121,14 +133,8 @@ def _merge(base: DataFrame, known: DataFrame, incoming: DataFrame, keys: list[st
         return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(f"_new_{c}")
 
     if not given:
-        batch = incoming.where(~_has_null(keys)).select(*keys).distinct()
-    else:
-        batch = incoming.where(~_has_null(keys)).groupBy(*keys).agg(*[collapsed(c) for c in given])
-    changed = base.join(batch, keys, "left").select(
-        *[F.coalesce(F.col(f"_new_{f.name}").cast(f.dataType), F.col(f.name)).alias(f.name) if f.name in written else F.col(f.name)
-          for f in base.schema.fields])
-    fresh = batch.join(known, keys, "left_anti")
-    return changed.unionByName(_conform(fresh.withColumnsRenamed({f"_new_{c}": c for c in given}), base))
+        return given, written, incoming.where(~_has_null(keys)).select(*keys).distinct()
+    return given, written, incoming.where(~_has_null(keys)).groupBy(*keys).agg(*[collapsed(c) for c in given])
 
 
 def _conform(rows: DataFrame, base: DataFrame) -> DataFrame:
@@ -145,6 +151,31 @@ def load_records(base: DataFrame, incoming: DataFrame, spec: RecordSpec, mode: s
     return bulk_load(base, incoming, spec.key_columns, mode, **options)
 
 
+def ranged_load(target: RangedTable, incoming: DataFrame, mode: str = "UPDATE", update_cols: Sequence[str] = (), row_index: str = "row_index") -> tuple[DataFrame, Merged]:
+    """``bulk_load`` into a stored table in key order: the outcome, and what was written.
+
+    Only files that hold a key of the batch are read whole and written anew; the others keep their names,
+    whatever the size of the batch. New rows become files of their own. The rules are those of ``bulk_load``.
+    """
+    if mode not in MODES:
+        raise ValueError(f"unknown conflict mode {mode!r}")
+    keys = list(target.keys)
+    data = [c for c in incoming.columns if c != row_index]
+    asked = incoming.where(~_has_null(keys)).select(*keys).distinct()
+    hits = target.holding(asked)
+    marked = stored(_mark_rows(incoming, hits.select(*keys).distinct().withColumn("_stored", F.lit(True)), keys, row_index), "marked")
+    outcome = stored(_outcome(marked, keys, mode, row_index), "outcome")
+    if mode == "UPDATE":
+        given, written, batch = _collapse(incoming, keys, list(update_cols), row_index)
+        names = [c for c in target.schema.names if c in written]
+        done = target.merge(batch, {c: F.coalesce(F.col(f"_new._new_{c}"), F.col(f"`{c}`")) for c in names}, {c: F.col(f"_new_{c}") for c in given}, hits)
+        return outcome, done
+    fresh = marked.where("_fresh").select(*data)
+    if mode == "ABORT" and not marked.where("NOT _fresh").isEmpty():
+        fresh = fresh.limit(0)
+    return outcome, target.merge(fresh, {}, None, hits)
+
+
 def tallies(outcome: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Received, inserted, updated, ignored and failed, overall or per group."""
 

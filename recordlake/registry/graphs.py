@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from recordlake.operators import graph
 from recordlake.registry.base import Group, table
+from recordlake.session import work_path
+from recordlake.sources.ranged import RangedTable
 
 G = Group()
 
@@ -68,6 +70,19 @@ def g2(spark, folder):
     return graph.upsert_edges(base, user_edges(spark, folder)).snapshot
 
 
+@G.add("g2_ranged_edges", f"""SELECT coalesce(b."out", i."out") AS "out", coalesce(b."in", i."in") AS "in", coalesce(i.weight, b.weight) AS weight, coalesce(i.label, b.label) AS label FROM {VIEW_SQL} b FULL JOIN
+ (SELECT "out", "in", arg_max(weight, row_index) FILTER (WHERE weight IS NOT NULL) AS weight, arg_max(label, row_index) FILTER (WHERE label IS NOT NULL) AS label FROM {EDGE_SQL} GROUP BY 1, 2) i ON b."out" = i."out" AND b."in" = i."in" """)
+def g2_ranged(spark, folder):
+    """The same edges upserted into a stored table in the order of their ends."""
+    views = table(spark, folder, "events").where("event_type = 'view'")
+    base = views.groupBy(F.col("user_id").alias("out"), F.get_json_object("props", "$.k").cast("bigint").alias("in")).agg(
+        F.max("value").alias("weight"), F.lit("seen").alias("label"))
+    edges = RangedTable(spark, work_path(spark, "edges"), ["out", "in"], base.schema, rows_per_file=20_000)
+    edges.create(base)
+    graph.upsert_stored_edges(edges, user_edges(spark, folder))
+    return edges.read()
+
+
 @G.add("g3_create_edges", "SELECT c_custkey AS \"out\", r_regionkey AS \"in\" FROM customer, region")
 def g3(spark, folder):
     return graph.create_edges(table(spark, folder, "customer"), table(spark, folder, "region"), "c_custkey", "r_regionkey")

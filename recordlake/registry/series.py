@@ -130,6 +130,29 @@ def x1(spark, folder):
     return ingest.read_table(spark, _streamed(spark, folder, "UPDATE"), _schema(spark, folder))
 
 
+def _late(spark, folder, mode):
+    """The first weeks arrive after the later ones have been compacted, then some of them again."""
+    target = ingest.StreamTarget(work_path(spark, "late"), ["user_id", "event_type"], COLUMNS, mode)
+    rows, schema = with_chunks(events(spark, folder)), _schema(spark, folder)
+    for i, (low, high) in enumerate([(4, 9), (2, 3), (1, 1), (2, 4)]):
+        ingest.append_chunks(rows.where(F.col("seq").between(low, high)), i, target)
+        if i in (0, 2):
+            ingest.compact(spark, target, schema)
+    return target
+
+
+@G.add("x1_late_chunk", "SELECT user_id, event_type, arg_max(value, event_id) AS value FROM events GROUP BY 1, 2")
+def x1_late(spark, folder):
+    return ingest.read_table(spark, _late(spark, folder, "UPDATE"), _schema(spark, folder))
+
+
+@G.add("x2_late_errors", f"""SELECT session, seq, row_no, 'duplicate_key' AS code, 'user_id,event_type' AS field, 'key already present: ' || user_id || ',' || event_type AS message FROM
+ (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY seq, row_no) AS rk FROM {CHUNK_SQL}) WHERE rk > 1""")
+def x2_late(spark, folder):
+    """ERROR mode: which row of a key is the first, and which fail, is as if no chunk had been late."""
+    return ingest.read_errors(spark, _late(spark, folder, "ERROR"), _schema(spark, folder))
+
+
 @G.add("x2_chunk_acks", f"""SELECT session, seq, count(*) AS received, count(*) FILTER (WHERE rk = 1) AS inserted, CAST(0 AS BIGINT) AS updated, count(*) FILTER (WHERE rk > 1) AS ignored, CAST(0 AS BIGINT) AS failed FROM
  (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY seq, row_no) AS rk FROM {CHUNK_SQL}) GROUP BY 1, 2""")
 def x2(spark, folder):

@@ -9,6 +9,8 @@ from recordlake.model import Constraints, FieldSpec, Property, RecordSpec, TypeS
 from recordlake.operators import change, load, read, update
 from recordlake.operators.update import Set
 from recordlake.registry.base import Group, table
+from recordlake.session import work_path
+from recordlake.sources.ranged import RangedTable
 
 G = Group()
 
@@ -227,6 +229,34 @@ def w2(spark, folder):
     return _loaded(spark, folder, "UPDATE").snapshot
 
 
+@G.add("w2_ranged_upsert", f"""SELECT coalesce(b.o_orderkey, i.o_orderkey) AS o_orderkey, coalesce(i.o_custkey, b.o_custkey) AS o_custkey, coalesce(i.o_orderstatus, b.o_orderstatus) AS o_orderstatus,
+ coalesce(i.o_totalprice, b.o_totalprice) AS o_totalprice, coalesce(i.o_orderpriority, b.o_orderpriority) AS o_orderpriority FROM {BASE_SQL} b FULL JOIN {COLLAPSED_SQL} i ON b.o_orderkey = i.o_orderkey""")
+def w2_ranged(spark, folder):
+    """The same upsert into a stored table in key order: the first rows of all keys, then the repeats."""
+    stored_orders, incoming = _ranged_orders(spark, folder), incoming_orders(spark, folder)
+    for i in range(2):
+        load.ranged_load(stored_orders, incoming.where(F.col("row_index") % 2 == i))
+    return stored_orders.read()
+
+
+def _ranged_orders(spark, folder):
+    base = base_orders(spark, folder)
+    made = RangedTable(spark, work_path(spark, "orders"), ["o_orderkey"], base.schema, rows_per_file=20_000)
+    made.create(base)
+    return made
+
+
+@G.add("w2_ranged_files", f"""SELECT o_orderkey, o_orderstatus, o_totalprice FROM {BASE_SQL} WHERE o_orderkey > (SELECT max(o_orderkey) // 4 FROM orders)
+ UNION ALL SELECT o_orderkey, 'new', o_totalprice FROM {BASE_SQL} WHERE o_orderkey <= (SELECT max(o_orderkey) // 4 FROM orders)""")
+def w2_files(spark, folder):
+    """A batch of the lowest quarter of the keys: read from the files that kept their names and those that did not."""
+    stored_orders = _ranged_orders(spark, folder)
+    first = table(spark, folder, "orders").agg(F.floor(F.max("o_orderkey") / 4).alias("k")).first()["k"]
+    batch = base_orders(spark, folder).where(F.col("o_orderkey") <= first).select(F.col("o_orderkey").alias("row_index"), "o_orderkey", F.lit("new").alias("o_orderstatus"))
+    load.ranged_load(stored_orders, batch)
+    return stored_orders.read().select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
 @G.add("w2_update_columns", f"""SELECT coalesce(b.o_orderkey, i.o_orderkey) AS o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN f.o_custkey ELSE b.o_custkey END AS o_custkey,
  CASE WHEN b.o_orderkey IS NULL THEN i.first_status ELSE b.o_orderstatus END AS o_orderstatus, coalesce(i.o_totalprice, b.o_totalprice) AS o_totalprice,
  CASE WHEN b.o_orderkey IS NULL THEN f.o_orderpriority ELSE b.o_orderpriority END AS o_orderpriority
