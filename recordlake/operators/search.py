@@ -55,10 +55,10 @@ def full_text(docs: DataFrame, query: Sequence[str], k: int, id_col: str = "doc_
         idf = F.ln(F.lit(1.0) + (F.col("_s.n") - seen + 0.5) / (seen + 0.5))
         parts.append(idf * tf * (BM25_K1 + 1) / (tf + BM25_K1 * (1 - BM25_B + BM25_B * F.col("_len") / mean)))
     score = F.round(reduce(Column.__add__, parts), 6).alias("score")
-    return _top(scored.select(id_col, score), k, id_col)
+    return top(scored.select(id_col, score), k, id_col)
 
 
-def _top(scored: DataFrame, k: int, id_col: str) -> DataFrame:
+def top(scored: DataFrame, k: int, id_col: str) -> DataFrame:
     """Best k rows with their rank; the window sees those k rows only."""
     best = scored.orderBy(F.desc("score"), id_col).limit(k)
     return best.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), F.col(id_col))))
@@ -81,7 +81,7 @@ def sparse_neighbors(
     scored = vectors.select(
         F.explode(F.when(hit, F.array(F.struct(F.col(id_col), F.round(product, 6).alias("score"))))).alias("h")
     ).select("h.*")
-    return _top(scored, k, id_col)
+    return top(scored, k, id_col)
 
 
 def _block_scorer(ids: list, matrix: np.ndarray, k: int, id_col: str, vec_col: str):

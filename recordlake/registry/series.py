@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recordlake.model import TimeseriesSpec
-from recordlake.operators import keystate, search, timeseries
+from recordlake.operators import keystate, postings, search, timeseries
 from recordlake.registry.base import Group, table
 from recordlake.registry.shapes import BODY, WIDE_SQL, wide
 from recordlake.session import work_path
@@ -318,6 +318,12 @@ def v1(spark, folder):
     return search.full_text(_documents(spark, folder), QUERY, 25)
 
 
+@G.add("v1_indexed", _bm25_sql(QUERY))
+def v1_indexed(spark, folder):
+    """From a stored index, in ranges of 256 documents."""
+    return postings.TextIndex.build(_documents(spark, folder), work_path(spark, "text"), range_rows=256).search(QUERY, 25)
+
+
 WEIGHTS = {"the": 0.5, "erst": 2.0, "lytion": 1.5, "onen": 1.0}
 SPARSE_SQL = f"""(SELECT doc_id, round(sum(CASE t {' '.join(f"WHEN '{t}' THEN CAST({w} AS DOUBLE)" for t, w in WEIGHTS.items())} END / n), 6) AS score FROM (SELECT doc_id, unnest(toks) AS t, len(toks) AS n FROM {TOKENS_SQL}) WHERE t IN ({', '.join(f"'{t}'" for t in WEIGHTS)}) GROUP BY 1)"""
 
@@ -333,6 +339,12 @@ def v2(spark, folder):
     return search.sparse_neighbors(sparse_vectors(spark, folder), WEIGHTS, 25, "doc_id")
 
 
+@G.add("v2_indexed", f"SELECT doc_id, score, CAST(row_number() OVER (ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM {SPARSE_SQL} ORDER BY score DESC, doc_id LIMIT 25")
+def v2_indexed(spark, folder):
+    """From a stored index, in ranges of 256 vectors."""
+    return postings.SparseIndex.build(sparse_vectors(spark, folder), work_path(spark, "sparse"), "doc_id", range_rows=256).search(WEIGHTS, 25)
+
+
 CENTROID_SQL = "(SELECT label, list(v ORDER BY dim) AS q FROM (SELECT label, dim, avg(CAST(x AS DOUBLE)) AS v FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS dim FROM embeddings) GROUP BY 1, 2) GROUP BY 1)"
 
 
