@@ -37,11 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordlake.llm.components import components
-from recordlake.llm.text import blocks, mix, plain, shingles, word_hashes, words
+from recordlake.llm.text import blocks, mix, plain, release, shingles, word_hashes, words
 from recordlake.session import stored
 
 SPARE = 3
-SALTS = 4
+#: Pairs of one document that are counted in one task.
+PER_SALT = 256
 #: Bytes of text whose n-grams a task holds at once.
 BLOCK = 4 << 20
 GROUP_BLOCK = 4096
@@ -174,6 +175,8 @@ def _spread(width: int, threshold: Fraction, buckets: int):
                     [pa.array(at, pa.int32()), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64()),
                      pa.nulls(len(rows), pa.binary()), pa.nulls(len(rows), pa.binary()), pa.array(who, pa.binary()), pa.array(counts, pa.binary()),
                      pa.array(sigs, pa.binary())], schema=schema)
+            del h, owner, use, rows
+            release()
 
     return run
 
@@ -214,6 +217,8 @@ def _group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     wanted[big[keep]] = True
     rows = np.repeat(wanted, counts)
     a, b = np.repeat(name, counts)[rows], mark[rows]
+    del sig, fresh, order, rows
+    release()
     for i in range(0, len(a), 50_000):
         n = len(a[i:i + 50_000])
         yield pa.RecordBatch.from_arrays(
@@ -293,6 +298,7 @@ def _segments(width: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[owner[starts]], pa.int64()), pa.array(f[starts], pa.int32()),
                  pa.array([h[s:e].tobytes() for s, e in zip(starts, ends)], pa.binary())], ["id", "frag", "seg"])
+            release()
 
     return run
 
@@ -317,7 +323,9 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verify(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, n_a, n_b) that reach the threshold, from overlaps summed over fragments."""
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
+    # A document with many pairs, such as the centre of a large near group, is dealt over as many tasks.
+    many_pairs = stored(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PER_SALT).cast("int").alias("salts")).where("salts > 1"), "salts")
+    salted = pairs.join(many_pairs, "a", "left").withColumn("salt", F.pmod(F.xxhash64("b"), F.coalesce("salts", F.lit(1))).cast("int"))
     columns = ["a", "frag", "salt", "b", "seg"]
     many = salted.select("a", "b", "salt").join(segments.withColumnRenamed("id", "b"), "b").select(*columns)
     one = salted.select("a", "salt").distinct().join(segments.withColumnRenamed("id", "a"), "a").withColumn(
@@ -343,7 +351,8 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         .mapInArrow(_group, _FOUND), "grams")
     every = found.where("digest is not null").select(F.col("a").alias("doc_id"), "n", "digest", "cuts", "mark")
     one = every.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("digest", "n", "cuts", "mark")).alias("s")).select("doc_id", "s.*")
-    classes = one.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    # Written, so that the join is one of two plain shuffles: Spark splits a digest that many documents share.
+    classes = stored(one.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     known = stored(one.join(classes, "digest", "left").withColumn("rep", F.coalesce("rep", "doc_id")), "known")
     reps = known.where("doc_id = rep")
     grouped = found.where("digest is null").select(F.col("a").alias("group"), "mark").join(
