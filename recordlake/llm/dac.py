@@ -10,7 +10,9 @@ one binary value that holds the keys, the documents' offsets and the coded ids;
 Parquet table, so any store that Spark writes to will do.
 
 Nulls and edges: a null text is an empty one; a null key stands before all others; rows that repeat a
-key stand together, in order of their texts. A long text is one segment of its own.
+key stand together, in order of their texts, and are dealt by the texts' first characters. A long text is one
+segment of its own. A position outside the corpus has a null id. Other columns are ignored. No documents
+give no segments.
 """
 
 from __future__ import annotations
@@ -25,11 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recordlake.llm.text import blocks, plain
+from recordlake.llm.text import blocks, plain, release
 from recordlake.llm.tokens import token_ids
+from recordlake.session import stored
 
 RANK_BLOCK = 512
-SEGMENT_BYTES = 4 << 20
+SEGMENT_BYTES = 2 << 20
 MAGIC = b"DAC1"
 
 
@@ -79,6 +82,20 @@ class Codes:
             i, shift = int(ranks[block]) + int(inside.sum()), shift + 8
         return value
 
+    def at(self, places: np.ndarray) -> np.ndarray:
+        """The ids at some places: one rank a level each, by the directory and at most one block of bits."""
+        out, live, i = np.zeros(len(places), np.uint32), np.arange(len(places)), np.asarray(places, np.int64)
+        for k, (chunks, bits, ranks) in enumerate(self.levels):
+            out[live] |= chunks[i].astype(np.uint32) << np.uint32(8 * k)
+            on = bits[i >> 3] >> (i & 7).astype(np.uint8) & 1 > 0
+            live, i = live[on], i[on]
+            block, byte = i // RANK_BLOCK, i >> 3
+            near = block[:, None] * (RANK_BLOCK // 8) + np.arange(RANK_BLOCK // 8)
+            whole = np.where(near < byte[:, None], bits[np.minimum(near, max(len(bits) - 1, 0))], 0)
+            part = bits[byte] & ((1 << (i & 7)) - 1).astype(np.uint8)
+            i = ranks[block].astype(np.int64) + np.bitwise_count(whole).sum(axis=1, dtype=np.int64) + np.bitwise_count(part)
+        return out
+
     def all(self) -> np.ndarray:
         out = self.levels[0][0].astype(np.uint32)
         where = np.arange(len(out))
@@ -122,18 +139,17 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "d
                 [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([ahead], pa.int64()), pa.array([len(full)], pa.int64()), pa.array([data], pa.binary())],
                 ["part", "seg", "ahead", "n_ids", "data"])
             number, ahead = number + 1, ahead + len(full)
+            del ids, full, data
+            release()
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    (rows.repartitionByRange("key").sortWithinPartitions("key", "text")
+    (rows.repartitionByRange("key", F.substring("text", 1, 64)).sortWithinPartitions("key", "text")
         .mapInArrow(run, "part int, seg int, ahead long, n_ids long, data binary").write.parquet(path))
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """One row per document from the written segments: key, ``start``, ``n_tokens``, ``ids_crc32``."""
-    segments = spark.read.parquet(path)
-    counts = segments.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    segments = _placed(spark, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,7 +161,42 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     [pa.array(keys, pa.int64(), mask=~known), pa.array(start + at[:-1]), pa.array(np.diff(at)), pa.array(crcs, pa.int64())],
                     ["key", "start", "n_tokens", "ids_crc32"])
 
+    return segments.select("start", "data").mapInArrow(run, "key long, start long, n_tokens long, ids_crc32 long")
+
+
+def _placed(spark: SparkSession, path: str) -> DataFrame:
+    """The segments with the number of ids before each."""
+    segments = spark.read.parquet(path)
+    counts = segments.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     # A segment knows how many ids of its partition stand before it; the partitions' own starts are
     # one row per task of the write, so that the broadcast is bounded and the segments do not move.
-    rows = segments.join(F.broadcast(base), "part").select((F.col("base") + F.col("ahead")).alias("start"), "data")
-    return rows.mapInArrow(run, "key long, start long, n_tokens long, ids_crc32 long")
+    return segments.join(F.broadcast(base), "part").withColumn("start", F.col("base") + F.col("ahead"))
+
+
+#: Places of the corpus that a position and its segment are brought together by.
+STRIDE = 1 << 20
+
+
+def token_at(spark: SparkSession, path: str, positions: DataFrame, position: str = "position") -> DataFrame:
+    """The id at each asked place of the whole corpus: ``position``, ``token``.
+
+    Only segments that hold an asked place are read; within them an id is found through the rank
+    directories, without decoding its neighbours.
+    """
+    asked = positions.select(F.col(position).cast("long").alias("position")).where("position is not null").distinct()
+    placed = _placed(spark, path)
+    reach = F.sequence(F.floor(F.col("start") / STRIDE), F.floor((F.col("start") + F.col("n_ids") - 1) / STRIDE))
+    index = placed.where("n_ids > 0").select("part", "seg", "start", "n_ids", F.explode(reach).alias("stride"))
+    found = stored(asked.withColumn("stride", F.floor(F.col("position") / STRIDE)).join(index, "stride").where(
+        (F.col("position") >= F.col("start")) & (F.col("position") < F.col("start") + F.col("n_ids"))).select(
+            "part", "seg", "position", (F.col("position") - F.col("start")).alias("place")), "places")
+    data = placed.select("part", "seg", "data").join(found.select("part", "seg").distinct(), ["part", "seg"], "left_semi")
+
+    def look(segment: pa.Table, places: pa.Table) -> pa.Table:
+        codes = open_segment(segment.column("data")[0].as_py())[3]
+        return pa.table({"position": places.column("position"), "token": pa.array(codes.at(places.column("place").to_numpy()), pa.int64())})
+
+    met = data.groupBy("part", "seg").cogroup(found.groupBy("part", "seg")).applyInArrow(look, "position long, token long")
+    return positions.select(F.col(position).cast("long").alias("position")).join(met, "position", "left")

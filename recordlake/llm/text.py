@@ -5,6 +5,7 @@ Words are runs of bytes other than space and 0x09-0x0D, as ``ascii_split_whitesp
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Iterator
 
@@ -33,6 +34,25 @@ def plain(values: pa.Array | pa.ChunkedArray) -> pa.Array:
     return pc.fill_null(values.cast(pa.large_string()), "")
 
 
+def release() -> None:
+    """Give memory that this worker no longer uses back to the machine: workers are used again, and what
+    the pools keep would stand beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def _libc():
+    try:
+        found = ctypes.CDLL("libc.so.6")
+        return found if hasattr(found, "malloc_trim") else None
+    except OSError:  # another C library
+        return None
+
+
+_LIBC = _libc()
+
+
 def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds at most ``limit`` bytes of the column, or one row."""
     for batch in batches:

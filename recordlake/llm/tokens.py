@@ -29,6 +29,8 @@ MARKS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 REMEMBERED = 600_000
 REMEMBERED_IDS = 3_000_000
 SLOTS = 1 << 20
+#: Units that the library encodes at a time; it keeps far more than the ids of each.
+FRESH = 4_000
 
 
 @lru_cache(maxsize=4)
@@ -73,7 +75,8 @@ def gather(values: np.ndarray, offsets: np.ndarray, pick: np.ndarray) -> tuple[n
     """The lists ``pick`` of a list array, joined, and their offsets."""
     sizes = np.diff(offsets)[pick]
     ends = np.concatenate([[0], np.cumsum(sizes)])
-    where = np.repeat(offsets[:-1][pick] - ends[:-1], sizes) + np.arange(ends[-1])
+    where = np.repeat(offsets[:-1][pick] - ends[:-1], sizes)
+    where += np.arange(ends[-1])
     return values[where], ends
 
 
@@ -143,8 +146,8 @@ class Remembered:
         sizes = np.zeros(len(names), np.int64)
         sizes[old] = np.diff(self.ends)[found[old]]
         made = []
-        for first in range(0, len(fresh), 20_000):
-            part = fresh[first:first + 20_000]
+        for first in range(0, len(fresh), FRESH):
+            part = fresh[first:first + FRESH]
             lists = [e.ids for e in tok.encode_batch_fast(names.take(pa.array(part)).to_pylist(), add_special_tokens=False)]
             sizes[part] = np.fromiter(map(len, lists), np.int64, len(lists))
             made.append(np.fromiter(chain.from_iterable(lists), np.uint32))

@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from recordlake.session import work_path
 from recordlake.llm import boilerplate, components, dac, hmm, jaccard, langid, leaks, mixing, quality, suffixes, text, tokencounts, tokens
 
 BPE = tokens.tokenizer_path("byte_bpe_50k.json")
@@ -518,3 +519,21 @@ def test_remembered_units_are_exact_when_full(spark):
             assert values[offsets[i]:offsets[i + 1]].tolist() == tok.encode(name, add_special_tokens=False).ids
         assert memory.n <= 60 and memory.ends[memory.n] <= 200
     assert memory.n > 0
+
+
+def test_token_at_any_place(spark, docs, rows):
+    """Single ids through the rank directories, against the library's ids of the whole corpus."""
+    path = work_path(spark, "codes")
+    dac.write(docs, path, BPE, 2)
+    tok, every = tokens.tokenizer(BPE), []
+    texts = {r[0]: r[1] for r in rows}
+    for i in sorted(texts, key=lambda i: (i is not None, i)):
+        every += [*tok.encode(texts[i] or "", add_special_tokens=False).ids, 2]
+    rng = random.Random(2)
+    asked = [0, len(every) - 1, len(every), -1, None, *(rng.randrange(len(every)) for _ in range(500))] + [7, 7]
+    got = dac.token_at(spark, path, spark.createDataFrame([(p, "x") for p in asked], "position long, token string")).collect()
+    assert Counter(r["position"] for r in got) == Counter(asked)
+    assert all(r["token"] == (every[r["position"]] if r["position"] is not None and 0 <= r["position"] < len(every) else None) for r in got)
+    ids = np.array([*range(0, 70000, 7), 1 << 31, 5], np.uint32)
+    codes = dac.Codes(dac.encode(ids))
+    assert (codes.at(np.arange(len(ids))) == ids).all() and [codes[i] for i in range(0, len(ids), 97)] == ids[::97].tolist()
