@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.llm.text import blocks, plain, raw, widened
+from recordlake.llm.text import blocks, plain, raw, release, widened
 
 UNKNOWN = "und"
 WINDOW = 192
@@ -190,6 +190,7 @@ def identify(docs: DataFrame, net: ByteNet | None, text: str = "text") -> DataFr
             pred, score = _predict(plain(block.column(text)), net)
             columns = [block.column(n) for n in names] + [pa.array(pred, pa.string()), pa.array(score, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*names, "lang_pred", "score"])
+            release()
 
     return docs.select(*names).mapInArrow(predict, schema)
 

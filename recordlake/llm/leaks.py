@@ -6,7 +6,8 @@ unchanged: all pieces of all items are looked for at once with an Aho-Corasick a
 place of a hit is verified with Myers' bit-parallel distance over the text around it.
 
 The items go to every task in blocks of at most ``BLOCK_CHARS`` characters; each block is one pass
-over the documents, which need no shuffle.
+over the documents, which need no shuffle. After a pass its rows are written and its block is dropped, so
+that the driver and the tasks hold one block of items at a time, however many there are.
 
 Nulls and edges: a null text or item is empty and an empty item is never found. Pieces keep at least
 ``MIN_PIECE`` characters, so short items get fewer edits, and items shorter than that are compared
@@ -22,12 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.llm.text import blocks
+from recordlake.llm.text import blocks, release
+from recordlake.session import stored
 
 RATE = 0.1
 MIN_PIECE = 8
 GRAM = 4
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 1 << 20
 
 LEAK = pa.struct([("item_id", pa.int64()), ("edits", pa.int32()), ("budget", pa.int32()), ("ends_at", pa.int64())])
 LEAK_SQL = "array<struct<item_id:bigint,edits:int,budget:int,ends_at:bigint>>"
@@ -152,28 +154,32 @@ def _matcher(name: tuple, items: list[tuple[int, str]], rate: float) -> Matcher:
 
 
 def annotate(docs: DataFrame, items: DataFrame, rate: float = RATE, text: str = "text", item_id: str = "item_id",
-             item_text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Add ``leaks`` to every row: the items found in its whole text, each with its least distance."""
+             item_text: str = "text", block_chars: int = BLOCK_CHARS, name: str = "leaks") -> DataFrame:
+    """Add ``name`` to every row: the items found in its whole text, each with its least distance. A given column of that name is replaced."""
     given = items.select(F.col(item_id).cast("long").alias("i"), F.coalesce(F.col(item_text), F.lit("")).alias("t"))
     total = given.agg(F.sum(F.length("t") + 100)).first()[0] or 0
     count = max(1, -(-int(total) // block_chars))
-    docs = docs.withColumn("leaks", F.array().cast(LEAK_SQL))
+    docs = docs.withColumn(name, F.array().cast(LEAK_SQL))
     for n in range(count):
         part = given.where(F.pmod(F.xxhash64("i", "t"), F.lit(count)) == n) if count > 1 else given
         block = sorted(((r["i"], r["t"]) for r in part.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         shared = docs.sparkSession.sparkContext.broadcast(block)
-        docs = docs.mapInArrow(_finder(shared, rate, text), docs.schema)
+        docs = docs.mapInArrow(_finder(shared, rate, text, name), docs.schema)
+        if n + 1 < count:
+            docs = stored(docs, "leaks")
+            shared.unpersist()
     return docs
 
 
-def _finder(shared, rate: float, text: str):
+def _finder(shared, rate: float, text: str, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shared.value
         matcher = _matcher((len(items), hash(tuple(items)), rate), items, rate)
         for block in blocks(batches, text):
-            at = block.schema.get_field_index("leaks")
+            at = block.schema.get_field_index(name)
             before = block.column(at).to_pylist()
             found = [b + matcher.leaks(t) for b, t in zip(before, block.column(text).to_pylist())]
-            yield block.set_column(at, pa.field("leaks", pa.list_(LEAK)), pa.array(found, pa.list_(LEAK)))
+            yield block.set_column(at, pa.field(name, pa.list_(LEAK)), pa.array(found, pa.list_(LEAK)))
+            release()
 
     return run
