@@ -57,11 +57,14 @@ class Postings:
             F.count(F.lit(1)).alias("n"))  # at most about ``range_rows`` records
         order = ["folder", "term", "range"]
         blocks.withColumn("folder", _folder(F.col("term"))).repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("folder").parquet(f"{root}/blocks")
+        records.select(id_col).limit(0).write.parquet(f"{root}/ids")  # the type of ids, also of an empty index
         return cls(records.sparkSession, root)
 
     def blocks(self, terms: Sequence[str]) -> DataFrame:
         """The blocks of some terms: their folders are known before anything is read."""
-        every = self.spark.read.parquet(f"{self.root}/blocks")
+        named = self.spark.read.parquet(f"{self.root}/ids").schema.fields[0].dataType.simpleString()
+        every = self.spark.read.schema(
+            f"range int, term string, posts array<struct<id:{named},weight:double>>, most double, least double, n bigint, folder int").parquet(f"{self.root}/blocks")
         return every.where(F.col("folder").isin([_folder_of(self.spark, t) for t in terms]) & F.col("term").isin(list(terms)))
 
     def frequencies(self, terms: Sequence[str]) -> dict[str, int]:

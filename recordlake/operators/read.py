@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordlake.functions.predicates import Where
 from recordlake.operators.ordering import dense_index
+from recordlake.operators.ranges import MOST, By, Ordered, counted, rows_at
 from recordlake.operators.skew import join_to_one
+from recordlake.session import stored, work_path
 
 
 def lookup_by_key(df: DataFrame, keys: DataFrame | dict, columns: Sequence[str] = (), order: str | None = None) -> DataFrame:
@@ -75,30 +79,43 @@ def number_batches(df: DataFrame, order_by: Sequence[str | Column], size: int) -
 
 
 def consume_batches(
-    df: DataFrame, order_by: Sequence[str | Column], size: int, stop: Column
+    df: DataFrame, order_by: Sequence[str | By], size: int, stop: Column, unique: bool = False, rows_per_range: int = MOST
 ) -> tuple[DataFrame, DataFrame]:
     """Read in batches until one satisfies ``stop``, an aggregate over the batch's rows.
 
     The batch that asks to stop is still counted. Returns the rows read and a one-row summary:
     batches, rows, running_total, is_last, truncated.
+
+    The order is read range by range (about ``rows_per_range`` rows each): a range is sorted when it is
+    reached, so a stop leaves the rest unsorted. Rows of a batch that reaches into the next range are kept
+    for it. Rows equal in the order go by a hash of the whole row unless it is said to be ``unique``.
     """
-    rows = number_batches(df, order_by, size)
-    per_batch = rows.groupBy("batch_no").agg(F.count(F.lit(1)).alias("n"), stop.alias("_stop"))
-    first_stop = per_batch.where("_stop").agg(F.min("batch_no").alias("b")).scalar()
-    cut = F.coalesce(first_stop, F.lit(2**62))
-    taken = rows.where(F.col("batch_no") <= cut)
-    seen = F.col("batch_no") <= cut
-    summary = per_batch.agg(
-        F.count(F.when(seen, F.lit(1))).alias("batches"),
-        F.coalesce(F.sum(F.when(seen, F.col("n"))), F.lit(0)).alias("rows"),
-        F.count(F.lit(1)).alias("_all"),
-        F.max(F.when(F.col("_stop"), F.lit(1))).alias("_stopped"),
-    ).select(
-        "batches", "rows", F.col("rows").alias("running_total"),
-        ((F.col("batches") == F.col("_all")) & (F.col("_all") > 0)).alias("is_last"),
-        F.col("_stopped").isNotNull().alias("truncated"),
-    )
-    return taken, summary
+    spark, rows = df.sparkSession, Ordered(df, order_by, unique)
+    path, whole, at, batches, taken, stopped = work_path(spark, "batches"), df.count(), 0, 0, 0, False
+    rest = None
+    for low, high, n in counted(rows, max(size, rows_per_range)):
+        ranged = rows.numbered(low, high, at, "row_no").withColumn("batch_no", F.floor(F.col("row_no") / F.lit(size)).cast("bigint"))
+        ranged = ranged if rest is None else rest.unionByName(ranged)
+        at += n
+        full = -(-at // size) if at == whole else at // size
+        if full == batches:
+            rest = stored(ranged, "rest")
+            continue
+        here = ranged.where(F.col("batch_no") < full)
+        first = here.groupBy("batch_no").agg(stop.alias("_stop")).where("_stop").agg(F.min("batch_no").alias("b")).first()["b"]
+        if first is not None:
+            here, full, stopped = here.where(F.col("batch_no") <= first), first + 1, True
+        here.write.mode("append").parquet(path)
+        batches, taken = full, min(full * size, at)
+        if stopped:
+            break
+        rest = stored(ranged.where(F.col("batch_no") >= full), "rest")
+    schema = T.StructType([*df.schema.fields, T.StructField("row_no", T.LongType()), T.StructField("batch_no", T.LongType())])
+    read = spark.read.schema(schema).parquet(path) if batches else spark.createDataFrame([], schema)
+    every = -(-whole // size)
+    summary = spark.createDataFrame([(batches, taken, taken, batches == every and every > 0, stopped)],
+                                    "batches bigint, rows bigint, running_total bigint, is_last boolean, truncated boolean")
+    return read, summary
 
 
 def materialized(df: DataFrame) -> DataFrame:
@@ -112,39 +129,41 @@ def read_pages(df: DataFrame, key: str, size: int, last=None, mode: str = "keyse
         source = df if last is None else df.where(F.col(key) > F.lit(last))
         return source.orderBy(key).limit(size)
     if mode == "offset":
-        return df.orderBy(key).offset(page * size).limit(size)
+        return rows_at(df, [By(key)], page * size, size)
     raise ValueError(f"unknown page mode {mode!r}")
 
 
-def iterate_pages(df: DataFrame, key: str, size: int) -> Iterator[DataFrame]:
+def iterate_pages(df: DataFrame, key: str, size: int, rows_per_range: int = MOST) -> Iterator[DataFrame]:
     """Every row, page by page in key order, null keys first; keys may repeat.
 
-    Rows of one key stand in the order of a hash of the whole row. A page starts at the last one's edge
-    and skips what was given at it, so equal rows, which are interchangeable, are each given once. Only
-    the edge and counts come back to the driver.
+    Rows of one key stand in the order of a hash of the whole row. Each range of the order is numbered and
+    written once, when its first page is asked for; a page is a filter on one or two such ranges.
     """
-    k, tie = F.col(f"`{key}`"), "_tie"
-    rows = df.withColumn(tie, F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
-    edge, given = None, 0
-    while True:
-        source = rows
-        if edge is not None:
-            same = F.col(tie) >= F.lit(edge["t"])
-            source = rows.where((k.isNull() & same) | k.isNotNull() if edge["k"] is None else (k > F.lit(edge["k"])) | ((k == F.lit(edge["k"])) & same))
-        page = source.orderBy(k.asc_nulls_first(), tie).offset(given).limit(size)
-        at = page.groupBy(k.alias("k"), F.col(tie).alias("t")).agg(F.count(F.lit(1)).alias("n"))
-        total = at.agg(F.sum("n").alias("n")).first()["n"] or 0
-        if total:
-            yield page.drop(tie)
-        if total < size:
-            return
-        last = at.orderBy(F.desc_nulls_last("k"), F.desc("t")).first()
-        moved = edge is None or (last["k"], last["t"]) != (edge["k"], edge["t"])
-        edge, given = last, last["n"] if moved else given + last["n"]
-
-
-def order_limit(df: DataFrame, order_by: Sequence[str | Column], limit: int, skip: int = 0) -> DataFrame:
-    ordered = df.orderBy(*order_by)
+    rows, at, page, open_ = Ordered(df, [By(key)]), 0, 0, []
+    name = "_row" if "_row" not in df.columns else "_row_"
+
+    def pages(last: bool) -> Iterator[DataFrame]:
+        nonlocal page, open_
+        while (page + 1) * size <= at or (last and page * size < at):
+            low, high = page * size, (page + 1) * size
+            parts = [r.where((F.col(name) >= low) & (F.col(name) < high)) for r, a, b in open_ if a < high and b > low]
+            page += 1
+            open_ = [x for x in open_ if x[2] > page * size]
+            yield reduce(DataFrame.unionByName, parts).drop(name)
+
+    for low, high, n in counted(rows, max(size, rows_per_range)):
+        open_.append((rows.numbered(low, high, at, name), at, at + n))
+        at += n
+        yield from pages(False)
+    yield from pages(True)
+
+
+def order_limit(df: DataFrame, order_by: Sequence[str | By | Column], limit: int, skip: int = 0) -> DataFrame:
+    """The first ``limit`` rows of an order after ``skip``. Names and ``By`` columns reach any depth by
+    counted ranges; with sort expressions skip and limit rows are gathered."""
+    if skip and not any(isinstance(o, Column) for o in order_by):
+        return rows_at(df, order_by, skip, limit)
+    ordered = df.orderBy(*[o.order if isinstance(o, By) else o for o in order_by])
     return (ordered.offset(skip) if skip else ordered).limit(limit)
 
 

@@ -112,7 +112,7 @@ BATCH_SQL = """WITH n AS (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS
 
 def _batches(spark, folder):
     stop = F.sum(F.col("value").cast("decimal(18,2)")) > 51000
-    return read.consume_batches(table(spark, folder, "events").select("event_id", "value"), ["event_id"], 1000, stop)
+    return read.consume_batches(table(spark, folder, "events").select("event_id", "value"), ["event_id"], 1000, stop, unique=True)
 
 
 @G.add("s9_consume_batches", BATCH_SQL + """ SELECT count(*) AS batches, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n) AS BIGINT) AS running_total,
@@ -193,6 +193,24 @@ def l2(spark, folder):
     return read.order_limit(table(spark, folder, "orders").select("o_orderkey", "o_totalprice"), [F.desc("o_totalprice"), "o_orderkey"], 20, skip=40)
 
 
+@G.add("l2_deep_skip", "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 500 OFFSET (SELECT count(*) // 2 FROM lineitem)")
+def l2_deep(spark, folder):
+    """Half the table down: only the range around the place is sorted."""
+    rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    order = [read.By("l_extendedprice", descending=True), "l_orderkey", "l_linenumber"]
+    return read.rows_at(rows, order, rows.count() // 2, 500, most=2000)
+
+
+@G.add("s9_ranged_stop", BATCH_SQL + """ SELECT batch_no, count(*) AS n, min(event_id) AS low, max(event_id) AS high FROM
+ (SELECT row_no // 1000 AS batch_no, event_id FROM n) WHERE batch_no <= coalesce((SELECT stop_at FROM s), 1000000000000) GROUP BY 1""")
+def s9_ranged(spark, folder):
+    """Batches of 1000 rows from ranges of about 1500."""
+    stop = F.sum(F.col("value").cast("decimal(18,2)")) > 51000
+    rows = table(spark, folder, "events").select("event_id", "value")
+    taken = read.consume_batches(rows, ["event_id"], 1000, stop, unique=True, rows_per_range=1500)[0]
+    return taken.groupBy("batch_no").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("low"), F.max("event_id").alias("high"))
+
+
 @G.add("l3_latest_row", "SELECT user_id, event_type, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1")
 def l3(spark, folder):
     events = table(spark, folder, "events").select("user_id", "event_type", "event_id", "ts", "value")
