@@ -149,7 +149,7 @@ def iterate_pages(df: DataFrame, key: str, size: int, rows_per_range: int = MOST
             parts = [r.where((F.col(name) >= low) & (F.col(name) < high)) for r, a, b in open_ if a < high and b > low]
             page += 1
             open_ = [x for x in open_ if x[2] > page * size]
-            yield reduce(DataFrame.unionByName, parts).drop(name)
+            yield reduce(DataFrame.unionByName, parts).orderBy(name).drop(name)
 
     for low, high, n in counted(rows, max(size, rows_per_range)):
         open_.append((rows.numbered(low, high, at, name), at, at + n))
