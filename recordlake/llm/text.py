@@ -28,10 +28,18 @@ def widened(docs: DataFrame, added: dict[str, str]) -> tuple[DataFrame, T.Struct
 
 
 def plain(values: pa.Array | pa.ChunkedArray) -> pa.Array:
-    """One string array with 64-bit offsets, nulls read as empty texts."""
+    """One string array with 64-bit offsets from zero on, nulls read as empty texts.
+
+    A slice without nulls keeps the offsets it had in the whole array when it is cast, and
+    ``ascii_lower`` then reads other bytes; such an array is written anew.
+    """
     if isinstance(values, pa.ChunkedArray):
         values = values.combine_chunks()
-    return pc.fill_null(values.cast(pa.large_string()), "")
+    values = pc.fill_null(values.cast(pa.large_string()), "")
+    if len(values) and np.frombuffer(values.buffers()[1], np.int64, 1, 8 * values.offset)[0]:
+        body, at = raw(values)
+        values = pa.Array.from_buffers(pa.large_string(), len(at) - 1, [None, pa.py_buffer(np.ascontiguousarray(at)), pa.py_buffer(body)])
+    return values
 
 
 def release() -> None:

@@ -537,3 +537,37 @@ def test_token_at_any_place(spark, docs, rows):
     ids = np.array([*range(0, 70000, 7), 1 << 31, 5], np.uint32)
     codes = dac.Codes(dac.encode(ids))
     assert (codes.at(np.arange(len(ids))) == ids).all() and [codes[i] for i in range(0, len(ids), 97)] == ids[::97].tolist()
+
+
+@pytest.mark.parametrize("gaps", [False, True])
+def test_blocks_of_a_batch_read_as_the_whole(gaps):
+    """Words, shingles and bytes of slices, with and without nulls, are those of the texts themselves."""
+    rng = random.Random(12)
+    values = [None if gaps and rng.random() < 0.2 else " ".join(rng.choice(["Ab", "c", "É", "dEf\n", ""]) for _ in range(rng.randint(0, 30))) for _ in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(values, pa.string())], ["text"])
+    got = []
+    for block in text.blocks(iter([batch]), limit=700):
+        texts = text.plain(block.column("text"))
+        flat, at = text.words(texts)
+        parts = flat.to_pylist()
+        got += [parts[a:b] for a, b in zip(at, at[1:])]
+        body, ends = text.raw(texts)
+        assert bytes(body) == "".join(t or "" for t in block.column("text").to_pylist()).encode() and ends[0] == 0
+    assert got == [[w.decode() for w in (t or "").encode().lower().split()] for t in values]
+
+
+def test_near_copies_in_large_batches(spark):
+    """More text than a block holds: the links are those of brute force, and no others."""
+    rng = random.Random(20)
+    rows = []
+    for i in range(1500):
+        t = [f"W{rng.randint(0, 5000)}" for _ in range(700)]
+        if i % 5 == 4:
+            t = rows[-rng.randint(1, 3)][1].split(" ")
+            t[rng.randrange(700)] = "changed"
+        rows.append((i, " ".join(t)))
+    assert sum(len(t) for _, t in rows) > jaccard.BLOCK
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.near_components(docs).collect()}
+    assert got == linked_by_hand(rows)
+    assert len({c for _, c in got.values()}) < 1300
