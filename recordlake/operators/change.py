@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordlake.operators.update import WriteResult, update_partial
+from recordlake.session import stored
 
 
 def comparable(column: Column, data_type: T.DataType) -> Column:
@@ -47,6 +48,57 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
     )
 
 
+#: Buckets that keys are digested in, and rows that a bucket is meant to have.
+BUCKETS, BUCKET_ROWS = 1 << 20, 1000
+
+
+def _digested(df: DataFrame, keys: Sequence[str], columns: Sequence[str], buckets: int) -> DataFrame:
+    """Count and order-free digests of the rows of each key bucket, in one scan without a row exchanged."""
+    row = F.struct(*[comparable(F.col(f"`{c}`"), df.schema[c].dataType).alias(f"c{i}") for i, c in enumerate((*keys, *columns))])
+    # Nulls do not enter a hash of columns: the JSON text tells them from other values.
+    one = F.xxhash64(F.to_json(row, {"ignoreNullFields": "false"}))
+    two = F.xxhash64(one, F.lit(7))
+    return df.select(_bucket(keys, buckets), one.alias("one"), two.alias("two")).groupBy("_bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor("one").alias("x"), F.sum(F.col("two").cast("decimal(38,0)")).alias("s"))
+
+
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("_bucket")
+
+
+def differing(old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Sequence[str], buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows of both sides in key buckets whose digests differ; every key that differs is among them.
+
+    Both sides are digested where they lie. A bucket comes back as two numbers and a count, and only the
+    rows of buckets that differ are given: they follow the changed share, not the tables.
+    """
+    if buckets is None:
+        buckets = max(256, min(BUCKETS, new.count() // BUCKET_ROWS))
+    sides = [_digested(df, keys, columns, buckets) for df in (old, new)]
+    both = sides[0].withColumnsRenamed({c: f"_{c}" for c in ("n", "x", "s")}).join(sides[1], "_bucket", "full")
+    same = F.col("n").eqNullSafe(F.col("_n")) & F.col("x").eqNullSafe(F.col("_x")) & F.col("s").eqNullSafe(F.col("_s"))
+    apart = stored(both.where(~same).select("_bucket"), "apart")  # at most ``BUCKETS`` numbers
+    old_rows, new_rows = (df.withColumn("_bucket", _bucket(keys, buckets)).join(F.broadcast(apart), "_bucket", "left_semi").drop("_bucket") for df in (old, new))
+    return old_rows, new_rows
+
+
+def digest_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """``snapshot_diff`` that joins only the key buckets whose digests differ."""
+    shared = [f.name for f in new.schema.fields if f.name in old.columns and f.name not in keys]
+    before, after = differing(old.select(*keys, *shared), new.select(*keys, *shared), keys, shared, buckets)
+    return snapshot_diff(before, after, keys)
+
+
+def row_changes(old: DataFrame, new: DataFrame, keys: Sequence[str], buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """What a table became: its rows that are new or other than before, and the keys that are gone."""
+    columns = [c for c in new.columns if c not in keys]
+    before, after = differing(old.select(*new.columns), new, keys, columns, buckets)
+    one = F.struct(*[comparable(F.col(f"`{c}`"), new.schema[c].dataType).alias(f"c{i}") for i, c in enumerate(columns)]) if columns else F.lit(True)
+    was = before.select(*keys, one.alias("_was"), F.lit(True).alias("_there"))
+    changed = after.join(was, list(keys), "left").where(F.col("_there").isNull() | ~one.eqNullSafe(F.col("_was"))).select(*new.columns)
+    return changed, before.select(*keys).join(after.select(*keys), list(keys), "left_anti")
+
+
 def changed_params(diff: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The difference as a name-to-value map (dynamic values) holding the changed columns only."""
     names = [c for c in diff.columns if c not in keys and c != "changed"]

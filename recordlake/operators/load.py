@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from recordlake.functions.links import link_text, make_link
 from recordlake.functions.predicates import Where
 from recordlake.model import RecordSpec
-from recordlake.operators.ordering import dense_index
+from recordlake.operators.ordering import number_in_groups
 from recordlake.operators.skew import join_to_one
 from recordlake.operators.update import WriteResult
 from recordlake.session import stored
@@ -207,12 +207,12 @@ def move_records(source: DataFrame, target: DataFrame, where: Where, converts: d
 def assign_rids(
     rows: DataFrame, keys: Sequence[str], buckets: int, next_pos: dict[int, int] | None = None, rid: str = "rid"
 ) -> DataFrame:
-    """Give each row a link: bucket by key hash, position dense inside the bucket.
+    """Give each row a link: bucket by key hash, position dense inside the bucket. Rows are numbered where they lie.
 
     ``next_pos`` holds the first free position per bucket (at most ``buckets`` entries).
     """
     placed = rows.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    numbered = dense_index(placed, list(keys), ["_bucket"], "_pos")
+    numbered = number_in_groups(placed, ["_bucket"], "_pos")
     start = F.lit(0)
     for bucket, pos in sorted((next_pos or {}).items()):
         start = F.when(F.col("_bucket") == bucket, F.lit(pos)).otherwise(start)

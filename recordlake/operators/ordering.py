@@ -25,13 +25,22 @@ def dense_index(
     ``order_by`` must be a total order and group values must not be null.
     """
     keys = [*group_by, *order_by]
+    return _numbered(df.repartitionByRange(*keys).sortWithinPartitions(*keys), group_by, name, start)
+
+
+def number_in_groups(df: DataFrame, group_by: Sequence[str], name: str, start: int = 0) -> DataFrame:
+    """Number the rows of each group from ``start`` without gaps, in no particular order.
+
+    Rows stay in their partitions: each is sorted by group, counted per partition and group, and the prefix
+    sums of these counts place it. No row is exchanged. There must be few groups, which must not be null.
+    """
+    return _numbered(df.sortWithinPartitions(*group_by), group_by, name, start)
+
+
+def _numbered(ordered: DataFrame, group_by: Sequence[str], name: str, start: int) -> DataFrame:
     part, pos = "_part_no", "_part_pos"
-    placed = durable(
-        df.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .withColumn(part, F.spark_partition_id())
-        .withColumn(pos, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    )
+    placed = durable(ordered.withColumn(part, F.spark_partition_id()).withColumn(
+        pos, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
     runs = placed.groupBy(part, *group_by).agg(
         F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_first")
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from recordlake.functions.values import duration_ms_of
 from recordlake.model import TimeseriesSpec
+from recordlake.sources.ranged import Merged, RangedTable
 
 # Precision names and the unit timestamps are cut to.
 PRECISIONS = {"SECOND": "second", "MILLISECOND": "millisecond", "MICROSECOND": "microsecond", "MINUTE": "minute"}
@@ -87,3 +88,64 @@ def ts_downsample(df: DataFrame, spec: TimeseriesSpec, width: str, tie: Sequence
             F.min_by(f, order).alias(f"{f}_first"), F.max_by(f, order).alias(f"{f}_last"),
         ]
     return df.groupBy(bucket, *spec.tags).agg(*aggregates)
+
+
+# ---- rollups --------------------------------------------------------------------------------
+
+
+def ts_partials(df: DataFrame, spec: TimeseriesSpec, width: str, tie: Sequence[str] = ()) -> DataFrame:
+    """One row per interval and tag set that merges with others of it: counts, extremes, exact sums, and the
+    first and last value with their places. Tags must not be null."""
+    order = [F.col(spec.timestamp).alias("at"), *[F.col(t) for t in tie]]
+    aggregates = [F.count(F.lit(1)).alias("samples")]
+    for f in spec.fields:
+        placed = F.struct(*order, F.col(f).alias("value"))
+        aggregates += [F.min(f).alias(f"{f}_min"), F.max(f).alias(f"{f}_max"), F.sum(F.col(f).cast("decimal(28,6)")).cast("decimal(38,6)").alias(f"{f}_sum"),
+                       F.count(f).alias(f"{f}_n"), F.min(placed).alias(f"{f}_head"), F.max(placed).alias(f"{f}_tail")]
+    return df.groupBy(interval_start(F.col(spec.timestamp), width).alias("window_start"), *spec.tags).agg(*aggregates)
+
+
+def ts_widen(partials: DataFrame, spec: TimeseriesSpec, width: str) -> DataFrame:
+    """Partials of a wider interval, of which the narrower one is a divisor, from narrower ones."""
+    aggregates = [F.sum("samples").alias("samples")]
+    for f in spec.fields:
+        aggregates += [F.min(f"{f}_min").alias(f"{f}_min"), F.max(f"{f}_max").alias(f"{f}_max"), F.sum(f"{f}_sum").cast("decimal(38,6)").alias(f"{f}_sum"),
+                       F.sum(f"{f}_n").alias(f"{f}_n"), F.min(f"{f}_head").alias(f"{f}_head"), F.max(f"{f}_tail").alias(f"{f}_tail")]
+    return partials.groupBy(interval_start(F.col("window_start"), width).alias("window_start"), *spec.tags).agg(*aggregates)
+
+
+def ts_finish(partials: DataFrame, spec: TimeseriesSpec) -> DataFrame:
+    """The rows of ``ts_downsample`` from partials."""
+    out = [F.col("window_start"), *[F.col(t) for t in spec.tags], F.col("samples")]
+    for f in spec.fields:
+        out += [F.col(f"{f}_min"), F.col(f"{f}_max"), (F.col(f"{f}_sum").cast("double") / F.col(f"{f}_n")).alias(f"{f}_avg"),
+                F.col(f"{f}_head.value").alias(f"{f}_first"), F.col(f"{f}_tail.value").alias(f"{f}_last")]
+    return partials.select(*out)
+
+
+class Rollup:
+    """Stored partials of one interval width, in order of interval and tags.
+
+    ``add`` merges new samples, late ones too, into their intervals and writes anew only files that hold
+    one of them. Samples must be added once; a stream of them goes through ``streaming.ingest`` first.
+    ``read`` gives any wider interval without a look at the samples.
+    """
+
+    def __init__(self, spark, root: str, spec: TimeseriesSpec, width: str, tie: Sequence[str], samples: DataFrame, rows_per_file: int = 1_000_000):
+        """``samples`` gives the types; none of its rows is read."""
+        self.spec, self.width, self.tie = spec, width, list(tie)
+        schema = ts_partials(samples.limit(0), spec, width, tie).schema
+        self.table = RangedTable(spark, root, ["window_start", *spec.tags], schema, rows_per_file)
+
+    def add(self, samples: DataFrame) -> Merged:
+        changes = {"samples": F.col("samples") + F.col("_new.samples")}
+        for f in self.spec.fields:
+            for name, merged in (("min", F.least), ("head", F.least), ("max", F.greatest), ("tail", F.greatest)):
+                changes[f"{f}_{name}"] = merged(F.col(f"{f}_{name}"), F.col(f"_new.{f}_{name}"))
+            changes[f"{f}_sum"] = F.coalesce(F.col(f"{f}_sum") + F.col(f"_new.{f}_sum"), f"{f}_sum", f"_new.{f}_sum").cast("decimal(38,6)")
+            changes[f"{f}_n"] = F.col(f"{f}_n") + F.col(f"_new.{f}_n")
+        return self.table.merge(ts_partials(samples, self.spec, self.width, self.tie), changes)
+
+    def read(self, width: str | None = None) -> DataFrame:
+        partials = self.table.read()
+        return ts_finish(partials if width is None else ts_widen(partials, self.spec, width), self.spec)

@@ -8,13 +8,17 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordlake.operators.change import row_changes
 from recordlake.operators.load import bulk_load
 from recordlake.operators.ordering import dense_index
 from recordlake.operators.skew import join_to_one
 from recordlake.operators.update import WriteResult, one_of_each
+from recordlake.session import stored
 from recordlake.sources import snapshots
 
 
+#: Copies start at the next multiple, out of the way of versions written meanwhile.
+GENERATION = 1000
 REPORT = "source_rows bigint, target_rows bigint, missing_keys bigint, verified boolean"
 
 
@@ -47,6 +51,12 @@ def rebuild(
     The old version stays readable throughout; a copy that fails verification is never published. A
     finished copy of the same ``label`` is not repeated. Returns the verification row, which is kept
     with the marker of a finished copy.
+
+    With ``keys`` (unique, and kept by ``convert``, which then must work row by row), versions that others
+    publish while the copy runs are caught up with: what they changed since the version copied is
+    converted, replaces its rows of the copy, and the keys that are gone leave it. This is repeated
+    until nothing new was published. Copies are numbered from the next thousand on, so that they never meet
+    a writer's next version. Without keys a version published meanwhile fails the rebuild.
     """
     done = f"{root}/DONE-{label}"
     version = snapshots.current_version(spark, root)
@@ -64,11 +74,20 @@ def rebuild(
             target = spark.read.parquet(snapshots.version_path(root, copied))
             return verify_copy(target.count(), target)
         return spark.createDataFrame([tuple(verified.values())], REPORT)
-    source = snapshots.read_current(spark, root)
-    before = source.count()
-    copied = snapshots.stage(convert(source), root)
-    target = spark.read.parquet(snapshots.version_path(root, copied))
-    report = verify_copy(before, target, source, keys)
+    source = spark.read.parquet(snapshots.version_path(root, version))
+    copied = (version // GENERATION + 1) * GENERATION
+    target = _copy(spark, convert(source), root, copied)
+    while (latest := snapshots.current_version(spark, root)) != version:
+        if not keys:
+            raise CopyMismatch(f"version {latest} was published while version {version} was copied, and there are no keys to catch up by")
+        now = spark.read.parquet(snapshots.version_path(root, latest))
+        changed, gone = row_changes(source, now, keys)
+        changed, gone = stored(changed, "changed"), stored(gone, "gone")
+        kept = target.join(changed.select(*keys).unionByName(gone), list(keys), "left_anti")
+        copied += 1
+        target = _copy(spark, kept.unionByName(convert(changed)), root, copied)
+        version, source = latest, now
+    report = verify_copy(source.count(), target, source, keys)
     row = report.first()
     if not row["verified"]:
         raise CopyMismatch(f"copied {row['target_rows']} of {row['source_rows']} rows, {row['missing_keys']} keys missing")
@@ -77,6 +96,12 @@ def rebuild(
     return report
 
 
+def _copy(spark: SparkSession, rows: DataFrame, root: str, version: int) -> DataFrame:
+    path = snapshots.version_path(root, version)
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def seed(base: DataFrame, rows: DataFrame, keys: Sequence[str], order: str | None = None) -> WriteResult:
     """Merge reference rows in on every run; a second run changes nothing.
 

@@ -171,6 +171,26 @@ def r1(spark, folder):
     return snapshots.read_current(spark, root)
 
 
+@G.add("r1_rebuild_catch_up", """SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 1 THEN 'late' ELSE lower(o_orderstatus) END AS o_orderstatus, CAST(o_totalprice AS DECIMAL(14,2)) AS o_totalprice
+ FROM orders WHERE o_orderkey % 50 <> 0 UNION ALL SELECT o_orderkey + 1000000000, lower(o_orderstatus), CAST(o_totalprice AS DECIMAL(14,2)) FROM orders WHERE o_orderkey % 50 = 2""")
+def r1_catch_up(spark, folder):
+    """While the copy runs, a writer publishes a version with changed, removed and new orders."""
+    root = work_path(spark, "orders")
+    first = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    snapshots.commit(first, root)
+    key, written = F.col("o_orderkey"), []
+
+    def convert(df):
+        if not written:
+            written.append(True)
+            changed = first.where(key % 50 != 0).withColumn("o_orderstatus", F.when(key % 50 == 1, F.lit("LATE")).otherwise(F.col("o_orderstatus")))
+            snapshots.commit(changed.unionByName(first.where(key % 50 == 2).withColumn("o_orderkey", key + 1000000000)), root)
+        return _convert(df)
+
+    plans.rebuild(spark, root, convert, ["o_orderkey"])
+    return snapshots.read_current(spark, root)
+
+
 @G.add("r2_verify_copy", "SELECT count(*) AS source_rows, count(*) AS target_rows, CAST(0 AS BIGINT) AS missing_keys, true AS verified FROM orders")
 def r2(spark, folder):
     return _rebuilt(spark, folder)[1]

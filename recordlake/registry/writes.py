@@ -362,6 +362,12 @@ def c1(spark, folder):
     return _diff(spark, folder).withColumn("changed", F.array_join("changed", ","))
 
 
+@G.add("c1_digest_diff", f"SELECT * FROM ({DIFF_SQL}) WHERE changed <> ''")
+def c1_digest(spark, folder):
+    """The same changes, of which only the key buckets that differ are joined."""
+    return change.digest_diff(orders(spark, folder), new_orders(spark, folder), ["o_orderkey"]).withColumn("changed", F.array_join("changed", ","))
+
+
 @G.add("c2_changed_params", f"SELECT o_orderkey, unnest(string_split(changed, ',')) AS name, unnest(list_transform(string_split(changed, ','), lambda c: CASE c WHEN 'o_orderstatus' THEN o_orderstatus ELSE o_orderpriority END)) AS value FROM ({DIFF_SQL}) WHERE changed <> ''")
 def c2(spark, folder):
     params = change.changed_params(_diff(spark, folder), ["o_orderkey"])
