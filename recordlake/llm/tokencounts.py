@@ -28,6 +28,7 @@ from recordlake.llm.tokens import odd, units
 #: Bounds of what a worker remembers: counts of units, and pairs of tokens.
 UNITS = 600_000
 PAIRS = 500_000
+TABLES = 100_000
 NEVER = 1 << 60
 
 
@@ -68,7 +69,8 @@ class PrefixCounter:
         self.endings = {t[k:] for t in self.token for k in range(len(t))}
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.cut = regex.compile("|".join(f"({regex.escape(t)})" for t in self.special)) if self.special else None
-        self.letters = regex.compile(r" ?\p{L}+")
+        self.short, self.space = regex.compile("'(?:[stmd]|re|ve|ll)"), regex.compile(r"\s+")
+        self.tables: dict[str, list[int]] = {}
         self.fits: dict[int, bool] = {}
         self.known: dict[str, int] = {}
 
@@ -140,16 +142,68 @@ class PrefixCounter:
                 self.known[text] = found
         return found
 
-    def prefixes(self, unit: str) -> list[int]:
-        """Token counts of all prefixes of a unit, character by character."""
-        if self.letters.fullmatch(unit):  # one piece, and so is each of its prefixes
-            counts, at, out = self.table(unit.encode()), 0, [0]
-            for c in unit:
+    def prefixes(self, text: str) -> list[int]:
+        """Token counts of all prefixes of a text, character by character, in one pass over its pieces."""
+        out, before, tail, at_tail = [0], 0, "", 0
+        for section in self.cut.split(text) if self.cut else [text]:
+            if section is None or section == "":
+                continue
+            if section in self.special:
+                # A part of a special token's text is plain text that goes on from the last piece.
+                out += [at_tail + self._plain(tail + section[:j]) for j in range(1, len(section))]
+                before += 1
+                out.append(before)
+                tail, at_tail = "", before
+                continue
+            counts, start, at_start = self._section(section)
+            out += [before + n for n in counts[1:]]
+            tail, at_tail = section[start:], before + at_start
+            before += counts[-1]
+        return out
+
+    def _plain(self, text: str) -> int:
+        return sum(self._by_char(p)[-1] for p in self.pattern.findall(text))
+
+    def _by_char(self, piece: str) -> list[int]:
+        """The table of a piece at the ends of its characters; those of short pieces are remembered."""
+        found = self.tables.get(piece)
+        if found is None:
+            counts = self.table(piece.encode())
+            at, found = 0, [0]
+            for c in piece:
                 at += len(c.encode())
-                out.append(counts[at])
-            return out
-        return [self.count(unit[:i]) for i in range(len(unit) + 1)]
+                found.append(counts[at])
+            if len(piece) < 40 and len(self.tables) < TABLES:
+                self.tables[piece] = found
+        return found
 
+    def _section(self, s: str) -> tuple[list[int], int, int]:
+        """Counts of all prefixes of a text without special tokens; where its last pieces start, and the count there.
+
+        A prefix is cut into the pieces of the whole text but for its last one. Of a run of letters,
+        numbers or marks, a part is such a run too. White space that a prefix ends with is one piece,
+        whatever follows takes from it; and of a contraction a part is cut anew.
+        """
+        counts, total, run, start = [0] * (len(s) + 1), 0, None, (0, 0)
+        for m in self.pattern.finditer(s):
+            a, b = m.span()
+            piece = m.group()
+            white = self.space.fullmatch(piece) is not None
+            if self.short.fullmatch(piece):
+                here = [self._plain(s[a:a + i]) for i in range(b - a + 1)]
+            else:
+                here = self._by_char(piece)
+            counts[a + 1:b + 1] = [total + n for n in here[1:]]
+            if run is None or not self.space.fullmatch(piece[0]):
+                start = (a, total)
+            else:
+                counts[a + 1] = run
+            if white and run is None and b < len(s) and self.space.fullmatch(s[b]):
+                run = total + self._by_char(s[a:b + 1])[-1]
+            elif not white:
+                run = None
+            total += here[-1]
+        return counts, *start
 
 @lru_cache(maxsize=2)
 def counter(path: str) -> PrefixCounter:

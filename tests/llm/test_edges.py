@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -571,3 +572,29 @@ def test_near_copies_in_large_batches(spark):
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.near_components(docs).collect()}
     assert got == linked_by_hand(rows)
     assert len({c for _, c in got.values()}) < 1300
+
+
+def test_prefixes_of_any_text():
+    """Every prefix against the library: no-break spaces, runs of white space, contractions, parts of special texts."""
+    rng = random.Random(31)
+    tok, counter = tokens.tokenizer(BPE), tokencounts.counter(BPE)
+    parts = [" ", "  ", "\n", " \n ", "\t", "'", "'re", "'ll", "n't", "word", " Lorem", "é", "東京", "😀", "123", " 45", "!!", " ...", " ", "\x85",
+             "<|endoftext|>", "<|endof", "x" * 30, " " * 9, " 'd"]
+    for _ in range(150):
+        t = "".join(rng.choice(parts) for _ in range(rng.randint(0, 9)))
+        want = [len(tok.encode(t[:i], add_special_tokens=False).ids) for i in range(len(t) + 1)]
+        assert counter.prefixes(t) == want == tokencounts.prefix_counts(t, BPE), repr(t)
+
+
+def test_long_odd_text_is_cut_in_time(spark):
+    rng = random.Random(1)
+    t = " ".join(" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9))) for _ in range(2000)) for _ in range(30))
+    start = time.process_time()
+    counts = tokencounts.counter(BPE).prefixes(t)
+    assert time.process_time() - start < 20 and len(counts) == len(t) + 1
+    tok = tokens.tokenizer(BPE)
+    assert counts[-1] == len(tok.encode(t, add_special_tokens=False).ids)
+    for i in rng.sample(range(20_000), 5):
+        assert counts[i] == len(tok.encode(t[:i], add_special_tokens=False).ids)
+    row = tokencounts.truncate(spark.createDataFrame([(1, t)], "doc_id long, text string"), BPE, 512).first()
+    assert row["cut_tokens"] == counts[row["cut_chars"]] == 512 and min(counts[row["cut_chars"] + 1:]) > 512
