@@ -56,6 +56,8 @@ def bulk_load(
     asked = incoming.where(~_has_null(keys)).select(*keys).distinct()
     known = base.select(*keys).join(asked, keys, "left_semi").distinct().withColumn("_stored", F.lit(True))
     marked = _mark_rows(incoming, known, keys, row_index)
+    if mode == "ABORT":  # read by the count of conflicts, by the rows and by the outcome
+        marked = stored(marked, "marked")
     outcome = _outcome(marked, keys, mode, row_index)
     if validate_only:
         return WriteResult(base, outcome)

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordlake.operators.ordering import dense_index
-from recordlake.session import stored
 
 #: Ranges that a range is cut into, keys sampled for each, and rows that need no further cut.
 PARTS = 32
@@ -110,8 +109,8 @@ class Ordered:
         return self.between(low, high).orderBy(*[b.order for b in self.by])
 
     def numbered(self, low: Bound | None, high: Bound | None, start: int, name: str) -> DataFrame:
-        """The rows of a range with their numbers in the whole order, written once."""
-        return stored(dense_index(self.between(low, high), [b.order for b in self.by], name=name, start=start).select(*self.columns, name), "range")
+        """The rows of a range with their numbers in the whole order, sorted and written once."""
+        return dense_index(self.between(low, high), [b.order for b in self.by], name=name, start=start).select(*self.columns, name)
 
 
 def rows_at(df: DataFrame, order: Sequence[str | By], skip: int, limit: int, unique: bool = False, most: int = MOST) -> DataFrame:

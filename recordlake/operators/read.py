@@ -20,7 +20,8 @@ from recordlake.session import stored, work_path
 def lookup_by_key(df: DataFrame, keys: DataFrame | dict, columns: Sequence[str] = (), order: str | None = None) -> DataFrame:
     """Rows equal on a key. A dict asks for one key; a frame of keys gets one row per key.
 
-    ``order`` names the column whose smallest value picks the row when a key has several.
+    ``order`` names the column whose smallest value picks the row when a key has several. Without it the
+    smallest row does, or where rows hold maps or VARIANT, which have no order, the one of the smallest hash.
     """
     if isinstance(keys, dict):
         if not keys:
@@ -35,7 +36,12 @@ def lookup_by_key(df: DataFrame, keys: DataFrame | dict, columns: Sequence[str]
     wanted = keys.select(*columns).distinct()
     rest = [c for c in df.columns if c not in columns]
     matching = join_to_one(df, wanted, columns, "left_semi")
-    pick = F.min_by(F.struct(*rest), F.col(order)) if order else F.min(F.struct(*rest))
+    if order:
+        pick = F.min_by(F.struct(*rest), F.col(order))
+    elif any(word in df.select(*rest).schema.simpleString() for word in ("map<", "variant")):
+        pick = F.min_by(F.struct(*rest), F.xxhash64(F.to_json(F.struct(*rest))))
+    else:
+        pick = F.min(F.struct(*rest))
     best = matching.groupBy(*columns).agg(pick.alias("_row"), F.lit(True).alias("found"))
     return wanted.join(best, list(columns), "left").select(
         *columns, "_row.*", F.coalesce("found", F.lit(False)).alias("found")

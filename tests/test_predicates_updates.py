@@ -188,3 +188,10 @@ def test_time_limit_ends_with_its_action(spark):
         within_time(spark, 1_000, endless.collect)
     assert spark.range(5).count() == 5
     assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None
+
+
+def test_lookup_picks_a_row_with_maps(spark):
+    df = spark.sql("select 1 as k, map('a', 1) as m, parse_json('{\"x\": 1}') as v union all select 1, map('b', 2), parse_json('2') union all select 2, null, null")
+    keys = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    got = {r["k"]: r for r in read.lookup_by_key(df, keys, ["k"]).select("k", "m", "found").collect()}
+    assert got[1]["m"] in ({"a": 1}, {"b": 2}) and got[2]["found"] and got[2]["m"] is None and not got[3]["found"]
