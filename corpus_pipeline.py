@@ -42,12 +42,17 @@ def _apart(stage):
     @functools.wraps(stage)
     def run_apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         names = {c: f"given_{i}" for i, c in enumerate(c for c in docs.columns if c not in COLUMNS)}
-        out = stage(spark, docs.withColumnsRenamed(names), sf_dir)
-        return out.withColumnsRenamed({b: a for a, b in names.items()})
+        out = stage(spark, _named(docs, names), sf_dir)
+        return _named(out, {b: a for a, b in names.items()})
 
     return run_apart
 
 
+def _named(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """All columns, renamed at once."""
+    return df.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in df.columns])
+
+
 @_apart
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is in one of the learned languages; a null text goes, as ``und``."""
