@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from recordlake.llm import leaks, tokens
@@ -62,3 +63,18 @@ def test_stages_on_odd_and_no_documents(spark):
 
 def test_run(spark):
     assert pipeline.run(spark, FOLDER).count() > 100
+
+
+def test_given_columns_of_any_name_pass_through(spark):
+    names = ["score", "size", "leaks", "lang_pred", "component_id", "taken", "target", "given_0", "_words"]
+    docs = frame(spark, corpus(n=40))
+    plain = docs
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{i}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    for _, stage in pipeline.STAGES[:4]:
+        docs, plain = stage(spark, docs, FOLDER).cache(), stage(spark, plain, FOLDER).cache()
+        assert docs.columns == [*plain.columns, *names]
+        rows = docs.collect()
+        assert all(r[name] == f"{i}:{'none' if r['doc_id'] is None else r['doc_id']}" for r in rows for i, name in enumerate(names))
+        key = lambda r: tuple(map(str, r))
+        assert sorted(map(key, docs.select(*plain.columns).collect())) == sorted(map(key, plain.collect()))
