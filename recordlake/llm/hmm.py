@@ -242,6 +242,7 @@ def expected(flat: np.ndarray, at: np.ndarray, model: Model) -> tuple[np.ndarray
     owner = np.repeat(np.arange(len(sizes)), pieces)
     begin = at[:-1][owner] + (np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * WINDOW
     length = np.minimum(WINDOW, at[1:][owner] - begin)
+    begins = begin == at[:-1][owner]
     order = np.argsort(-length, kind="stable")
     emit = np.ascontiguousarray(model.emit.T)
     for i in range(0, len(order), BATCH):
@@ -263,7 +264,8 @@ def expected(flat: np.ndarray, at: np.ndarray, model: Model) -> tuple[np.ndarray
                 move += alphas[t - 1][:k].T @ ahead
                 beta = np.ones((live[t - 1], s))
                 beta[:k] = ahead @ model.move.T
-        start += gammas[0].sum(axis=0)
+        # Only the window a text starts with tells how texts start.
+        start += gammas[0][begins[order[i:i + BATCH]]].sum(axis=0)
         sym, gamma = np.concatenate(syms), np.concatenate(gammas)
         for j in range(s):
             emit_n[:, j] += np.bincount(sym, weights=gamma[:, j], minlength=m)

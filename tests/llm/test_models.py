@@ -93,3 +93,14 @@ def test_language_by_plain_loops():
         top = max(range(3), key=lambda c: mean[c])
         share = math.exp(mean[top]) / sum(math.exp(x) for x in mean)
         assert p == net.langs[top] and abs(s - share) < 1e-4
+
+
+def test_only_starts_of_texts_count_as_starts():
+    rng = np.random.default_rng(6)
+    sizes = [1, 700, 256, 257, 3]
+    flat, at = rng.integers(0, 5, sum(sizes)).astype(np.uint16), np.concatenate([[0], np.cumsum(sizes)])
+    norm = lambda x: x / x.sum(axis=-1, keepdims=True)
+    model = hmm.Model(norm(rng.random(3)), norm(rng.random((3, 3))), norm(rng.random((3, 5))), np.zeros(0, np.uint64))
+    start, move, emit = hmm.expected(flat, at, model)
+    pieces = sum(-(-s // hmm.WINDOW) for s in sizes)
+    assert math.isclose(start.sum(), len(sizes)) and math.isclose(move.sum(), sum(sizes) - pieces) and math.isclose(emit.sum(), sum(sizes))
