@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,6 @@ from recordlake.session import stored
 from recordlake.sources import snapshots
 
 
-#: Copies start at the next multiple, out of the way of versions written meanwhile.
-GENERATION = 1000
 REPORT = "source_rows bigint, target_rows bigint, missing_keys bigint, verified boolean"
 
 
@@ -55,8 +54,8 @@ def rebuild(
     With ``keys`` (unique, and kept by ``convert``, which then must work row by row), versions that others
     publish while the copy runs are caught up with: what they changed since the version copied is
     converted, replaces its rows of the copy, and the keys that are gone leave it. This is repeated
-    until nothing new was published. Copies are numbered from the next thousand on, so that they never meet
-    a writer's next version. Without keys a version published meanwhile fails the rebuild.
+    until nothing new was published. A copy lies beside the versions until it is whole, and becomes the first free
+    one then, so that it never meets a writer's. Without keys a version published meanwhile fails the rebuild.
     """
     done = f"{root}/DONE-{label}"
     version = snapshots.current_version(spark, root)
@@ -75,8 +74,8 @@ def rebuild(
             return verify_copy(target.count(), target)
         return spark.createDataFrame([tuple(verified.values())], REPORT)
     source = spark.read.parquet(snapshots.version_path(root, version))
-    copied = (version // GENERATION + 1) * GENERATION
-    target = _copy(spark, convert(source), root, copied)
+    beside = f"{root}/copy-{label}-{uuid.uuid4().hex}"
+    target, copies = _copy(spark, convert(source), f"{beside}/0"), 1
     while (latest := snapshots.current_version(spark, root)) != version:
         if not keys:
             raise CopyMismatch(f"version {latest} was published while version {version} was copied, and there are no keys to catch up by")
@@ -84,20 +83,24 @@ def rebuild(
         changed, gone = row_changes(source, now, keys)
         changed, gone = stored(changed, "changed"), stored(gone, "gone")
         kept = target.join(changed.select(*keys).unionByName(gone), list(keys), "left_anti")
-        copied += 1
-        target = _copy(spark, kept.unionByName(convert(changed)), root, copied)
+        target, copies = _copy(spark, kept.unionByName(convert(changed)), f"{beside}/{copies}"), copies + 1
         version, source = latest, now
     report = verify_copy(source.count(), target, source, keys)
     row = report.first()
     if not row["verified"]:
+        snapshots.remove(spark, beside)
         raise CopyMismatch(f"copied {row['target_rows']} of {row['source_rows']} rows, {row['missing_keys']} keys missing")
+    copied = version + 1
+    while snapshots.exists(spark, snapshots.version_path(root, copied)):
+        copied += 1
+    snapshots.move(spark, f"{beside}/{copies - 1}", snapshots.version_path(root, copied))
+    snapshots.remove(spark, beside)
     snapshots.write_text(spark, done, json.dumps({"version": copied, **row.asDict()}))
     snapshots.publish(spark, root, copied)
-    return report
+    return spark.createDataFrame([tuple(row)], REPORT)
 
 
-def _copy(spark: SparkSession, rows: DataFrame, root: str, version: int) -> DataFrame:
-    path = snapshots.version_path(root, version)
+def _copy(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
     rows.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

@@ -25,6 +25,13 @@ def folders(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().getParent().toString() for s in found)
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder; the target must not be there."""
+    fs, path_of = _fs(spark, path)
+    if not fs.rename(path_of(path), path_of(target)):
+        raise OSError(f"cannot rename {path} to {target}")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, path_of = _fs(spark, path)
     fs.delete(path_of(path), True)
