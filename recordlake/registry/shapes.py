@@ -176,7 +176,7 @@ def p10_soft(spark, folder):
 
 
 # ---- decode ---------------------------------------------------------------------------------
-BODY = RecordSpec("body", (FieldSpec("k", Scalar("i8")), FieldSpec("user", Scalar("u16"), optional=True), FieldSpec("score", Scalar("f64"), default=0.0)))
+BODY = RecordSpec("body", (FieldSpec("k", Scalar("i8")), FieldSpec("user", Scalar("i32"), optional=True), FieldSpec("score", Scalar("f64"), default=0.0)))
 KIND = "CASE WHEN event_type = 'click' THEN 'int32' WHEN event_type = 'signup' THEN 'null' ELSE 'string' END"
 
 
