@@ -24,6 +24,6 @@ def con(large):
     return con
 
 
-@pytest.mark.parametrize("name", ["d1_decode_bad", "d1_decode_good"])
+@pytest.mark.parametrize("name", ["d1_decode_bad", "d1_decode_good", "x5_stream_decode"])
 def test_users_past_16_bits(spark, large, con, name):
     assert compare(spark, con, large, entry.queries()[name], entry.oracle_sql()[name]) is None
