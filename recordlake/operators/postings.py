@@ -3,7 +3,7 @@
 Records are put into *ranges* of about ``RANGE`` records of similar size (length of a text, largest weight
 of a vector), so that ranges differ in what they can score. A block holds one term's postings in one range,
 with the largest and smallest weight in it. The blocks lie in folders by a hash of the term, sorted by term
-and range: a query opens its terms' folders only, and Parquet's statistics skip the other terms in them.
+and range: a build adds up equal terms inside each record and exchanges what is left once; a query opens its terms' folders only, and Parquet's statistics skip the other terms in them.
 
 A query first reads, of its terms' blocks, the numbers alone. What the terms' largest weights come to in a
 range bounds every record there. The few ranges with the highest bounds are scored; then those whose bound
@@ -17,6 +17,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordlake.functions.values import let
 from recordlake.operators.search import BM25_B, BM25_K1, tokens, top
 from recordlake.session import stored
 
@@ -24,6 +25,8 @@ RANGE = 4096
 FOLDERS = 64
 #: Ranges that are scored before any is left out.
 FIRST = 4
+#: Entries of the ranges whose blocks are written together, a file per folder.
+ZONE = 1 << 24
 #: Size classes a factor of two is divided into, and the most on each side of size 1.
 STEPS, MOST_CLASSES = 8, 400
 
@@ -35,28 +38,34 @@ class Postings:
         self.spark, self.root, self.report = spark, root, {}
 
     @classmethod
-    def build(cls, records: DataFrame, entries: DataFrame, root: str, id_col: str, range_rows: int = RANGE) -> Postings:
-        """``records`` (id, ``size``) has every record once, ``entries`` (id, ``term``, ``weight``) what it holds; equal terms of a record add up.
+    def build(cls, records: DataFrame, root: str, id_col: str, range_rows: int = RANGE) -> Postings:
+        """``records`` (id, ``size``, ``held``, ``entries``) has every record once, with its ``held`` different terms
+        as ``entries``, an array of (``term``, ``weight``). It is read twice.
 
-        The driver gets one count per size class.
+        The driver gets two counts per size class. A record's range follows from them and from its own row, so its
+        entries are brought to their places in one exchange: by folder and *zone*, which is as many ranges
+        as hold about ``ZONE`` entries.
         """
         size_class = F.greatest(F.lit(-MOST_CLASSES), F.least(F.lit(MOST_CLASSES), F.coalesce(F.floor(F.log2(F.col("size")) * STEPS), F.lit(-MOST_CLASSES)))).cast("int")
-        classed = records.select(id_col, size_class.alias("class"))
-        counts = sorted((r["class"], r["count"]) for r in classed.groupBy("class").count().collect())
-        first, places = 0, []
-        for c, n in counts:
+        classed = records.withColumn("class", size_class)
+        counts = classed.groupBy("class").agg(F.count(F.lit(1)).alias("n"), F.sum("held").alias("held")).collect()
+        first, before, places = 0, 0, []
+        for c, n, held in sorted((r["class"], r["n"], r["held"] or 0) for r in counts):
             many = -(-n // range_rows)
-            places.append((c, first, many))
-            first += many
-        spot = F.create_map(*[x for c, at, many in places for x in (F.lit(c), F.struct(F.lit(at).alias("at"), F.lit(many).alias("many")))]) if places else None
-        ranges = classed.limit(0).select(id_col, F.lit(0).alias("range")) if spot is None else classed.withColumn("p", spot[F.col("class")]).select(
-            id_col, (F.col("p.at") + F.pmod(F.xxhash64(id_col), F.col("p.many"))).cast("int").alias("range"))
-        each = entries.where("term IS NOT NULL AND weight IS NOT NULL").groupBy(id_col, "term").agg(F.sum("weight").alias("weight"))
-        blocks = each.join(ranges, id_col).groupBy("range", "term").agg(
-            F.collect_list(F.struct(F.col(id_col).alias("id"), "weight")).alias("posts"), F.max("weight").alias("most"), F.min("weight").alias("least"),
+            places.append((c, first, many, before, held))
+            first, before = first + many, before + held
+        spot = F.create_map(*[x for c, at, many, start, held in places for x in (F.lit(c), F.struct(
+            F.lit(at).alias("at"), F.lit(many).alias("many"), F.lit(start).cast("long").alias("start"), F.lit(held).cast("long").alias("held")))]) if places else F.lit(
+                None).cast("map<int,struct<at:int,many:int,start:long,held:long>>")
+        placed = classed.select(id_col, "entries", spot[F.col("class")].alias("p")).withColumn("i", F.pmod(F.xxhash64(id_col), F.col("p.many")))
+        each = placed.select(
+            F.col(id_col).alias("id"), (F.col("p.at") + F.col("i")).cast("int").alias("range"),
+            F.floor((F.col("p.start") + F.col("p.held") * F.col("i") / F.col("p.many")) / ZONE).cast("int").alias("zone"), F.explode("entries").alias("e"))
+        each = each.select("id", "range", "zone", "e.*").withColumn("folder", _folder(F.col("term")))
+        blocks = each.repartition("folder", "zone").groupBy("folder", "zone", "term", "range").agg(
+            F.collect_list(F.struct("id", "weight")).alias("posts"), F.max("weight").alias("most"), F.min("weight").alias("least"),
             F.count(F.lit(1)).alias("n"))  # at most about ``range_rows`` records
-        order = ["folder", "term", "range"]
-        blocks.withColumn("folder", _folder(F.col("term"))).repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("folder").parquet(f"{root}/blocks")
+        blocks.drop("zone").sortWithinPartitions("folder", "term", "range").write.partitionBy("folder").parquet(f"{root}/blocks")
         records.select(id_col).limit(0).write.parquet(f"{root}/ids")  # the type of ids, also of an empty index
         return cls(records.sparkSession, root)
 
@@ -104,6 +113,24 @@ class Postings:
         return posts.groupBy(id_col).agg(F.round(total, 6).alias("score"))
 
 
+def _runs(ordered: Column, term, weight) -> Column:
+    """(``term``, ``weight``) of each run of equal terms in an array in their order; ``weight`` is given a function
+    that gives the run's items, and their number."""
+
+    def runs(items: Column, starts: Column) -> Column:
+        def one(at: Column, i: Column) -> Column:
+            n = F.coalesce(F.get(starts, i + 1), F.size(items)) - at
+            return F.struct(term(F.get(items, at)).alias("term"), weight(lambda: F.slice(items, at + 1, n), n).alias("weight"))
+
+        return F.transform(starts, one)
+
+    def places(items: Column) -> Column:
+        every = F.when(F.size(items) > 0, F.sequence(F.lit(0), F.size(items) - 1))
+        return F.filter(every, lambda i: (i == 0) | (term(F.get(items, i)) != term(F.get(items, i - 1))))
+
+    return let(ordered, lambda items: let(places(items), lambda starts: runs(items, starts)))
+
+
 def _folder(term: Column) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(FOLDERS)).cast("int")
 
@@ -121,13 +148,17 @@ class TextIndex:
 
     @classmethod
     def build(cls, docs: DataFrame, root: str, id_col: str = "doc_id", text_col: str = "text", range_rows: int = RANGE) -> TextIndex:
-        split = stored(docs.select(id_col, tokens(F.col(text_col)).alias("t")).select(id_col, F.size("t").alias("len"), "t"), "split")
+        words = F.array_sort(tokens(F.col(text_col)))
+        split = stored(docs.select(id_col, F.size(words).alias("len"), _runs(words, lambda w: w, lambda _, n: n).alias("t")), "split")
         stats = split.agg(F.count(F.lit(1)).alias("n"), (F.sum("len") / F.count(F.lit(1))).alias("mean"))
         stats.write.parquet(f"{root}/stats")
         mean = docs.sparkSession.read.parquet(f"{root}/stats").first()["mean"] or 1.0
-        counted = split.select(id_col, "len", F.explode("t").alias("term")).groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"), F.max("len").alias("len"))
-        impact = F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("len") / F.lit(mean)))
-        Postings.build(split.select(id_col, F.col("len").cast("double").alias("size")), counted.select(id_col, "term", impact.alias("weight")), root, id_col, range_rows)
+
+        def impact(tf: Column) -> Column:
+            return tf * (BM25_K1 + 1) / (tf + BM25_K1 * (1 - BM25_B + BM25_B * F.col("len") / F.lit(mean)))
+
+        entries = F.transform("t", lambda e: F.struct(e["term"].alias("term"), impact(e["weight"]).alias("weight")))
+        Postings.build(split.select(id_col, F.col("len").cast("double").alias("size"), F.size("t").alias("held"), entries.alias("entries")), root, id_col, range_rows)
         return cls(docs.sparkSession, root, id_col)
 
     def search(self, query: Sequence[str], k: int) -> DataFrame:
@@ -148,9 +179,12 @@ class SparseIndex:
     @classmethod
     def build(cls, vectors: DataFrame, root: str, id_col: str = "rid", tokens_col: str = "tokens", weights_col: str = "weights", range_rows: int = RANGE) -> SparseIndex:
         """Ranges go by the largest weight, so that blocks of heavy entries stand together."""
-        given = stored(vectors.select(id_col, F.col(tokens_col).alias("t"), F.col(weights_col).cast("array<double>").alias("w")), "vectors")
-        entries = given.select(id_col, F.explode(F.arrays_zip(F.col("t"), F.col("w"))).alias("e")).select(id_col, F.col("e.t").alias("term"), F.col("e.w").alias("weight"))
-        Postings.build(given.select(id_col, F.array_max(F.transform("w", F.abs)).alias("size")), entries, root, id_col, range_rows)
+        weights = F.col(weights_col).cast("array<double>")
+        pairs = F.transform(F.arrays_zip(F.col(tokens_col).alias("t"), weights.alias("w")), lambda e: F.struct(e["t"].alias("term"), e["w"].alias("weight")))
+        known = F.sort_array(F.filter(pairs, lambda e: e["term"].isNotNull() & e["weight"].isNotNull()))
+        total = _runs(known, lambda e: e["term"], lambda part, _: F.aggregate(part(), F.lit(0.0), lambda s, e: s + e["weight"]))
+        given = stored(vectors.select(id_col, F.array_max(F.transform(weights, F.abs)).alias("size"), total.alias("entries")).withColumn("held", F.size("entries")), "vectors")
+        Postings.build(given, root, id_col, range_rows)
         return cls(vectors.sparkSession, root, id_col)
 
     def search(self, query: Mapping[str, float], k: int) -> DataFrame:
