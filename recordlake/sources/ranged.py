@@ -30,6 +30,10 @@ from recordlake.sources import snapshots
 BLOCK_BITS = 32768
 MARKS = 4
 BITS_PER_KEY = 12
+#: Files of one write that have a task each; of more, a task writes several.
+TASKS = 64
+#: A batch with more keys than this share of the table's is joined with all stored keys; filters would save nothing.
+LARGE = 0.1
 #: A run is folded into the one before it unless that one is this many times larger.
 FOLD = 2
 
@@ -90,7 +94,7 @@ class RangedTable:
         """(keys, file, run) of the asked keys (unique, not null) that are stored."""
         if self.version() is None:
             return asked.select(*self.keys, F.lit("").alias("file"), F.lit(0).alias("run")).limit(0)
-        return self._holding(asked, stored(self.files(), "manifest"))
+        return self._holding(stored(asked.select(*self.keys), "asked"), stored(self.files(), "manifest"))
 
     def merge(self, batch: DataFrame, changes: Mapping[str, Column], fresh: Mapping[str, Column] | None = None,
               hits: DataFrame | None = None) -> Merged:
@@ -135,20 +139,23 @@ class RangedTable:
     def _write_run(self, rows: DataFrame, run: int) -> DataFrame:
         folder, rows = self._new_folder(), stored(rows, "run")
         parts = max(1, -(-rows.count() // self.rows_per_file))
-        rows.repartitionByRange(parts, *self.keys).sortWithinPartitions(*self.keys).write.parquet(folder)
+        tasks = min(parts, max(TASKS, _partitions(self.spark)))
+        rows.repartitionByRange(tasks, *self.keys).sortWithinPartitions(*self.keys).write.option(
+            "maxRecordsPerFile", 0 if tasks == parts else self.rows_per_file).parquet(folder)
         return self._describe(folder, F.lit(run))
 
     def _rewrite(self, batch: DataFrame, touched: dict[str, int], changes: Mapping[str, Column]) -> DataFrame:
         """Each touched file with its changed rows, as one file of the same keys."""
         places = self.spark.createDataFrame([(f, i, r) for i, (f, r) in enumerate(sorted(touched.items()))], "file string, _of int, _run int")
-        old = self._open(sorted(touched)).withColumn("file", F.col("_metadata.file_path")).join(places, "file")
+        old = self._open(sorted(touched)).withColumn("file", F.col("_metadata.file_path")).join(F.broadcast(places), "file").drop("file")
         new = batch.select(*self.keys, F.struct(*batch.columns).alias("_new"))
         there = F.col("_new").isNotNull()
         out = old.join(new, list(self.keys), "left").select("_of", "_run", *[
             F.when(there, changes[f.name]).otherwise(F.col(f"`{f.name}`")).cast(f.dataType).alias(f.name) if f.name in changes else F.col(f"`{f.name}`")
             for f in self.schema.fields])
         folder = self._new_folder()
-        out.repartition(len(touched), "_of").sortWithinPartitions("_of", *self.keys).write.partitionBy("_run", "_of").parquet(folder)
+        tasks = min(len(touched), max(TASKS, _partitions(self.spark)))
+        out.repartition(tasks, "_run", "_of").sortWithinPartitions("_run", "_of", *self.keys).write.partitionBy("_run", "_of").parquet(folder)
         return self._describe(folder, F.regexp_extract(F.col("_metadata.file_path"), r"/_run=(\d+)/", 1).cast("int"))
 
     def _describe(self, folder: str, run: Column) -> DataFrame:
@@ -160,9 +167,12 @@ class RangedTable:
         made = stored(named.groupBy("file", "run").agg(
             F.min(key).alias("least"), F.max(key).alias("greatest"), F.count(F.lit(1)).alias("rows")).withColumn(
                 "blocks", F.ceil(F.col("rows") * BITS_PER_KEY / BLOCK_BITS).cast("int")), "manifest")
-        marked = named.join(made.select("file", "blocks"), "file").select("file", *_marks(keys))
-        (marked.groupBy("file", "block").agg(F.expr("bitmap_construct_agg(mark)").alias("bits"))
-            .write.parquet(f"{self.root}/filters/{folder.rsplit('/', 1)[1]}"))
+        # Rows carry a number in place of their file's path.
+        numbers = stored(made.select("file", "blocks", F.monotonically_increasing_id().alias("no")), "numbers")
+        marked = named.join(F.broadcast(numbers), "file").select("no", _block(keys), *_marks(keys))
+        each = marked.groupBy("no", "block").agg(F.array(*[F.expr(f"bitmap_construct_agg(mark_{i})") for i in range(MARKS)]).alias("bits"))
+        (each.select("no", "block", F.explode("bits").alias("bits")).groupBy("no", "block").agg(F.expr("bitmap_or_agg(bits)").alias("bits"))
+            .join(F.broadcast(numbers), "no").select("file", "block", "bits").write.parquet(f"{self.root}/filters/{folder.rsplit('/', 1)[1]}"))
         return made.withColumn("filter", F.lit(folder.rsplit("/", 1)[1]))
 
     def _publish(self, live: DataFrame, rewritten: int, kept: int, added: int) -> Merged:
@@ -193,12 +203,18 @@ class RangedTable:
     def _holding(self, asked: DataFrame, manifest: DataFrame) -> DataFrame:
         """(keys, file, run) of the asked keys that are stored, and where."""
         keys = list(self.keys)
-        likely = stored(self._filtered(self._located(asked, manifest), manifest), "likely")
-        names = [r["file"] for r in likely.select("file").distinct().collect()]
+        if asked.count() > LARGE * (manifest.agg(F.sum("rows")).first()[0] or 0):
+            likely, names = asked.select(*keys), [r["file"] for r in manifest.select("file").collect()]
+        else:
+            likely = stored(self._filtered(self._located(asked, manifest), manifest), "likely")
+            names = [r["file"] for r in likely.select("file").distinct().collect()]
         if not names:
-            return likely.select(*keys, "file", "run")
-        there = self._open(names).select(*keys, F.col("_metadata.file_path").alias("file"))
-        return stored(likely.select(*keys, "file", "run").join(there, [*keys, "file"], "left_semi"), "hits")
+            return asked.select(*keys, F.lit("").alias("file"), F.lit(0).alias("run")).limit(0)
+        # A key is in one file at most, so that rows need not carry their paths to be compared.
+        numbers = self.spark.createDataFrame(list(enumerate(names)), "no int, file string").join(manifest.select("file", "run"), "file")
+        there = self._open(names).select(*keys, F.col("_metadata.file_path").alias("file")).join(F.broadcast(numbers), "file").select(*keys, "no")
+        hits = there.join(likely.select(*keys), keys, "left_semi")
+        return stored(hits.join(F.broadcast(numbers), "no").select(*keys, "file", "run"), "hits")
 
     def _located(self, asked: DataFrame, manifest: DataFrame) -> DataFrame:
         """(run, keys, file, blocks, filter): the one file of each run whose range has the key.
@@ -231,16 +247,24 @@ class RangedTable:
         filters = self.spark.read.parquet(*[f"{self.root}/filters/{f}" for f in folders]) if folders else None
         if filters is None:
             return located.limit(0)
-        marked = located.select("run", *keys, "file", *_marks(keys))
-        met = marked.join(filters, ["file", "block"]).where(has_bit(F.col("bits"), F.col("mark")))
-        return met.groupBy("run", *keys, "file").agg(F.count(F.lit(1)).alias("n"), F.first("marks").alias("marks")).where("n = marks").drop("n", "marks")
+        met = located.select("run", *keys, "file", _block(keys), *_marks(keys)).join(filters, ["file", "block"])
+        for i in range(MARKS):
+            met = met.where(has_bit(F.col("bits"), F.col(f"mark_{i}")))
+        return met.select("run", *keys, "file")
+
+
+def _partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _block(keys: Sequence[str]) -> Column:
+    """The filter block of a row's key, in a file of ``blocks``."""
+    return F.pmod(F.xxhash64(*keys), F.col("blocks")).cast("int").alias("block")
 
 
 def _marks(keys: Sequence[str]) -> list[Column]:
-    """The filter block of a row's key, and a row for each of its distinct marks in it."""
-    h = F.xxhash64(*keys)
-    bits = F.array_distinct(F.array(*[F.pmod(F.xxhash64(*keys, F.lit(i)), F.lit(BLOCK_BITS)) for i in range(MARKS)]))
-    return [F.pmod(h, F.col("blocks")).cast("int").alias("block"), F.size(bits).alias("marks"), F.explode(bits).alias("mark")]
+    """The marks of a row's key in its block."""
+    return [F.pmod(F.xxhash64(*keys, F.lit(i)), F.lit(BLOCK_BITS)).alias(f"mark_{i}") for i in range(MARKS)]
 
 
 def has_bit(bits: Column, at: Column) -> Column:

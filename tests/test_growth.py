@@ -1,8 +1,10 @@
 """Steps whose work grew faster than their input: how often they move or meet their rows."""
 
 from pyspark.sql import functions as F
-from recordlake.operators import postings
+from pyspark.sql import types as T
+from recordlake.operators import load, postings
 from recordlake.session import work_path
+from recordlake.sources.ranged import RangedTable
 
 
 def jobs_of(spark, name, run) -> int:
@@ -21,3 +23,27 @@ def test_index_build_moves_entries_once(spark, no_broadcast):
         F.array(*[F.lit(w) for w in (1.0, 2.0, 3.0, 4.0)]).alias("weights"))
     # Vectors, the counts of the classes in two, the entries' exchange, the blocks, the type of ids.
     assert jobs_of(spark, "sparse", lambda: postings.SparseIndex.build(vectors, work_path(spark, "sparse"), range_rows=50)) <= 6
+
+
+def numbers(spark, of, value):
+    return spark.createDataFrame([(i, k, value) for i, k in enumerate(of)], "row_index long, k int, v string")
+
+
+def test_large_batches_meet_the_stored_keys_at_once(spark, monkeypatch):
+    table = RangedTable(spark, work_path(spark, "ranged"), ["k"], T.StructType.fromDDL("k int, v string"), rows_per_file=5)
+    made = table.create(numbers(spark, range(1000), "old").drop("row_index"))
+    files = sorted((r["least"]["k"], r["greatest"]["k"], r["rows"]) for r in table.files().collect())
+    # More files than tasks: they still follow each other and none is larger than asked for.
+    assert made.added == len(files) >= 200 and all(a[1] < b[0] for a, b in zip(files, files[1:])) and max(f[2] for f in files) <= 5
+    assert {r["file"] for r in table.holding(numbers(spark, [7, 5000], "").select("k")).collect()} == {
+        r["file"] for r in table.files().where("least.k <= 7 AND greatest.k >= 7").collect()}
+
+    def unwanted(*_):
+        raise AssertionError("every key was placed and looked up in a filter")
+
+    monkeypatch.setattr(RangedTable, "_located", unwanted)
+    outcome, done = load.ranged_load(table, numbers(spark, [*range(400), *range(2000, 2050)], "new"))
+    assert done.rewritten == sum(f[0] < 400 for f in files)
+    assert outcome.where("status = 'updated'").count() == 400 and outcome.where("status = 'inserted'").count() == 50
+    assert {r["k"]: r["v"] for r in table.read().collect()} == {
+        k: "new" if k < 400 or k >= 2000 else "old" for k in [*range(1000), *range(2000, 2050)]}
