@@ -114,4 +114,6 @@ def seed(base: DataFrame, rows: DataFrame, keys: Sequence[str], order: str | Non
         numbered = dense_index(rows, [order, *keys], name="row_index").drop(order)
     else:
         numbered = one_of_each(rows, keys).withColumn("row_index", F.monotonically_increasing_id())
-    return bulk_load(base, numbered, keys, "UPDATE")
+    # Rows and result are written, so that a task holds the sorts of one merge and not those of all runs before it.
+    done = bulk_load(base, stored(numbered, "numbered"), keys, "UPDATE")
+    return WriteResult(stored(done.snapshot, "seeded"), done.outcome)

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from recordlake.operators import load, postings
+from recordlake.plans import rebuild as plans
 from recordlake.session import work_path
 from recordlake.sources.ranged import RangedTable
 
@@ -47,3 +48,13 @@ def test_large_batches_meet_the_stored_keys_at_once(spark, monkeypatch):
     assert outcome.where("status = 'updated'").count() == 400 and outcome.where("status = 'inserted'").count() == 50
     assert {r["k"]: r["v"] for r in table.read().collect()} == {
         k: "new" if k < 400 or k >= 2000 else "old" for k in [*range(1000), *range(2000, 2050)]}
+
+
+def test_seeds_do_not_pile_up(spark):
+    base = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    rows = spark.createDataFrame([(2, "new"), (3, None)], "k int, v string")
+    once = plans.seed(base, rows, ["k"]).snapshot
+    twice = plans.seed(once, rows, ["k"]).snapshot
+    for made in (once, twice):
+        assert sorted((r["k"], r["v"]) for r in made.collect()) == [(1, "a"), (2, "new"), (3, None)]
+        assert "Join" not in made._jdf.queryExecution().executedPlan().toString()
