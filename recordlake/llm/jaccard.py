@@ -14,9 +14,10 @@ All n-grams are ordered by a 64-bit hash, and that global order is cut into frag
   of its own, then summed per pair and held against the threshold.
 
 If all edges of a forest are links, the group is settled, since further links would join what is
-joined. Groups with an edge that is none are looked at once more, with all their open pairs that lie
-between components. So no link between components is lost, and a large group of near copies does not
-become all its pairs. Equal sets are one class and are compared once; signatures name the set, by 64
+joined. Groups with an edge that is none are looked at once more: documents that open pairs between
+components connect, in whatever groups, come together once with their n-grams, and such pairs are held
+against the threshold in the task, of which only a spanning forest of links goes on. So no link between components is lost, and a large group of
+near copies does not become all its pairs. Equal sets are one class and are compared once; signatures name the set, by 64
 bits of its digest, and not a document. A group of more than
 ``GROUP_BLOCK`` documents is compared in blocks, each pair of blocks in a task of its own.
 
@@ -33,7 +34,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordlake.llm.components import components
@@ -46,6 +47,8 @@ PER_SALT = 256
 #: Bytes of text whose n-grams a task holds at once.
 BLOCK = 4 << 20
 GROUP_BLOCK = 4096
+#: Bytes of n-grams in a block of a group whose pairs are held against the threshold in its task.
+SET_BYTES = 16 << 20
 #: N-grams per cut of the count vectors, and the longest vector.
 PER_CUT = 3
 MOST_CUTS = 1 << 14
@@ -225,42 +228,44 @@ def _group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(a[i:i + n]), pa.array(b[i:i + n]), pa.nulls(n, pa.int64()), *[pa.nulls(n, pa.binary())] * 2], schema=schema)
 
 
-def _candidates(percent: int, cross: bool):
-    """Pairs of a group that the count vectors leave open: a spanning forest, or all between components."""
+_MEMBER = ("group", "p", "q", "block", "doc_id", "n", "comp", "cuts")
+
+
+def _by_group(each, names: list[str], columns: tuple[str, ...] = _MEMBER):
+    """``each`` is given the rows of one (group, p, q), which follow each other, and gives rows of ``names``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = ("group", "p", "q", "block", "doc_id", "n", "comp", "cuts")
         rows, at = [], None
-        out: list[tuple[int, int, int, int, int]] = []
+        out: list[tuple] = []
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in columns)):
                 if row[:3] != at:
-                    out += _open_pairs(rows, percent, cross)
+                    out += each(rows)
                     rows, at = [], row[:3]
                 rows.append(row)
             while len(out) > 20_000:
-                yield _pairs_batch(out[:20_000])
+                yield _long_batch(out[:20_000], names)
                 out = out[20_000:]
-        yield _pairs_batch(out + _open_pairs(rows, percent, cross))
+        yield _long_batch(out + each(rows), names)
 
     return run
 
 
-def _pairs_batch(rows: list[tuple[int, int, int, int, int]]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [[]] * 5
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["group", "a", "b", "n_a", "n_b"])
+def _long_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
 
-def _open_pairs(rows: list[tuple], percent: int, cross: bool) -> list[tuple[int, int, int, int, int]]:
+def _open(rows: list[tuple], percent: int, cross: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of rows, and of those before them whose pair the count vectors leave open; ``cross``: between components."""
     if len(rows) < 2:
-        return []
-    group, p, q = rows[0][:3]
+        return
+    p, q = rows[0][1:3]
     block = np.array([r[3] for r in rows])
-    ids, n, comp = (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 6))
+    n, comp = (np.array([r[k] for r in rows], np.int64) for k in (5, 6))
     width = min(len(r[7]) for r in rows)
     # Finer vectors are folded to the coarsest one.
     vectors = np.stack([np.frombuffer(r[7], np.uint8).astype(np.int16).reshape(width, -1).sum(axis=1) for r in rows]).astype(np.int16)
-    label, found = np.arange(len(rows)), []
     for i in range(1, len(rows)):
         most = (n[:i] + n[i]) * (100 - percent)
         near = np.flatnonzero(np.abs(n[:i] - n[i]) * (100 + percent) <= most)
@@ -272,16 +277,46 @@ def _open_pairs(rows: list[tuple], percent: int, cross: bool) -> list[tuple[int,
             continue
         apart = np.abs(vectors[near] - vectors[i]).sum(axis=1, dtype=np.int64)
         near = near[apart * (100 + percent) <= most[near]]
-        if not len(near):
-            continue
-        if not cross:  # one edge to each tree that is met
-            met, first = np.unique(label[near], return_index=True)
-            near = near[first]
+        if len(near):
+            yield i, near
+
+
+def _forest(percent: int, cross: bool = False):
+    """A spanning forest of a group's open pairs."""
+
+    def each(rows: list[tuple]) -> list[tuple]:
+        label, found = np.arange(len(rows)), []
+        for i, near in _open(rows, percent, cross):
+            met, first = np.unique(label[near], return_index=True)  # one edge to each tree that is met
             label[np.isin(label[:i], met).nonzero()[0]] = i
-        for j in near:
-            x, y = (i, j) if ids[i] < ids[j] else (j, i)
-            found.append((group, int(ids[x]), int(ids[y]), int(n[x]), int(n[y])))
-    return found
+            for j in near[first]:
+                x, y = (rows[i], rows[j]) if rows[i][4] < rows[j][4] else (rows[j], rows[i])
+                found.append((x[0], x[4], y[4], x[5], y[5]))
+        return found
+
+    return _by_group(each, ["group", "a", "b", "n_a", "n_b"])
+
+
+def _linked(percent: int):
+    """A spanning forest of a group's links between components, from the n-grams themselves."""
+
+    def each(rows: list[tuple]) -> list[tuple]:
+        sets, n = [np.frombuffer(r[8], np.uint64) for r in rows], np.array([r[5] for r in rows], np.int64)
+        label, found = np.array([r[6] for r in rows], np.int64), []
+        for i, near in _open(rows, percent, True):
+            near = near[label[near] != label[i]]
+            if not len(near):
+                continue
+            values = np.concatenate([sets[j] for j in near])
+            at = np.minimum(np.searchsorted(sets[i], values), len(sets[i]) - 1)
+            both = np.bincount(np.repeat(np.arange(len(near)), n[near])[sets[i][at] == values], minlength=len(near))
+            near = near[100 * both >= percent * (n[near] + n[i] - both)]
+            met, first = np.unique(label[near], return_index=True)
+            found += [(min(rows[i][4], rows[j][4]), max(rows[i][4], rows[j][4])) for j in near[first]]
+            label[np.isin(label, met)] = label[i]
+        return found
+
+    return _by_group(each, ["a", "b"], (*_MEMBER, "grams"))
 
 
 def _segments(width: int):
@@ -360,16 +395,17 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     sizes = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     members = stored(grouped.join(sizes, "group"), "members")
 
-    def candidates(rows: DataFrame, cross: bool) -> DataFrame:
+    def in_blocks(rows: DataFrame, blocks_: Column, *extra: str) -> DataFrame:
         """``rows`` are members with their component; large groups are compared block by block."""
-        blocks_ = F.ceil(F.col("k") / GROUP_BLOCK).cast("int")
-        rows = rows.join(reps.select("doc_id", "n", "cuts"), "doc_id").withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks_).cast("int"))
-        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks_ - 1)))
-        rows = rows.select("group", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "doc_id", "n", "comp", "cuts")
-        return (rows.repartition("group", "p", "q").sortWithinPartitions("group", "p", "q", "doc_id")
-                .mapInArrow(_candidates(percent, cross), "group long, a long, b long, n_a long, n_b long"))
-
-    edges = stored(candidates(members.withColumn("comp", F.col("doc_id")), False), "edges")
+        rows = rows.withColumn("blocks", blocks_.cast("int")).withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows = rows.select("group", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), *_MEMBER[3:], *extra)
+        return rows.repartition("group", "p", "q").sortWithinPartitions("group", "p", "q", "doc_id")
+
+    sized = reps.select("doc_id", "n", "cuts")
+    many = F.ceil(F.col("k") / GROUP_BLOCK)
+    edges = stored(in_blocks(members.withColumn("comp", F.col("doc_id")).join(sized, "doc_id"), many).mapInArrow(
+        _forest(percent), "group long, a long, b long, n_a long, n_b long"), "edges")
     pairs = edges.select("a", "b", "n_a", "n_b").distinct()
     # A document of an open pair has an edge, so the second look needs no other segments.
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().join(known.select("doc_id", "digest"), "doc_id")
@@ -380,9 +416,18 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     unsettled = edges.join(links, ["a", "b"], "left_anti").select("group").distinct()
     again = members.join(unsettled, "group", "left_semi").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
         "comp", F.coalesce("comp", "doc_id"))
-    more = stored(candidates(again, True).select("a", "b", "n_a", "n_b").distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "edges")
-    if not more.isEmpty():
-        fresh = stored(_verify(more, segments, percent), "linked")
+    open_ = stored(in_blocks(again.join(sized, "doc_id"), many).mapInArrow(
+        _forest(percent, True), "group long, a long, b long, n_a long, n_b long").select("a", "b").distinct(), "open")
+    if not open_.isEmpty():
+        together = components(open_).select(F.col("comp").alias("group"), F.col("node").alias("doc_id"))
+        # At most four segments of a document; in their order they are its n-grams in order.
+        grams = segments.join(together.select(F.col("doc_id").alias("id")), "id", "left_semi").groupBy(F.col("id").alias("doc_id")).agg(
+            F.array_sort(F.collect_list(F.struct("frag", "seg"))).alias("s")).select(
+                "doc_id", F.aggregate("s", F.lit(b""), lambda all_, x: F.concat(all_, x["seg"])).alias("grams"))
+        held = together.join(sized, "doc_id").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+        weights = together.join(sized, "doc_id").groupBy("group").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("total"))
+        split = F.greatest(many, F.ceil(8 * F.col("total") / SET_BYTES))
+        fresh = stored(in_blocks(held.join(weights, "group").join(grams, "doc_id"), split, "grams").mapInArrow(_linked(percent), "a long, b long").distinct(), "linked")
         if not fresh.isEmpty():
             comp = components(links.union(fresh))
     result = known.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select(
