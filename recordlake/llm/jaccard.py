@@ -429,7 +429,7 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         split = F.greatest(many, F.ceil(8 * F.col("total") / SET_BYTES))
         fresh = stored(in_blocks(held.join(weights, "group").join(grams, "doc_id"), split, "grams").mapInArrow(_linked(percent), "a long, b long").distinct(), "linked")
         if not fresh.isEmpty():
-            comp = components(links.union(fresh))
+            comp = components(fresh, labels=comp)
     result = known.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "rep").alias("component_id"))
     nameless = every.where("doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
