@@ -3,10 +3,14 @@
 All n-grams are ordered by a 64-bit hash, and that global order is cut into fragments.
 
 * Candidates. Two sets of sizes n <= m with Jaccard at least t differ in at most n (1-t)/t n-grams,
-  so of more fragments than that, some are equal in both. Each document gives one signature per
-  fragment of its size level (and of the next lower level where a partner may lie there). A few
-  spare fragments keep empty ones from being the only equal ones. Documents with an equal fragment
-  form a group.
+  so of more fragments than that, some are equal in both. Each document gives signatures of
+  fragments of its size level (and of the next lower level where a partner may lie there). Of s spare
+  fragments more than are needed, s + 1 are equal in both, so each document leaves out its first s in one
+  order of all fragments: empty ones, those with the fewest n-grams that are not common, and those with the
+  fewest n-grams; texts that are not alike share such most often (a line that many texts have falls apart into them).
+  What the two leave out of their equal ones are the first s of them at most, so one stays in both, whatever
+  the order. Which n-grams are common is told once, from a sample; it changes the way, not the result.
+  Documents with an equal fragment form a group.
 * Bounds. Each document carries its n-gram counts in finer cuts of the same order. The sum of two
   documents' count differences never exceeds the number of n-grams they differ in, so most pairs of a
   group are ruled out inside the task that holds it. Of the others only a spanning forest goes on.
@@ -41,7 +45,10 @@ from recordlake.llm.components import components
 from recordlake.llm.text import blocks, mix, plain, release, shingles, word_hashes, words
 from recordlake.session import stored
 
-SPARE = 3
+#: Spare fragments: this many at least, and one for so many n-grams that two sets may differ in.
+SPARE, SPARE_PER = 3, 4
+#: Documents of the sample that tells common n-grams, and the most of them that are told.
+SAMPLE, COMMON = 2000, 1 << 16
 #: Pairs of one document that are counted in one task.
 PER_SALT = 256
 #: Bytes of text whose n-grams a task holds at once.
@@ -55,13 +62,14 @@ MOST_CUTS = 1 << 14
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def levels(largest: int, threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
-    """Lower size bounds of the levels, and the number of fragments of each."""
+def levels(largest: int, threshold: Fraction) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lower size bounds of the levels, the number of fragments of each, and how many of them are spare."""
     low = [1]
     while low[-1] <= largest:
         low.append(max(low[-1] + 1, low[-1] * 3 // 2))
     top = np.array([int((b - 1) * (1 - threshold) / threshold) for b in low[1:]])
-    return np.array(low), np.where(top > 0, top + 1 + SPARE, 0)
+    spare = np.maximum(top // SPARE_PER, SPARE)
+    return np.array(low), np.where(top > 0, top + 1 + spare, 0), spare
 
 
 def sets_of(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,12 +101,13 @@ def digests(h: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     return [row.tobytes() for row in out]
 
 
-def signatures(h: np.ndarray, owner: np.ndarray, sizes: np.ndarray, threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
-    """One hash for each fragment of each document, and the document."""
-    low, fragments = levels(int(sizes.max(initial=1)), threshold)
+def signatures(h: np.ndarray, owner: np.ndarray, sizes: np.ndarray, threshold: Fraction, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """One hash for each fragment of each document but the spare ones, and the document; ``common`` ascends."""
+    low, fragments, spares = levels(int(sizes.max(initial=1)), threshold)
     own = np.searchsorted(low, sizes, side="right") - 1
     lower = np.searchsorted(low, np.ceil(sizes * float(threshold) - 1e-9), side="right") - 1
     sigs, docs = [], []
+    rare = ~_among(h, common) if common is not None and len(common) else np.ones(len(h), bool)
     for level, use in ((own, own >= 0), (np.maximum(lower, 0), (lower != own) & (lower >= 0))):
         count = np.where(use & (sizes > 0), fragments[np.maximum(level, 0)], 0)
         live = count[owner] > 0
@@ -107,21 +116,58 @@ def signatures(h: np.ndarray, owner: np.ndarray, sizes: np.ndarray, threshold: F
         x, d = h[live], owner[live]
         f = ((x >> np.uint64(32)) * count[d].astype(np.uint64)) >> np.uint64(32)
         starts = np.flatnonzero(np.concatenate([[True], (f[1:] != f[:-1]) | (d[1:] != d[:-1])]))
-        tag = mix(level[d[starts]].astype(np.uint64) * np.uint64(1 << 32) + f[starts] + ODD)
-        sigs.append(mix(_fold(mix(x + ODD), starts) ^ tag))
-        docs.append(d[starts])
-        # Documents with more empty fragments than there are spare ones name them as well.
-        filled = np.bincount(d[starts], minlength=len(sizes))
-        for i in np.flatnonzero((count > 0) & (count - filled > SPARE)):
-            mine = f[starts][d[starts] == i]
-            gone = np.setdiff1d(np.arange(count[i], dtype=np.uint64), mine)
-            sigs.append(mix(mix(np.uint64(int(level[i]) << 32) + gone + ODD)))
-            docs.append(np.full(len(gone), i))
+        f, held, d = f[starts], np.diff(np.append(starts, len(x))), d[starts]
+        tag = mix(level[d].astype(np.uint64) * np.uint64(1 << 32) + f + ODD)
+        sig = mix(_fold(mix(x + ODD), starts) ^ tag)
+        rarer = np.add.reduceat(rare[live].astype(np.int64), starts)
+        filled = np.bincount(d, minlength=len(sizes))
+        first = np.concatenate([[0], np.cumsum(filled)])
+        spare, empty = spares[np.maximum(level, 0)], count - filled
+        # The order inside a document, by what is the same for all that share the fragment.
+        by_size = np.lexsort((sig, held, rarer, d))
+        keep = by_size[np.arange(len(d)) - first[d] >= (spare - empty)[d]]
+        sigs.append(sig[keep])
+        docs.append(d[keep])
+        # Documents with more empty fragments than there are spare ones name some of them as well.
+        for i in np.flatnonzero((count > 0) & (empty > spare)):
+            gone = np.setdiff1d(np.arange(count[i], dtype=np.uint64), f[first[i]:first[i + 1]])
+            sigs.append(np.sort(mix(mix(np.uint64(int(level[i]) << 32) + gone + ODD)))[spare[i]:])
+            docs.append(np.full(len(sigs[-1]), i))
     if not sigs:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return np.concatenate(sigs), np.concatenate(docs)
 
 
+def _among(h: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Which hashes are in an ascending list; a table of their first bits rules most out."""
+    seen = np.zeros(1 << 20, bool)
+    seen[(common >> np.uint64(44)).astype(np.int64)] = True
+    out = seen[(h >> np.uint64(44)).astype(np.int64)]
+    may = np.flatnonzero(out)
+    out[may] = common[np.minimum(np.searchsorted(common, h[may]), len(common) - 1)] == h[may]
+    return out
+
+
+def _grams(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in (part for big in blocks(batches, limit=BLOCK) for part in _rows(big, 60_000)):
+            h, _, _ = sets_of(plain(block.column("text")), width)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["gram"])
+            release()
+
+    return run
+
+
+def common_grams(rows: DataFrame, width: int) -> np.ndarray:
+    """The n-grams that most documents of a sample have, two at least, ascending; at most ``COMMON``."""
+    total = rows.count()
+    share = min(1.0, SAMPLE / max(total, 1))
+    taken = rows.select("text").sample(share, seed=1) if share < 1 else rows.select("text")
+    counted = taken.mapInArrow(_grams(width), "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    top = counted.orderBy(F.desc("n"), "gram").limit(COMMON).select("gram").collect()
+    return np.sort(np.array([r["gram"] for r in top], np.int64).view(np.uint64))
+
+
 def count_vectors(h: np.ndarray, owner: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     """N-grams in each of 2^r equal cuts of the hash order, r by the set's size; at most 255 are told."""
     r = np.ceil(np.log2(np.clip(sizes / PER_CUT, 8, MOST_CUTS))).astype(np.int64)
@@ -140,7 +186,7 @@ def set_marks(keys: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(keys), np.int64)[::2]
 
 
-def _spread(width: int, threshold: Fraction, buckets: int):
+def _spread(width: int, threshold: Fraction, buckets: int, common: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
                             ("cuts", pa.binary()), ("sets", pa.binary()), ("counts", pa.binary()), ("sigs", pa.binary())])
@@ -157,7 +203,7 @@ def _spread(width: int, threshold: Fraction, buckets: int):
             chosen = np.zeros(len(sizes), bool)
             chosen[list(first.values())] = True
             use = chosen[owner]
-            sig, doc = signatures(h[use], owner[use], np.where(chosen, sizes, 0), threshold)
+            sig, doc = signatures(h[use], owner[use], np.where(chosen, sizes, 0), threshold, common)
             meta = np.arange(len(sizes)) % buckets
             yield pa.RecordBatch.from_arrays(
                 [pa.array(meta, pa.int32()), ids, pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
@@ -382,7 +428,7 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     threshold = Fraction(percent, 100)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     found = stored(
-        rows.mapInArrow(_spread(width, threshold, buckets), _SPREAD).repartitionById(buckets, F.col("bucket"))
+        rows.mapInArrow(_spread(width, threshold, buckets, common_grams(rows, width)), _SPREAD).repartitionById(buckets, F.col("bucket"))
         .mapInArrow(_group, _FOUND), "grams")
     every = found.where("digest is not null").select(F.col("a").alias("doc_id"), "n", "digest", "cuts", "mark")
     one = every.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("digest", "n", "cuts", "mark")).alias("s")).select("doc_id", "s.*")
