@@ -54,6 +54,8 @@ PER_SALT = 256
 #: Bytes of text whose n-grams a task holds at once.
 BLOCK = 4 << 20
 GROUP_BLOCK = 4096
+#: Rows of a tree that others are held against first, from so many rows of a group on.
+CENTRES, FEW = 4, 64
 #: Bytes of n-grams in a block of a group whose pairs are held against the threshold in its task.
 SET_BYTES = 16 << 20
 #: N-grams per cut of the count vectors, and the longest vector.
@@ -302,42 +304,83 @@ def _long_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
 
-def _open(rows: list[tuple], percent: int, cross: bool) -> Iterator[tuple[int, np.ndarray]]:
-    """Places of rows, and of those before them whose pair the count vectors leave open; ``cross``: between components."""
-    if len(rows) < 2:
-        return
+def _tester(rows: list[tuple], percent: int, cross: bool):
+    """A function of a row's place and of others, which gives those whose pair with it the count vectors leave open;
+    ``cross``: between components."""
     p, q = rows[0][1:3]
     block = np.array([r[3] for r in rows])
     n, comp = (np.array([r[k] for r in rows], np.int64) for k in (5, 6))
     width = min(len(r[7]) for r in rows)
     # Finer vectors are folded to the coarsest one.
     vectors = np.stack([np.frombuffer(r[7], np.uint8).astype(np.int16).reshape(width, -1).sum(axis=1) for r in rows]).astype(np.int16)
-    for i in range(1, len(rows)):
-        most = (n[:i] + n[i]) * (100 - percent)
-        near = np.flatnonzero(np.abs(n[:i] - n[i]) * (100 + percent) <= most)
+
+    def open_to(i: int, near: np.ndarray) -> np.ndarray:
+        near = near[np.abs(n[near] - n[i]) * (100 + percent) <= (n[near] + n[i]) * (100 - percent)]
         if p != q:
             near = near[block[near] != block[i]]
         if cross:
             near = near[comp[near] != comp[i]]
         if not len(near):
-            continue
+            return near
         apart = np.abs(vectors[near] - vectors[i]).sum(axis=1, dtype=np.int64)
-        near = near[apart * (100 + percent) <= most[near]]
+        return near[apart * (100 + percent) <= (n[near] + n[i]) * (100 - percent)]
+
+    return open_to
+
+
+def _open(rows: list[tuple], percent: int, cross: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of rows, and of those before them whose pair the count vectors leave open; ``cross``: between components."""
+    if len(rows) < 2:
+        return
+    open_to = _tester(rows, percent, cross)
+    for i in range(1, len(rows)):
+        near = open_to(i, np.arange(i))
         if len(near):
             yield i, near
 
 
 def _forest(percent: int, cross: bool = False):
-    """A spanning forest of a group's open pairs."""
+    """A spanning forest of a group's open pairs.
+
+    A row is held against a few centres of each tree first, then against the other rows of the trees that it has
+    not met by them; so a large group of near copies is not compared pair by pair.
+    """
 
     def each(rows: list[tuple]) -> list[tuple]:
-        label, found = np.arange(len(rows)), []
-        for i, near in _open(rows, percent, cross):
-            met, first = np.unique(label[near], return_index=True)  # one edge to each tree that is met
-            label[np.isin(label[:i], met).nonzero()[0]] = i
-            for j in near[first]:
+        if len(rows) < 2:
+            return []
+        open_to = _tester(rows, percent, cross)
+        label, met, centre, found = np.arange(len(rows)), np.zeros(len(rows), np.int64), np.zeros(len(rows), bool), []
+        centre[0] = True
+        for i in range(1, len(rows)):
+            if i < FEW:
+                near = open_to(i, np.arange(i))
+            else:
+                near, left = open_to(i, np.flatnonzero(centre[:i])), ~centre[:i]
+                for tree in set(label[near].tolist()):
+                    left &= label[:i] != tree
+                rest = np.flatnonzero(left)
+                if len(rest):
+                    near = np.concatenate([near, open_to(i, rest)])
+            if not len(near):
+                centre[i] = True
+                continue
+            met[near] += 1
+            trees = set(label[near].tolist())
+            fresh = len(trees) > 1
+            for tree in trees:  # one edge to each tree that is met
+                mine = near[label[near] == tree] if fresh else near
+                j = mine[np.argmax(met[mine])]
+                fresh |= not centre[j]
+                centre[j] = True
                 x, y = (rows[i], rows[j]) if rows[i][4] < rows[j][4] else (rows[j], rows[i])
                 found.append((x[0], x[4], y[4], x[5], y[5]))
+            label[i] = tree
+            if len(trees) > 1:
+                label[:i][np.isin(label[:i], list(trees))] = tree
+            if fresh:
+                own = np.flatnonzero(centre[:i] & (label[:i] == tree))
+                centre[own[np.argsort(-met[own], kind="stable")[CENTRES:]]] = False
         return found
 
     return _by_group(each, ["group", "a", "b", "n_a", "n_b"])
