@@ -3,7 +3,8 @@
 Records are put into *ranges* of about ``RANGE`` records of similar size (length of a text, largest weight
 of a vector), so that ranges differ in what they can score. A block holds one term's postings in one range,
 with the largest and smallest weight in it. The blocks lie in folders by a hash of the term, sorted by term
-and range: a build adds up equal terms inside each record and exchanges what is left once; a query opens its terms' folders only, and Parquet's statistics skip the other terms in them.
+and range: a build adds up equal terms inside each record and exchanges what is left once, a record's entries of
+several folders as one row, in which all terms are one string; a query opens its terms' folders only, and Parquet's statistics skip the other terms in them.
 
 A query first reads, of its terms' blocks, the numbers alone. What the terms' largest weights come to in a
 range bounds every record there. The few ranges with the highest bounds are scored; then those whose bound
@@ -25,6 +26,8 @@ RANGE = 4096
 FOLDERS = 64
 #: Ranges that are scored before any is left out.
 FIRST = 4
+#: Folders go together in so many parts when entries are exchanged.
+PARTS = 16
 #: Entries of the ranges whose blocks are written together, a file per folder.
 ZONE = 1 << 24
 #: Size classes a factor of two is divided into, and the most on each side of size 1.
@@ -43,8 +46,8 @@ class Postings:
         as ``entries``, an array of (``term``, ``weight``). It is read twice.
 
         The driver gets two counts per size class. A record's range follows from them and from its own row, so its
-        entries are brought to their places in one exchange: by folder and *zone*, which is as many ranges
-        as hold about ``ZONE`` entries.
+        entries are brought to their places in one exchange: by part (of the folders) and *zone*, which is as many ranges
+        as hold about ``ZONE`` entries. They stay packed until then, as an entry's own row would be three times as long.
         """
         size_class = F.greatest(F.lit(-MOST_CLASSES), F.least(F.lit(MOST_CLASSES), F.coalesce(F.floor(F.log2(F.col("size")) * STEPS), F.lit(-MOST_CLASSES)))).cast("int")
         classed = records.withColumn("class", size_class)
@@ -60,12 +63,13 @@ class Postings:
         placed = classed.select(id_col, "entries", spot[F.col("class")].alias("p")).withColumn("i", F.pmod(F.xxhash64(id_col), F.col("p.many")))
         each = placed.select(
             F.col(id_col).alias("id"), (F.col("p.at") + F.col("i")).cast("int").alias("range"),
-            F.floor((F.col("p.start") + F.col("p.held") * F.col("i") / F.col("p.many")) / ZONE).cast("int").alias("zone"), F.explode("entries").alias("e"))
-        each = each.select("id", "range", "zone", "e.*").withColumn("folder", _folder(F.col("term")))
-        blocks = each.repartition("folder", "zone").groupBy("folder", "zone", "term", "range").agg(
+            F.floor((F.col("p.start") + F.col("p.held") * F.col("i") / F.col("p.many")) / ZONE).cast("int").alias("zone"), F.explode(_packed(F.col("entries"))).alias("e"))
+        each = each.select("id", "range", "zone", F.col("e.term").alias("part"), "e.weight.*").repartition("part", "zone")
+        each = each.select("id", "range", "zone", "part", F.explode(F.arrays_zip(F.split("terms", _END).alias("term"), F.col("weights").alias("weight"))).alias("e"))
+        blocks = each.select("id", "range", "zone", "part", _bare(F.col("e.term")).alias("term"), "e.weight").groupBy("part", "zone", "term", "range").agg(
             F.collect_list(F.struct("id", "weight")).alias("posts"), F.max("weight").alias("most"), F.min("weight").alias("least"),
             F.count(F.lit(1)).alias("n"))  # at most about ``range_rows`` records
-        blocks.drop("zone").sortWithinPartitions("folder", "term", "range").write.partitionBy("folder").parquet(f"{root}/blocks")
+        blocks.drop("part", "zone").withColumn("folder", _folder(F.col("term"))).sortWithinPartitions("folder", "term", "range").write.partitionBy("folder").parquet(f"{root}/blocks")
         records.select(id_col).limit(0).write.parquet(f"{root}/ids")  # the type of ids, also of an empty index
         return cls(records.sparkSession, root)
 
@@ -131,6 +135,25 @@ def _runs(ordered: Column, term, weight) -> Column:
     return let(ordered, lambda items: let(places(items), lambda starts: runs(items, starts)))
 
 
+#: Between terms in a packed row, and what stands before a letter for it or for itself inside a term.
+_END, _MARK = "\u0000", "\u0001"
+
+
+def _packed(entries: Column) -> Column:
+    """For each part that a record has entries of: (``term``, the part, ``weight``: its ``terms`` as one string, ``weights``)."""
+
+    def marked(term: Column) -> Column:
+        return F.replace(F.replace(term, F.lit(_MARK), F.lit(_MARK + "b")), F.lit(_END), F.lit(_MARK + "a"))
+
+    ordered = F.sort_array(F.transform(entries, lambda e: F.struct(F.pmod(_folder(e["term"]), F.lit(PARTS)).alias("part"), e["term"].alias("term"), e["weight"].alias("weight"))))
+    return _runs(ordered, lambda e: e["part"], lambda run, _: let(run(), lambda run_: F.struct(
+        F.array_join(F.transform(run_, lambda e: marked(e["term"])), _END).alias("terms"), F.transform(run_, lambda e: e["weight"]).alias("weights"))))
+
+
+def _bare(term: Column) -> Column:
+    return F.replace(F.replace(term, F.lit(_MARK + "a"), F.lit(_END)), F.lit(_MARK + "b"), F.lit(_MARK))
+
+
 def _folder(term: Column) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(FOLDERS)).cast("int")
 

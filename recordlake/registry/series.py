@@ -342,7 +342,8 @@ SPARSE_SQL = f"""(SELECT doc_id, round(sum(CASE t {' '.join(f"WHEN '{t}' THEN CA
 def sparse_vectors(spark, folder):
     """One entry per token occurrence, weighted by one over the length."""
     toks = _documents(spark, folder).select("doc_id", search.tokens(F.col("text")).alias("tokens"))
-    return toks.select("doc_id", "tokens", F.array_repeat(F.lit(1.0) / F.size("tokens"), F.size("tokens")).alias("weights"))
+    # A text without tokens has no entries.
+    return toks.select("doc_id", "tokens", F.array_repeat(F.lit(1.0) / F.nullif(F.size("tokens"), F.lit(0)), F.size("tokens")).alias("weights"))
 
 
 @G.add("v2_sparse_neighbors", f"SELECT doc_id, score, CAST(row_number() OVER (ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM {SPARSE_SQL} ORDER BY score DESC, doc_id LIMIT 25")

@@ -62,3 +62,32 @@ def test_no_records(spark):
     none = documents(spark).limit(0)
     assert postings.TextIndex.build(none, work_path(spark, "text")).search(["a"], 3).count() == 0
     assert documents(spark).where(F.col("doc_id") < 0).count() == 0
+
+
+def test_terms_of_any_characters(spark):
+    """Terms stay apart and whole on their way into the blocks."""
+    terms = ["", "\x00", "\x01", "\x01a", "\x01b", "a\x00b", "\x00\x01a", "\x01\x00", "é\x00", "a", "b", "東", " ", "\\", "|", "."]
+    vectors = spark.createDataFrame([(i, [t], [1.0 + i]) for i, t in enumerate(terms)] + [(50, terms, [0.5] * len(terms))], "rid long, tokens array<string>, weights array<double>")
+    index = postings.SparseIndex.build(vectors, work_path(spark, "sparse"))
+    for i, t in enumerate(terms):
+        assert [tuple(r) for r in index.search({t: 2.0}, 5).orderBy("rank").collect()] == [(i, 2.0 + 2 * i, 1), (50, 1.0, 2)]
+
+
+def test_entries_are_exchanged_packed(spark, monkeypatch):
+    """An exchanged row holds a record's entries of a part of the folders, not one entry."""
+    rows = [(i, [f"t{j}" for j in range(600)], [float(j + 1) for j in range(600)]) for i in range(40)]
+    given = spark.createDataFrame(rows, "rid long, tokens array<string>, weights array<double>")
+    counted, plain = [], type(given).repartition
+    monkeypatch.setattr(type(given), "repartition", lambda self, *columns: counted.append(self.count()) or plain(self, *columns))
+    index = postings.SparseIndex.build(given, work_path(spark, "sparse"))
+    assert len(counted) == 1 and counted[0] <= 40 * postings.FOLDERS
+    assert spark.read.parquet(f"{index.postings.root}/blocks").count() == 600
+
+
+def test_sparse_vectors_of_a_text_without_tokens(spark, tmp_path):
+    from recordlake.registry import series
+
+    folder = str(tmp_path)
+    spark.createDataFrame([(1, "the erst the"), (2, "... !!"), (3, ""), (4, None)], "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    for query in (series.v2, series.v2_indexed):
+        assert [tuple(r) for r in query(spark, folder).collect()] == [(1, 1.0, 1)]
